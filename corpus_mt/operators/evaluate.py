@@ -38,19 +38,22 @@ def pair_sentences(
     Each row of the parallel table is opened over the fixed list of pairs, so nothing is
     joined or shuffled.  Pairs of a language with itself are left out.
     """
-    listed = [
-        F.struct(
-            F.lit(s).alias("src_lang"),
-            F.lit(t).alias("tgt_lang"),
-            F.col(f"{prefix}{s}").alias("source"),
-            F.col(f"{prefix}{t}").alias("reference"),
+    pairs = [(s, t) for s, t in pairs if s != t]
+    langs = sorted({tag for pair in pairs for tag in pair})
+    by_lang = F.create_map(*[c for tag in langs for c in (F.lit(tag), F.col(f"{prefix}{tag}"))])
+    listed = F.array(*[F.lit(f"{s} {t}") for s, t in pairs])
+
+    def opened(pair: Column) -> Column:
+        src, tgt = F.substring_index(pair, " ", 1), F.substring_index(pair, " ", -1)
+        return F.struct(
+            src.alias("src_lang"),
+            tgt.alias("tgt_lang"),
+            F.element_at("_langs", src).alias("source"),
+            F.element_at("_langs", tgt).alias("reference"),
         )
-        for s, t in pairs
-        if s != t
-    ]
-    return wide.select(F.col(id_col).alias("id"), *keep, F.explode(F.array(*listed)).alias("_p")).select(
-        "id", *keep, "_p.*"
-    )
+
+    rows = wide.select(F.col(id_col).alias("id"), *keep, by_lang.alias("_langs"))
+    return rows.select("id", *keep, F.inline(F.transform(listed, opened)))
 
 
 def run_evaluation(

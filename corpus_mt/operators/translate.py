@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from corpus_mt.session import stage_table
 
-# Takes padded id lists and masks, gives one id list per row.
-BatchTranslator = Callable[[list, list], list]
+# Takes padded ids and masks as two-dimensional arrays, gives one id sequence per row.
+BatchTranslator = Callable[[np.ndarray, np.ndarray], Sequence[Sequence[int]]]
 
 MODEL_OUTPUT_COLUMNS = (
     "doc_id",
@@ -31,9 +32,13 @@ HOT_SHARE = 1 / 1000
 ROWS_PER_SLICE = 100_000
 
 
-def _pad_left(rows: list, fill: int) -> list:
-    width = max(map(len, rows), default=0)
-    return [[fill] * (width - len(r)) + list(r) for r in rows]
+def _pad_left(lists: pa.ListArray, fill: int) -> np.ndarray:
+    """Rows of a list array as one matrix, filled up on the left."""
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    width = int(sizes.max(initial=0))
+    out = np.full((len(lists), width), fill, dtype="int32")
+    out[np.arange(width) >= width - sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+    return out
 
 
 def translate_ids(
@@ -43,24 +48,24 @@ def translate_ids(
 
     ``make_translator`` runs once per task (a model is loaded there) and its result is
     called with batches of at most ``batch_rows`` rows, each padded to its own longest row.
-    Rows stay where they are: no shuffle.
+    Rows stay where they are: no shuffle, and no column but the ids leaves Arrow form.
     """
     schema = StructType([*df.schema.fields, StructField("translated_input_ids", ArrayType(IntegerType()))])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         translator = None
-        for frame in frames:
+        for batch in batches:
             translator = translator or make_translator()
-            outputs: list = []
-            for at in range(0, len(frame), batch_rows):
-                part = frame.iloc[at : at + batch_rows]
-                ids = _pad_left(part["input_ids"].tolist(), pad_id)
-                masks = _pad_left(part["attention_mask"].tolist(), 0)
-                outputs.extend(translator(ids, masks))
-            frame["translated_input_ids"] = outputs
-            yield frame
-
-    return df.mapInPandas(run, schema)
+            for at in range(0, batch.num_rows, batch_rows):
+                part = batch.slice(at, batch_rows)
+                ids = _pad_left(part["input_ids"], pad_id)
+                outputs = translator(ids, _pad_left(part["attention_mask"], 0))
+                made = pa.array([np.asarray(o, dtype="int32") for o in outputs], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, made], names=[*part.schema.names, "translated_input_ids"]
+                )
+
+    return df.mapInArrow(run, schema)
 
 
 def model_output(df: DataFrame, entities: str = "entities") -> DataFrame:

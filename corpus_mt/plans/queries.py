@@ -241,7 +241,7 @@ def shard_round_robin(spark, d):
 
 def punct_norm(spark, d):
     # Some of the ordinary spacing becomes no-break spacing and guillemets, to meet every rule.
-    odd = F.replace(F.replace(F.col("text"), F.lit(", "), F.lit(", ")), F.lit(". "), F.lit(" » ; (« "))
+    odd = F.replace(F.replace(F.col("text"), F.lit(", "), F.lit(", ")), F.lit(". "), F.lit(" » ; (« "))
     return _read(spark, d, "documents").select("doc_id", st.normalize_punctuation(odd).alias("text"))
 
 
@@ -370,12 +370,9 @@ def reverse_words():
     """Stand-in batch translator: the words of a line in reverse, tags dropped."""
     eos = 2
 
-    def run(ids: list, masks: list) -> list:
-        out = []
-        for row, mask in zip(ids, masks):
-            words = [int(i) for i, m in zip(row, mask) if m][2:-1]
-            out.append([*words[::-1], eos])
-        return out
+    def run(ids, masks):
+        # A row holds padding, two tags, words and an end of sentence.
+        return [[*row[mask == 1][2:-1][::-1], eos] for row, mask in zip(ids, masks)]
 
     return run
 
@@ -481,18 +478,20 @@ def pair_parse(spark, d):
 
 
 def _scored(spark, d):
-    """Each document against a damaged copy of itself."""
+    """Each conversation turn against a damaged copy of itself."""
     text = F.lower("text")
     worse = F.replace(F.replace(text, F.lit(" the "), F.lit(" a ")), F.lit("er"), F.lit("re"))
-    return _read(spark, d, "documents").select("doc_id", "lang", text.alias("reference"), worse.alias("prediction"))
+    return _read(spark, d, "conversations").select(
+        "conv_id", "turn", "role", text.alias("reference"), worse.alias("prediction")
+    )
 
 
 def corpus_bleu(spark, d):
-    return ev.corpus_bleu(_scored(spark, d), ["doc_id"], ["lang"]).withColumn("bleu", F.round("bleu", 6))
+    return ev.corpus_bleu(_scored(spark, d), ["conv_id", "turn"], ["role"]).withColumn("bleu", F.round("bleu", 6))
 
 
 def corpus_chrf(spark, d):
-    return ev.corpus_chrf(_scored(spark, d), ["doc_id"], ["lang"]).withColumn("chrf", F.round("chrf", 6))
+    return ev.corpus_chrf(_scored(spark, d), ["conv_id", "turn"], ["role"]).withColumn("chrf", F.round("chrf", 6))
 
 
 def round_trip(spark, d):
