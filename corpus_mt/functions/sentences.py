@@ -8,6 +8,7 @@ do not claim to equal any tokeniser library.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -128,12 +129,20 @@ def replace_all(col: Column, pairs: tuple[tuple[str, str], ...]) -> Column:
     return col
 
 
+# Text without any of these is not changed by the punctuation rules.
+_PUNCTUATION_TRIGGER = r"[\r():;`%\"\x{A0}\x{AB}\x{B4}\x{BB}\x{2010}-\x{203F}]|''|  "
+
+
 def normalize_punctuation(col: Column) -> Column:
     """Plain ASCII quotes, dashes and spacing."""
-    col = replace_all(col, PUNCTUATION)
-    for pattern, new in PUNCTUATION_PATTERNS:
-        col = F.regexp_replace(col, pattern, new)
-    return strip(col)
+
+    def rules(text: Column) -> Column:
+        text = replace_all(text, PUNCTUATION)
+        for pattern, new in PUNCTUATION_PATTERNS:
+            text = F.regexp_replace(text, pattern, new)
+        return text
+
+    return _bind(col, lambda t: strip(F.when(t.rlike(_PUNCTUATION_TRIGGER), rules(t)).otherwise(t)))
 
 
 def normalize_numerals(col: Column) -> Column:
@@ -162,6 +171,10 @@ def _drop_chars(col: Column, chars: str) -> Column:
     return F.translate(col, chars, "")
 
 
+# A URL has a dot that is followed by one of these.
+_URL_TRIGGER = r"\.[\w/\-?#&=%\x{80}-\x{10FFFF}]"
+
+
 def wrap_entities(col: Column) -> Column:
     """Hide e-mails, URLs, numerals and handles behind ``<ID1>``, ``<ID2>``, ...
 
@@ -169,11 +182,12 @@ def wrap_entities(col: Column) -> Column:
     it left; entities are numbered by first appearance; equal spans share a number.
     """
     nothing = F.array().cast("array<string>")
+    # Each kind comes with a cheap test that is true wherever the kind occurs.
     steps = (
-        (lambda t: t.contains("@"), email_spans, None),
-        (lambda t: t.contains("."), url_spans, "."),
-        (lambda t: t.rlike(r"\p{Nd}"), numeral_spans, " .:"),
-        (lambda t: t.rlike("[#|@]"), handle_spans, None),
+        ("@", email_spans, None),
+        (_URL_TRIGGER, url_spans, "."),
+        (r"\p{Nd}", numeral_spans, " .:"),
+        ("[#|@]", handle_spans, None),
     )
 
     def put(state: Column, span: Column) -> Column:
@@ -188,23 +202,26 @@ def wrap_entities(col: Column) -> Column:
 
     def step(may_hold, find, ignored) -> Callable[[Column], Column]:
         def run(s: Column) -> Column:
-            spans = F.when(may_hold(s["text"]), F.array_distinct(find(s["text"]))).otherwise(nothing)
+            spans = F.when(s["text"].rlike(may_hold), F.array_distinct(find(s["text"]))).otherwise(nothing)
             if ignored:
                 spans = F.filter(spans, lambda m: F.length(_drop_chars(m, ignored)) >= SHORTEST_ENTITY)
             return F.aggregate(spans, s, put)
 
         return run
 
-    state = F.struct(col.alias("text"), F.array().cast(ENTITY_TYPE).alias("entities"))
-    for kind in steps:
-        state = _bind(state, step(*kind))
+    def hide(text: Column) -> Column:
+        state = F.struct(text.alias("text"), F.array().cast(ENTITY_TYPE).alias("entities"))
+        bare = state
+        for kind in steps:
+            state = _bind(state, step(*kind))
+        return F.when(text.rlike(rf"[\p{{Nd}}#|@]|{_URL_TRIGGER}"), state).otherwise(bare)
 
     def tidy(s: Column) -> Column:
         text = F.regexp_replace(s["text"], r"(?U)[\s\x1c-\x1f]+", " ")
         text = replace_all(text, ((">/", ">"), ("]/", "]")))
         return F.struct(text.alias("text"), s["entities"].alias("entities"))
 
-    return _bind(state, tidy)
+    return _bind(_bind(col, hide), tidy)
 
 
 def placeholder_forms() -> list[tuple[str, str]]:
@@ -215,7 +232,9 @@ def placeholder_forms() -> list[tuple[str, str]]:
 
 
 def _forms_column() -> Column:
-    return F.array(*[F.struct(F.lit(a).alias("before"), F.lit(b).alias("after")) for a, b in placeholder_forms()])
+    """The forms as one constant array."""
+    forms = json.dumps([{"before": a, "after": b} for a, b in placeholder_forms()])
+    return F.from_json(F.lit(forms), "array<struct<before:string,after:string>>")
 
 
 def entity_map(entities: Column) -> Column:
@@ -253,12 +272,18 @@ def _collapse(col: Column) -> Column:
 
 def tokenize_english(col: Column) -> Column:
     """Set punctuation apart: symbols, commas away from digits, apostrophes, a final dot."""
+
+    def commas(t: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(t, r"([^\p{N}]),", "$1 , "), r",([^\p{N}])", " , $1")
+
+    def apostrophes(t: Column) -> Column:
+        return F.regexp_replace(t, r"([\p{L}])'([\p{L}])", "$1 '$2")
+
+    only_if = lambda mark, change: lambda t: F.when(t.contains(mark), change(t)).otherwise(t)
     col = F.regexp_replace(col, r"([^\p{L}\p{N}\s.'`,\-])", " $1 ")
-    col = F.regexp_replace(col, r"([^\p{N}]),", "$1 , ")
-    col = F.regexp_replace(col, r",([^\p{N}])", " , $1")
-    col = F.regexp_replace(col, r"([\p{L}])'([\p{L}])", "$1 '$2")
-    col = F.regexp_replace(col, r"([^.])\.\z", "$1 .")
-    return _collapse(col)
+    col = _bind(_bind(col, only_if(",", commas)), only_if("'", apostrophes))
+    final_dot = lambda t: F.when(t.rlike(r"[^.]\.\z"), F.concat(F.regexp_replace(t, r"\.\z", ""), F.lit(" ."))).otherwise(t)
+    return _collapse(_bind(col, final_dot))
 
 
 def detokenize_english(col: Column) -> Column:
