@@ -17,20 +17,28 @@ BATCH_ROWS = 256
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row within its partition in these
 
 
+def sort_rows(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Globally ordered rows, range-partitioned and sorted within partitions.
+
+    Content breaks ties, then the place of a row, so a key shared by very many rows (or
+    very many equal rows) still spreads over partitions.
+    """
+    ties = df.withColumns({"_tie": F.xxhash64(*df.columns), "_spread": F.monotonically_increasing_id()})
+    keys = [*order_by, "_tie", "_spread"]
+    return ties.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie", "_spread")
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str] = (), name: str = "row_idx", start: int = 0) -> DataFrame:
     """Contiguous row numbers ``start .. start + n - 1`` over the whole table.
 
-    No global window: rows are range-partitioned by ``order_by`` (content breaks ties, so a
-    key shared by many rows still spreads), sorted within partitions and staged with their
-    partition and place.  Row counts per partition then give the offsets, and those are one
-    small row per partition.  Without ``order_by`` the rows are numbered where they lie and
-    nothing shuffles.
+    No global window: sorted rows are staged with their partition and place.  Row counts per
+    partition then give the offsets, and those are one small row per partition.  Without
+    ``order_by`` the rows are numbered where they lie and nothing shuffles; that also
+    follows the order of rows that went through ``sort_rows`` and narrow steps only, and is
+    the cheaper way when the rows to number are costly to compute.
     """
     if order_by:
-        # Columns of equal rows differ only in the last key, which spreads them.
-        ties = df.withColumns({"_tie": F.xxhash64(*df.columns), "_spread": F.monotonically_increasing_id()})
-        keys = [*order_by, "_tie", "_spread"]
-        df = ties.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie", "_spread")
+        df = sort_rows(df, order_by)
     placed = stage_table(df.withColumn("_at", F.monotonically_increasing_id()), "numbered")
     place = placed.select(
         "*",

@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType
 
 from corpus_mt.functions.text import MISSING
 from corpus_mt.operators.layout import reroot_path
+from corpus_mt.operators.sentences import explode_sentences, open_list
 
 try:
     import ahocorasick
@@ -71,22 +72,16 @@ def lookup_translations(
     ``docs`` has ``doc_id, sids, sub_strs, tlt_folder``; ``translations`` has ``path,
     translated``, where the path is that of the substring, re-rooted when a base is given.
     """
-    rows = docs.select("doc_id", "tlt_folder", F.posexplode(F.arrays_zip("sids", "sub_strs")).alias("pos", "_s"))
-    path = F.concat_ws("/", "tlt_folder", "_s.sids")
-    rows = rows.select(
-        "doc_id",
-        "tlt_folder",
-        "pos",
-        F.col("_s.sids").alias("sid"),
-        F.col("_s.sub_strs").alias("sub_str"),
-        (reroot_path(path, decode_base) if decode_base else path).alias("path"),
-    )
+    rows = explode_sentences(docs, ("doc_id", "tlt_folder"))
+    if decode_base:
+        rows = rows.withColumn("tlt_file_loc", reroot_path(F.col("tlt_file_loc"), decode_base))
+    rows = rows.withColumnRenamed("tlt_file_loc", "path")
     return rows.join(translations.select("path", "translated"), "path").drop("path")
 
 
 def with_positions(docs: DataFrame, translations: DataFrame) -> DataFrame:
     """``doc_id, pos, translated`` from translations keyed by ``doc_id`` and ``sid``."""
-    ids = docs.select("doc_id", F.posexplode("sids").alias("pos", "sid"))
+    ids = open_list(docs, ["doc_id"], "sids", value="sid")
     places = ids.groupBy("doc_id", "sid").agg(F.min("pos").alias("pos"))
     return places.join(translations.select("doc_id", "sid", "translated"), ["doc_id", "sid"]).drop("sid")
 

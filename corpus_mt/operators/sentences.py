@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,16 @@ from corpus_mt.functions.text import strip
 from corpus_mt.operators.layout import number_rows
 
 
+def open_list(df: DataFrame, keep: Sequence[str], values: str, pos: str = "pos", value: str = "value") -> DataFrame:
+    """One row per element of an array column, with its position; empty lists give none.
+
+    The outer form, because the inner one makes the optimizer add a not-empty filter, which
+    it then pushes to the scan together with the whole computation of the array.
+    """
+    rows = df.select(*keep, F.posexplode_outer(values).alias(pos, value))
+    return rows.filter(F.col(pos).isNotNull())
+
+
 def explode_sentences(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per non-blank substring: kept columns, ``pos``, ``sid``, ``sub_str``.
 
@@ -19,7 +30,8 @@ def explode_sentences(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> D
     """
     has_folder = "tlt_folder" in docs.columns
     carried = [*dict.fromkeys([*keep, *(["tlt_folder"] if has_folder else [])])]
-    rows = docs.select(*carried, F.posexplode(F.arrays_zip("sids", "sub_strs")).alias("pos", "_s")).select(
+    zipped = docs.select(*carried, F.arrays_zip("sids", "sub_strs").alias("_zip"))
+    rows = open_list(zipped, carried, "_zip", value="_s").select(
         *carried, "pos", F.col("_s.sids").alias("sid"), F.col("_s.sub_strs").alias("sub_str")
     )
     rows = rows.filter(strip(F.col("sub_str")) != "")

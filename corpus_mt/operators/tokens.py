@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, StringType
 from corpus_mt.functions import languages as lang
 from corpus_mt.functions import sentences as st
 from corpus_mt.operators.layout import batch_of
+from corpus_mt.operators.sentences import open_list
 
 # --- fixed values ---------------------------------------------------------------
 BOS, PAD, EOS, UNK = "<s>", "<pad>", "</s>", "<unk>"
@@ -74,8 +75,8 @@ def truncate(tokens: Column, max_length: int | None = None) -> Column:
     return F.slice(tokens, 1, max_length or MODEL_MAX_LENGTH - 1)
 
 
-def pad_tokens(tokens: Column, width: Column | int, pad: str = PAD, eos: str = EOS) -> Column:
-    """Left-padded to ``width``, then end of sentence: ``width + 1`` tokens."""
+def pad_tokens(tokens: Column, width: Column | int, pad: str | int = PAD, eos: str | int = EOS) -> Column:
+    """Left-padded to ``width``, then end of sentence: ``width + 1`` tokens (or ids)."""
     width = F.lit(width) if isinstance(width, int) else width
     return F.concat(F.array_repeat(F.lit(pad), width - F.size(tokens)), tokens, F.array(F.lit(eos)))
 
@@ -122,9 +123,10 @@ class Vocabulary:
             raise KeyError(f"{', '.join(missing)} must be in the source vocabulary")
         return self
 
-    def unk_id(self) -> int:
-        """Unknown tokens of either side take the source id."""
-        return self.source.filter(F.col("token") == UNK).select("id").first()[0]
+    def special_ids(self) -> tuple[int, int, int]:
+        """Ids of unknown, padding and end of sentence; unknown tokens of either side take the source id."""
+        found = dict(tuple(r) for r in self.source.filter(F.col("token").isin(UNK, PAD, EOS)).select("token", "id").collect())
+        return found[UNK], found[PAD], found.get(EOS, found[UNK])
 
 
 def _fits_broadcast(table: DataFrame, max_entries: int) -> bool:
@@ -135,6 +137,12 @@ def _fits_broadcast(table: DataFrame, max_entries: int) -> bool:
     return entries <= max_entries and nbytes <= BROADCAST_BYTES
 
 
+def _offsets(lists: pa.Array) -> pa.Array:
+    """Where each list of a batch starts in its flattened values."""
+    ends = np.cumsum(pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False))
+    return pa.array(np.concatenate([[0], ends]).astype("int32"))
+
+
 def _list_lookup(keys: pa.Array, values: pa.Array, default, value_type, df: DataFrame):
     """An Arrow function mapping every element of a list column through a small table."""
     shared = df.sparkSession.sparkContext.broadcast((keys, values))
@@ -146,9 +154,7 @@ def _list_lookup(keys: pa.Array, values: pa.Array, default, value_type, df: Data
         flat = lists.flatten()
         hit = pc.index_in(flat.cast(table_keys.type), value_set=table_keys)
         out = pc.fill_null(pc.take(table_values, hit), fallback)
-        ends = np.cumsum(pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False))
-        offsets = pa.array(np.concatenate([[0], ends]).astype("int32"))
-        return pa.ListArray.from_arrays(offsets, out)
+        return pa.ListArray.from_arrays(_offsets(lists), out)
 
     return look_up
 
@@ -165,7 +171,7 @@ def _map_list(
     # A large table: one row per element, joined on (element, salt) and gathered again.
     salts = F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("_salt")
     right = table.select(F.col(key).alias("_key"), F.col(value).alias("_value"), salts)
-    left = df.select(*row_key, F.posexplode(col).alias("_pos", "_key")).withColumn(
+    left = open_list(df, row_key, col, "_pos", "_key").withColumn(
         "_salt", F.pmod(F.xxhash64(*row_key, "_pos"), F.lit(JOIN_SALTS)).cast("int")
     )
     found = left.join(right, ["_key", "_salt"], "left").select(
@@ -198,7 +204,7 @@ def encode_ids(
     """
     table = vocab.side(src).select("token", F.col("id").cast("int").alias("id"))
     small = _fits_broadcast(table, max_broadcast)
-    return _map_list(df, tokens, out, table, "token", "id", vocab.unk_id(), row_key, small)
+    return _map_list(df, tokens, out, table, "token", "id", vocab.special_ids()[0], row_key, small)
 
 
 def decode_tokens(
@@ -216,9 +222,32 @@ def decode_tokens(
     return _map_list(df, ids, out, table, "id", "token", UNK, row_key, small)
 
 
-def decode_text(df: DataFrame, vocab: Vocabulary, ids: str, out: str, src: bool = False, **lookup) -> DataFrame:
+def _joined_lookup(keys: pa.Array, values: pa.Array, df: DataFrame):
+    """An Arrow function from id lists to their tokens run together, special tokens left out."""
+    shared = df.sparkSession.sparkContext.broadcast((keys, pc.fill_null(values, UNK)))
+
+    @F.arrow_udf(StringType())
+    def join(lists: pa.Array) -> pa.Array:
+        table_keys, table_values = shared.value
+        hit = pc.index_in(lists.flatten().cast(table_keys.type), value_set=table_keys)
+        tokens = pc.fill_null(pc.take(table_values, hit), UNK)
+        tokens = pc.if_else(pc.is_in(tokens, value_set=pa.array(SPECIAL_TOKENS, tokens.type)), "", tokens)
+        return pc.binary_join(pa.ListArray.from_arrays(_offsets(lists), tokens), "")
+
+    return join
+
+
+def decode_text(
+    df: DataFrame, vocab: Vocabulary, ids: str, out: str, src: bool = False, max_broadcast: int = BROADCAST_ENTRIES, **lookup
+) -> DataFrame:
     """Id arrays to text."""
-    decoded = decode_tokens(df, vocab, ids, "_tokens", src, **lookup)
+    table = vocab.side(src).select("token", F.col("id").cast("int").alias("id"))
+    if not src and _fits_broadcast(table, max_broadcast):
+        pairs = table.toArrow()
+        join = _joined_lookup(pairs["id"].combine_chunks(), pairs["token"].combine_chunks(), df)
+        lists = F.coalesce(F.col(ids), F.array().cast("array<int>"))
+        return df.withColumn(out, tokens_to_text(F.array(join(lists))))
+    decoded = decode_tokens(df, vocab, ids, "_tokens", src, max_broadcast=max_broadcast, **lookup)
     return decoded.withColumn(out, tokens_to_text(strip_special_tokens(F.col("_tokens")), src)).drop("_tokens")
 
 
@@ -230,8 +259,10 @@ def pad_batch(
     batch_rows: int = 512,
     index: str = "tlt_idx",
     mask: str = "attention_mask",
+    pad: str | int = PAD,
+    eos: str | int = EOS,
 ) -> DataFrame:
-    """Pad token arrays and add their masks.
+    """Pad token (or id) arrays and add their masks.
 
     ``longest`` pads to the longest row of each run of ``batch_rows`` indexes, so a window
     never holds more than one batch; ``max_length`` pads every row alike and needs none.
@@ -244,7 +275,7 @@ def pad_batch(
         width = F.lit(max_length or MODEL_MAX_LENGTH - 1)
     else:
         raise ValueError("padding must be 'longest' or 'max_length'")
-    return df.withColumns({mask: attention_mask(size, width), tokens: pad_tokens(F.col(tokens), width)}).drop("_width")
+    return df.withColumns({mask: attention_mask(size, width), tokens: pad_tokens(F.col(tokens), width, pad, eos)}).drop("_width")
 
 
 def tokenize_batch(
@@ -262,7 +293,7 @@ def tokenize_batch(
     pieces: Callable[[Column], Column] = word_pieces,
     **lookup,
 ) -> DataFrame:
-    """Lines to ``input_ids`` (and ``attention_mask``, ``lengths``): split, cut, pad, look up."""
+    """Lines to ``input_ids`` (and ``attention_mask``, ``lengths``): split, cut, look up, pad."""
     if padding == "max_length" and not max_length:
         max_length = MODEL_MAX_LENGTH - 1
     tokens = tokenize(F.col(text), src, pieces)
@@ -271,8 +302,10 @@ def tokenize_batch(
     out = df.withColumn("_tokens", tokens)
     if with_length:
         out = out.withColumn("lengths", F.size("_tokens"))
-    out = pad_batch(out, "_tokens", padding, max_length, batch_rows, index)
+    # Padding is added to the ids: only real tokens are looked up.
+    _, pad, eos = vocab.special_ids()
     out = encode_ids(out, vocab, "_tokens", "input_ids", src, **{"row_key": (index,), **lookup}).drop("_tokens")
+    out = pad_batch(out, "input_ids", padding, max_length, batch_rows, index, pad=pad, eos=eos)
     return out if with_mask else out.drop("attention_mask")
 
 

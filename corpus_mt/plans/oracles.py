@@ -80,7 +80,7 @@ sentences AS (
 INDEXED = (
     SENTENCES
     + """,
-indexed AS (SELECT *, row_number() OVER (ORDER BY doc_id, pos) - 1 AS tlt_idx FROM sentences)"""
+indexed AS (SELECT *, row_number() OVER (ORDER BY raw_id, pos) - 1 AS tlt_idx FROM sentences)"""
 )
 
 # Documents numbered in id order, with the name of their batch of 256.
@@ -227,7 +227,7 @@ def _join_virama(x: str) -> str:
     return f"replace({x}, ' ' || chr(2381) || ' ', chr(2381))"
 
 
-PREPROCESSED = SENTENCES + ",\n" + _wrap_ctes("sentences", _numerals(_punct("sub_str")), "doc_id, pos, sid, sub_str")
+PREPROCESSED = SENTENCES + ",\n" + _wrap_ctes("sentences", _numerals(_punct("sub_str")), "doc_id, raw_id, pos, sid, sub_str")
 LINE = f"'{SRC} {TGT} ' || {_tokenize_english(_strip('t'))}"
 
 # --- token arrays -----------------------------------------------------------------
@@ -291,9 +291,9 @@ _TOKENIZED = (
     "WITH "
     + PREPROCESSED
     + f""",
-lined AS (SELECT doc_id, pos, sid, sub_str, es, {LINE} AS line FROM wrapped),
+lined AS (SELECT doc_id, raw_id, pos, sid, sub_str, es, {LINE} AS line FROM wrapped),
 tokened AS (
-  SELECT doc_id, pos, sid, sub_str, es,
+  SELECT doc_id, raw_id, pos, sid, sub_str, es,
     list_concat(string_split(line, ' ')[1:2], {WORDS.format(x="array_to_string(string_split(line, ' ')[3:], ' ')")}) AS toks
   FROM lined
 ),"""
@@ -302,7 +302,7 @@ tokened AS (
 _BINARIZED = (
     _TOKENIZED
     + """,
-ranked AS (SELECT *, row_number() OVER (ORDER BY doc_id, pos) - 1 AS tlt_idx FROM tokened)"""
+ranked AS (SELECT *, row_number() OVER (ORDER BY raw_id, pos) - 1 AS tlt_idx FROM tokened)"""
     + _encoded("ranked", "tlt_idx")
     + """,
 wide AS (
@@ -320,7 +320,7 @@ SELECT tlt_idx, sid,
 _MODEL = (
     _TOKENIZED
     + """,
-ranked AS (SELECT * REPLACE (toks[1:255] AS toks), row_number() OVER (ORDER BY doc_id, pos) - 1 AS tlt_idx FROM tokened)"""
+ranked AS (SELECT * REPLACE (toks[1:255] AS toks), row_number() OVER (ORDER BY raw_id, pos) - 1 AS tlt_idx FROM tokened)"""
     + _encoded("ranked", "tlt_idx")
     + """,
 model AS (SELECT doc_id, pos, sid, sub_str, es, tlt_idx, list_reverse(ids[3:]) AS out FROM ranked JOIN encoded USING (tlt_idx))"""

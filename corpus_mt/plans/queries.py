@@ -42,11 +42,15 @@ def _docs(spark: SparkSession, d: str, mode: str = "sentence") -> DataFrame:
     return tp.template_documents(_read(spark, d, "documents"), "text", "doc_id", source_type="web", mode=mode)
 
 
+def _raw_numbered(spark: SparkSession, d: str) -> DataFrame:
+    """Raw documents, numbered in id order."""
+    raw = read_table(spark, f"{d}/documents.parquet").select("doc_id", "text")
+    return ly.number_rows(raw, ["doc_id"])
+
+
 def _ordered_docs(spark: SparkSession, d: str) -> DataFrame:
-    """Templated documents, numbered in id order (raw rows are sorted, before the text work)."""
-    raw = read_table(spark, f"{d}/documents.parquet").withColumn("_id", F.col("doc_id"))
-    numbered = ly.number_rows(raw, ["_id"])
-    return tp.template_documents(numbered, "text", "doc_id", source_type="web", keep=("row_idx",))
+    """Templated documents with the numbers of the raw ones."""
+    return tp.template_documents(_raw_numbered(spark, d), "text", "doc_id", source_type="web", keep=("row_idx",))
 
 
 def _located_docs(spark: SparkSession, d: str) -> DataFrame:
@@ -58,8 +62,14 @@ def _sentences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _indexed(spark: SparkSession, d: str) -> DataFrame:
-    """Numbered sentences of all documents, in (document, position) order."""
-    return sn.add_global_index(_sentences(spark, d), ("doc_id", "pos"))
+    """Numbered sentences of all documents, in (raw id, position) order.
+
+    Raw documents are sorted; templating and opening keep their order, so the sentences are
+    numbered where they lie.
+    """
+    raw = read_table(spark, f"{d}/documents.parquet").select("doc_id", "text")
+    docs = tp.template_documents(ly.sort_rows(raw, ["doc_id"]), "text", "doc_id", source_type="web")
+    return sn.add_global_index(sn.explode_sentences(docs))
 
 
 def _turns(spark: SparkSession, d: str) -> DataFrame:
@@ -140,15 +150,15 @@ def timestamp_text(spark, d):
 def chunk_template(spark, d):
     turns = _read(spark, d, "conversations").withColumn("key", F.concat_ws("-", "conv_id", "turn"))
     docs = tp.template_documents(turns, "text", "key", mode="chunk")
-    return docs.select("doc_id", F.posexplode("sub_strs").alias("pos", "sub_str"))
+    return sn.open_list(docs, ["doc_id"], "sub_strs", value="sub_str")
 
 
 def sentence_template(spark, d):
-    return _docs(spark, d).select("doc_id", F.posexplode("sub_strs").alias("pos", "sub_str"))
+    return sn.open_list(_docs(spark, d), ["doc_id"], "sub_strs", value="sub_str")
 
 
 def sentence_ids(spark, d):
-    return _docs(spark, d).select("doc_id", F.posexplode("sids").alias("pos", "sid"))
+    return sn.open_list(_docs(spark, d), ["doc_id"], "sids", value="sid")
 
 
 def sentence_rows(spark, d):
@@ -378,7 +388,10 @@ def reverse_words():
 
 
 def _model_run(spark, d, vocab):
-    rows = sn.add_global_index(sn.explode_sentences(_located_docs(spark, d)), ("doc_id", "pos"))
+    # Documents are numbered and sorted first, so their sentences are numbered in place.
+    docs = ly.sort_rows(_raw_numbered(spark, d), ["row_idx"])
+    docs = tp.template_documents(docs, "text", "doc_id", source_type="web", keep=("row_idx",))
+    rows = sn.add_global_index(sn.explode_sentences(ly.add_translation_folder(docs, BASE)))
     ready = tk.binarize(rows, vocab, SRC, TGT, padding="max_length")
     return tr.translate_ids(ready, reverse_words)
 
