@@ -13,20 +13,18 @@ from corpus_mt.functions.text import MISSING
 from corpus_mt.operators.layout import reroot_path
 from corpus_mt.operators.sentences import explode_sentences, open_list
 
-try:
-    import ahocorasick
-except ImportError:  # the expression fallback below gives the same result
-    ahocorasick = None
-
 
 def _replace_by_pattern(text: str, keys: list, values: list) -> str:
+    """Alternation tries keys in order; its cost grows with text times keys."""
     table = dict(zip(keys, values))
     return re.sub("|".join(map(re.escape, table)), lambda m: table[m.group(0)], text)
 
 
 def _replace_by_automaton(text: str, keys: list, values: list) -> str:
     """Time linear in the text: at each place the earliest listed key that starts there wins."""
-    automaton = ahocorasick.Automaton()
+    from ahocorasick import Automaton
+
+    automaton = Automaton()
     for rank, key in enumerate(keys):
         automaton.add_word(key, (rank, len(key)))
     automaton.make_automaton()
@@ -44,9 +42,18 @@ def _replace_by_automaton(text: str, keys: list, values: list) -> str:
     return "".join([*out, text[done:]])
 
 
+def _replacer():
+    """The automaton where its library is installed; both give the same result."""
+    try:
+        import ahocorasick  # noqa: F401
+    except ImportError:
+        return _replace_by_pattern
+    return _replace_by_automaton
+
+
 @F.pandas_udf(StringType())
 def _replace_arrow(text: pd.Series, keys: pd.Series, values: pd.Series) -> pd.Series:
-    one = _replace_by_automaton if ahocorasick else _replace_by_pattern
+    one = _replacer()
     return pd.Series(
         [None if t is None else one(t, list(k), list(v)) for t, k, v in zip(text, keys, values)], dtype=object
     )

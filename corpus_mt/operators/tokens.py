@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,7 @@ def word_pieces(text: Column) -> Column:
 
 
 def subword_pieces(model_file: str) -> Callable[[Column], Column]:
-    """Pieces from a SentencePiece model file, loaded once per Python worker."""
+    """Pieces from a SentencePiece model file, loaded once per task."""
     import pandas as pd
 
     loaded: dict = {}
@@ -102,39 +101,61 @@ def tokens_to_text(tokens: Column, src: bool = False) -> Column:
     return st.strip(F.replace(joined, F.lit(WORD_START), F.lit(" ")))
 
 
-@dataclass(frozen=True)
 class Vocabulary:
-    """Source and target vocabularies: tables ``token string, id int``."""
+    """Source and target vocabularies: tables ``token string, id int``.
 
-    source: DataFrame
-    target: DataFrame
+    What the driver needs of a side (its size and three special ids) is looked up once.
+    """
+
+    def __init__(self, source: DataFrame, target: DataFrame) -> None:
+        narrow = lambda t: t.select("token", F.col("id").cast("int").alias("id"))
+        self.source = narrow(source)
+        self.target = self.source if target is source else narrow(target)
+        self._facts: dict = {}
+        self._small: dict = {}
 
     def side(self, src: bool) -> DataFrame:
         return self.source if src else self.target
 
+    def _about(self, src: bool):
+        table = self.side(src)
+        if id(table) not in self._facts:
+            special = lambda t: F.max(F.when(F.col("token") == t, F.col("id")))
+            self._facts[id(table)] = table.agg(
+                F.count(F.lit(1)).alias("entries"),
+                F.coalesce(F.sum(F.octet_length("token") + 8), F.lit(0)).alias("bytes"),
+                special(UNK).alias("unk"),
+                special(PAD).alias("pad"),
+                special(EOS).alias("eos"),
+            ).first()
+        return self._facts[id(table)]
+
     def size(self, src: bool) -> int:
-        return self.side(src).count()
+        return self._about(src).entries
 
     def require_specials(self) -> Vocabulary:
         """Fail early when the source side lacks the tokens encoding depends on."""
-        need = (UNK, PAD)
-        found = {r.token for r in self.source.filter(F.col("token").isin(*need)).collect()}
-        if missing := [t for t in need if t not in found]:
+        about = self._about(True)
+        if missing := [t for t, found in ((UNK, about.unk), (PAD, about.pad)) if found is None]:
             raise KeyError(f"{', '.join(missing)} must be in the source vocabulary")
         return self
 
     def special_ids(self) -> tuple[int, int, int]:
         """Ids of unknown, padding and end of sentence; unknown tokens of either side take the source id."""
-        found = dict(tuple(r) for r in self.source.filter(F.col("token").isin(UNK, PAD, EOS)).select("token", "id").collect())
-        return found[UNK], found[PAD], found.get(EOS, found[UNK])
+        about = self.require_specials()._about(True)
+        return about.unk, about.pad, about.unk if about.eos is None else about.eos
 
+    def fits_broadcast(self, src: bool, max_entries: int = BROADCAST_ENTRIES) -> bool:
+        about = self._about(src)
+        return about.entries <= max_entries and about.bytes <= BROADCAST_BYTES
 
-def _fits_broadcast(table: DataFrame, max_entries: int) -> bool:
-    size = table.limit(max_entries + 1).agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("token") + 8), F.lit(0))
-    )
-    entries, nbytes = size.first()
-    return entries <= max_entries and nbytes <= BROADCAST_BYTES
+    def small_table(self, src: bool) -> tuple[pa.Array, pa.Array]:
+        """Tokens and ids of a side that fits."""
+        table = self.side(src)
+        if id(table) not in self._small:
+            arrow = table.toArrow()
+            self._small[id(table)] = (arrow["token"].combine_chunks(), arrow["id"].combine_chunks())
+        return self._small[id(table)]
 
 
 def _offsets(lists: pa.Array) -> pa.Array:
@@ -160,13 +181,15 @@ def _list_lookup(keys: pa.Array, values: pa.Array, default, value_type, df: Data
 
 
 def _map_list(
-    df: DataFrame, col: str, out: str, table: DataFrame, key: str, value: str, default, row_key: Sequence[str], small: bool
+    df: DataFrame, col: str, out: str, vocab: Vocabulary, src: bool, to_ids: bool, row_key: Sequence[str], max_broadcast: int
 ) -> DataFrame:
-    if small:
-        pairs = table.select(key, value).toArrow()
-        udf = _list_lookup(
-            pairs[key].combine_chunks(), pairs[value].combine_chunks(), default, table.schema[value].dataType, df
-        )
+    table = vocab.side(src)
+    key, value = ("token", "id") if to_ids else ("id", "token")
+    default = vocab.special_ids()[0] if to_ids else UNK
+    if vocab.fits_broadcast(src, max_broadcast):
+        tokens, ids = vocab.small_table(src)
+        pair = (tokens, ids) if to_ids else (ids, tokens)
+        udf = _list_lookup(*pair, default, table.schema[value].dataType, df)
         return df.withColumn(out, F.when(F.col(col).isNotNull(), udf(F.coalesce(F.col(col), F.array().cast(df.schema[col].dataType)))))
     # A large table: one row per element, joined on (element, salt) and gathered again.
     salts = F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("_salt")
@@ -202,9 +225,7 @@ def encode_ids(
     A vocabulary whose size is checked to be small goes to the executors and is looked up
     in Arrow batches, with no shuffle; a larger one is joined (``row_key`` must be unique).
     """
-    table = vocab.side(src).select("token", F.col("id").cast("int").alias("id"))
-    small = _fits_broadcast(table, max_broadcast)
-    return _map_list(df, tokens, out, table, "token", "id", vocab.special_ids()[0], row_key, small)
+    return _map_list(df, tokens, out, vocab, src, True, row_key, max_broadcast)
 
 
 def decode_tokens(
@@ -217,9 +238,7 @@ def decode_tokens(
     max_broadcast: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
     """Id arrays to token arrays; an unknown id gives the unknown token."""
-    table = vocab.side(src).select("token", F.col("id").cast("int").alias("id"))
-    small = _fits_broadcast(table, max_broadcast)
-    return _map_list(df, ids, out, table, "id", "token", UNK, row_key, small)
+    return _map_list(df, ids, out, vocab, src, False, row_key, max_broadcast)
 
 
 def _joined_lookup(keys: pa.Array, values: pa.Array, df: DataFrame):
@@ -241,10 +260,9 @@ def decode_text(
     df: DataFrame, vocab: Vocabulary, ids: str, out: str, src: bool = False, max_broadcast: int = BROADCAST_ENTRIES, **lookup
 ) -> DataFrame:
     """Id arrays to text."""
-    table = vocab.side(src).select("token", F.col("id").cast("int").alias("id"))
-    if not src and _fits_broadcast(table, max_broadcast):
-        pairs = table.toArrow()
-        join = _joined_lookup(pairs["id"].combine_chunks(), pairs["token"].combine_chunks(), df)
+    if not src and vocab.fits_broadcast(src, max_broadcast):
+        tokens, known = vocab.small_table(src)
+        join = _joined_lookup(known, tokens, df)
         lists = F.coalesce(F.col(ids), F.array().cast("array<int>"))
         return df.withColumn(out, tokens_to_text(F.array(join(lists))))
     decoded = decode_tokens(df, vocab, ids, "_tokens", src, max_broadcast=max_broadcast, **lookup)

@@ -42,15 +42,21 @@ def _pad_left(lists: pa.ListArray, fill: int) -> np.ndarray:
 
 
 def translate_ids(
-    df: DataFrame, make_translator: Callable[[], BatchTranslator], batch_rows: int = 64, pad_id: int = 1
+    df: DataFrame,
+    make_translator: Callable[[], BatchTranslator],
+    batch_rows: int = 64,
+    pad_id: int = 1,
+    keep_mask: bool = False,
 ) -> DataFrame:
-    """Adds ``translated_input_ids``.
+    """Adds ``translated_input_ids``; the attention mask is used up unless it is to be kept.
 
     ``make_translator`` runs once per task (a model is loaded there) and its result is
     called with batches of at most ``batch_rows`` rows, each padded to its own longest row.
     Rows stay where they are: no shuffle, and no column but the ids leaves Arrow form.
     """
-    schema = StructType([*df.schema.fields, StructField("translated_input_ids", ArrayType(IntegerType()))])
+    kept = [f for f in df.schema.fields if keep_mask or f.name != "attention_mask"]
+    names = [f.name for f in kept]
+    schema = StructType([*kept, StructField("translated_input_ids", ArrayType(IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         translator = None
@@ -62,7 +68,7 @@ def translate_ids(
                 outputs = translator(ids, _pad_left(part["attention_mask"], 0))
                 made = pa.array([np.asarray(o, dtype="int32") for o in outputs], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, made], names=[*part.schema.names, "translated_input_ids"]
+                    [*(part[n] for n in names), made], names=[*names, "translated_input_ids"]
                 )
 
     return df.mapInArrow(run, schema)

@@ -477,6 +477,7 @@ ORACLES: dict[str, str] = {
     "sentence_template": f"WITH {SENTENCES} SELECT doc_id, pos, sub_str FROM sentences",
     "sentence_ids": f"WITH {SENTENCES} SELECT doc_id, pos, sid FROM sentences",
     "sentence_rows": f"WITH {LOCATED} SELECT doc_id, pos, sid, sub_str, tlt_file_loc FROM located",
+    "stream_sentences": f"WITH {SENTENCES} SELECT doc_id, pos, sid, sub_str FROM sentences",
     "json_roundtrip": f"""
         WITH {DOCS} SELECT doc_id, to_json(sub_strs)::VARCHAR AS sub_json,
           to_json(list_transform(sub_strs, lambda s: sha256(s)))::VARCHAR AS sid_json,

@@ -6,8 +6,10 @@ results compare by value.  ``oracles.py`` states the same results in SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,9 @@ from corpus_mt.operators import template as tp
 from corpus_mt.operators import tokens as tk
 from corpus_mt.operators import translate as tr
 from corpus_mt.sources import sinks
-from corpus_mt.sources.readers import read_table
+from corpus_mt.session import shared_dir
+from corpus_mt.sources.readers import read_stream, read_table
+from corpus_mt.streaming import stream as stm
 
 SRC, TGT = "eng_Latn", "hin_Deva"
 BASE = "/corpus/translated"
@@ -165,6 +169,16 @@ def sentence_rows(spark, d):
     return sn.explode_sentences(_located_docs(spark, d))
 
 
+def stream_sentences(spark, d):
+    """The same sentences from a stream over the files, run until all are read."""
+    path = f"{d}/documents.parquet"
+    raw = read_stream(spark, f"{d}/documents*.parquet", spark.read.parquet(path).schema)
+    out = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    rows = stm.stream_sentences(raw, text_col="text", id_col="doc_id", source_type="web")
+    stm.write_stream(rows, f"{out}/rows", f"{out}/progress").awaitTermination()
+    return read_table(spark, f"{out}/rows").select("doc_id", "pos", "sid", "sub_str")
+
+
 def json_roundtrip(spark, d):
     text = tp.arrays_to_json(_docs(spark, d).select("doc_id", "sub_strs", "sids"), "sub_strs", "sids")
     back = tp.arrays_from_json(text.withColumns({"sub_json": F.col("sub_strs"), "sid_json": F.col("sids")}), "sub_strs", "sids")
@@ -382,7 +396,7 @@ def reverse_words():
 
     def run(ids, masks):
         # A row holds padding, two tags, words and an end of sentence.
-        return [[*row[mask == 1][2:-1][::-1], eos] for row, mask in zip(ids, masks)]
+        return [np.append(row[mask == 1][-2:1:-1], eos) for row, mask in zip(ids, masks)]
 
     return run
 
@@ -519,7 +533,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         split_slice, sample_head, terminal_line_filter, doc_ids, url_source, timestamp_text, chunk_template,
-        sentence_template, sentence_ids, sentence_rows, json_roundtrip, global_index, tlt_folder, doc_csv_rows,
+        sentence_template, sentence_ids, sentence_rows, stream_sentences, json_roundtrip, global_index, tlt_folder, doc_csv_rows,
         batch_csv_positions, written_status, reroot_path, partition_plan, shard_plan, salt_balance, rank_assign,
         shard_round_robin, punct_norm, numeral_norm, entity_spans, entity_wrap, entity_restore, script_convert,
         lang_tags, preprocess, preprocess_indic, postprocess, encode_ids, pad_longest, pad_max_length, repad_batches,
