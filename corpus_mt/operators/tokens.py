@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -39,8 +40,6 @@ def word_pieces(text: Column) -> Column:
 
 def subword_pieces(model_file: str) -> Callable[[Column], Column]:
     """Pieces from a SentencePiece model file, loaded once per task."""
-    import pandas as pd
-
     loaded: dict = {}
 
     @F.pandas_udf(ArrayType(StringType()))
