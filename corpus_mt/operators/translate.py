@@ -86,9 +86,10 @@ def distinct_sentences(sentences: DataFrame) -> DataFrame:
     """Each sentence once: ``sid``, ``sub_str`` and how often it occurs.
 
     Counts are combined before the shuffle, so a sentence repeated everywhere costs one
-    row per task.
+    row per task.  Grouping by the text as well changes nothing (the id is its hash) and
+    leaves a plain count, which hash aggregation can do; a text buffer would force a sort.
     """
-    return sentences.groupBy("sid").agg(F.first("sub_str").alias("sub_str"), F.count(F.lit(1)).alias("n_uses"))
+    return sentences.groupBy("sid", "sub_str").agg(F.count(F.lit(1)).alias("n_uses"))
 
 
 def fan_out(sentences: DataFrame, translations: DataFrame, how: str = "left") -> DataFrame:

@@ -30,11 +30,10 @@ def save_capped(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, mo
 def save_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "error") -> None:
     """One folder per rank, device or ``ds_type/direction/pair``.
 
-    Rows are dealt by folder and a spread key first, so each task writes few files and a
-    folder holding much of the table still has many writers.
+    Rows are rebalanced by folder: small folders get few files, and adaptive execution
+    splits a folder that holds much of the table over many writers.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    df.repartition(*by, spread).write.mode(mode).partitionBy(*by).parquet(path)
+    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def sentence_lines(docs: DataFrame) -> DataFrame:
@@ -107,7 +106,7 @@ def save_translations(translations: DataFrame, path: str, buckets: int = 64, mod
     status = with_written(translations)
     bucket = F.pmod(F.xxhash64("tlt_file_loc"), F.lit(buckets)).cast("int")
     stored = status.filter("written").select(F.col("tlt_file_loc").alias("path"), "translated", bucket.alias("bucket"))
-    stored.repartition("bucket").write.mode(mode).partitionBy("bucket").parquet(path)
+    stored.hint("rebalance", "bucket").write.mode(mode).partitionBy("bucket").parquet(path)
     return status
 
 
@@ -128,6 +127,6 @@ def save_aligned_text(scored: DataFrame, path: str, mode: str = "error") -> None
 
 
 def save_device_maps(assigned: DataFrame, path: str, mode: str = "error") -> None:
-    """The paths of each device as text lines, a folder per device."""
-    ordered = assigned.repartition("device").sortWithinPartitions("device", "shard_idx")
+    """The paths of each device as text lines, a folder per device, in shard order over its files."""
+    ordered = assigned.repartitionByRange("device", "shard_idx").sortWithinPartitions("device", "shard_idx")
     ordered.select("device", F.col("path").alias("value")).write.mode(mode).partitionBy("device").text(path)
