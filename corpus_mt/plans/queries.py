@@ -133,7 +133,8 @@ def terminal_line_filter(spark, d):
 
 
 def doc_ids(spark, d):
-    pages = _read(spark, d, "pages").withColumn("seen", F.timestamp_seconds(F.col("page_id") * 86_400).cast("timestamp_ntz"))
+    seen = F.expr("timestamp_ntz'1970-01-01' + make_dt_interval(cast(page_id as int))")
+    pages = _read(spark, d, "pages").withColumn("seen", seen)
     out = tp.template_documents(pages, "html", None, "url", "seen", "crawl", "chunk", keep=("page_id",))
     return out.select("page_id", "doc_id", "source", "url", "timestamp")
 
