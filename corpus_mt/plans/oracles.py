@@ -509,7 +509,7 @@ ORACLES: dict[str, str] = {
         r AS (SELECT path, row_number() OVER (ORDER BY path) - 1 AS shard_idx FROM p)
         SELECT path, shard_idx, [3, 1, 4][shard_idx % 3 + 1]::INTEGER AS device FROM r""",
     "punct_norm": "SELECT doc_id, "
-    + _punct("replace(replace(text, ', ', " + _q(", ") + "), '. ', " + _q(" » ; (« ") + ")")
+    + _punct("replace(replace(text, ', ', " + _q(",\u00a0") + "), '. ', " + _q("\u00a0»\u00a0; («\u00a0") + ")")
     + " AS text FROM documents",
     "numeral_norm": f"SELECT doc_id, {_numerals('translate(text, ' + chr(39) + '0123456789' + chr(39) + ', ' + _q('०১૨೩۴୫੬᱗౮꯹') + ')')} AS text FROM documents",
     "entity_spans": f"""

@@ -266,7 +266,7 @@ def shard_round_robin(spark, d):
 
 def punct_norm(spark, d):
     # Some of the ordinary spacing becomes no-break spacing and guillemets, to meet every rule.
-    odd = F.replace(F.replace(F.col("text"), F.lit(", "), F.lit(", ")), F.lit(". "), F.lit(" » ; (« "))
+    odd = F.replace(F.replace(F.col("text"), F.lit(", "), F.lit(",\u00a0")), F.lit(". "), F.lit("\u00a0»\u00a0; («\u00a0"))
     return _read(spark, d, "documents").select("doc_id", st.normalize_punctuation(odd).alias("text"))
 
 
