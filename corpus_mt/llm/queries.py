@@ -8,15 +8,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_mt.llm import langid, license_scan, packing, token_count, warc
+from corpus_mt.llm import langid, license_scan, mixing, packing, quality, token_count, url_filter, warc
 
 TOKENIZER = "word_bpe_49k.json"
+URL_RULES = (
+    url_filter.Rule("net", "/", url_filter.BLOCK),
+    url_filter.Rule("example.net", "/en/", url_filter.ALLOW),
+    url_filter.Rule("example.com", "/de/", url_filter.BLOCK),
+    url_filter.Rule("org", "/fr/", url_filter.ALLOW),
+)
+# Between the sources' own shares (1) and equal ones (0).
+MIX_POWER = 0.5
 
 
 def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    pages = _read(spark, d, "pages")
+    judged = url_filter.filter_urls(pages, URL_RULES, url_filter.count_words(pages, "html"))
+    return judged.withColumn("host_words", F.array_join("host_words", " "))
+
+
 def op2_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(_read(spark, d, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -40,6 +54,14 @@ def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
     return predicted.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    return quality.judge(_read(spark, d, "documents"), _read(spark, d, "labels"))
+
+
+def op8_source_mixing(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.schedule(_read(spark, d, "documents").select("doc_id", "source"), MIX_POWER)
+
+
 def op9_license_scan(spark: SparkSession, d: str) -> DataFrame:
     return license_scan.license_digest(license_scan.scan_licenses(_read(spark, d, "documents")))
 
@@ -49,7 +71,17 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_best_fit_packing, op3_warc_salvage, op4_language_id, op9_license_scan, op10_token_counts)
+    f.__name__: f
+    for f in (
+        op1_url_filter,
+        op2_best_fit_packing,
+        op3_warc_salvage,
+        op4_language_id,
+        op5_quality_rules,
+        op8_source_mixing,
+        op9_license_scan,
+        op10_token_counts,
+    )
 }
 
 ORACLES: dict[str, str] = {
