@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_mt.llm import langid, license_scan, mixing, packing, quality, token_count, url_filter, warc
+from corpus_mt.llm import ann, langid, license_scan, mixing, neardup, packing, quality, token_count, url_filter, warc
 
 TOKENIZER = "word_bpe_49k.json"
 URL_RULES = (
@@ -58,6 +58,15 @@ def op5_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality.judge(_read(spark, d, "documents"), _read(spark, d, "labels"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    vectors = _read(spark, d, "embeddings")
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+def op7_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.classes(_read(spark, d, "documents")).drop("node")
+
+
 def op8_source_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.schedule(_read(spark, d, "documents").select("doc_id", "source"), MIX_POWER)
 
@@ -78,6 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_warc_salvage,
         op4_language_id,
         op5_quality_rules,
+        op6_nearest_neighbours,
+        op7_near_duplicates,
         op8_source_mixing,
         op9_license_scan,
         op10_token_counts,
