@@ -24,13 +24,17 @@ HEADLINE = (
     "chunk_template",
     "sentence_template",
     "sentence_rows",
+    "stream_sentences",
     "global_index",
     "batch_csv_positions",
     "punct_norm",
+    "entity_spans",
     "entity_wrap",
+    "entity_restore",
     "preprocess",
     "encode_ids",
     "binarize",
+    "pad_longest",
     "model_output",
     "decode",
     "postprocess",
@@ -53,6 +57,8 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": str(2 * int(cpus) if cpus.isdigit() else 16),
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
+            # The given tables are single files of one row group.
+            "spark.corpus_mt.dealPartitions": str(2 * int(cpus) if cpus.isdigit() else 16),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

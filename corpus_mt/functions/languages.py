@@ -45,13 +45,6 @@ def language_code(tag: str) -> str:
     return LANGUAGE_CODES[tag]
 
 
-def language_code_column(tag: Column) -> Column:
-    """Short code of a tag column; an unknown tag fails the job."""
-    table = F.create_map(*[F.lit(v) for pair in LANGUAGE_CODES.items() for v in pair])
-    unknown = F.raise_error(F.concat(F.lit("unknown language tag "), F.coalesce(tag, F.lit("null"))))
-    return F.coalesce(F.try_element_at(table, tag), unknown)
-
-
 def script_of(tag: str) -> str:
     language_code(tag)
     return tag.split("_")[1]

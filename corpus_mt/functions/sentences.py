@@ -115,6 +115,21 @@ ODIA_FIX = ("\u0b2f\u0b3c", "\u0b5f")
 INDIC_PUNCTUATION = r"[!-/:-@\[-`{-~\x{964}\x{965}\x{AAF0}\x{AAF1}\x{ABEB}-\x{ABEF}\x{1C7E}\x{1C7F}]"
 # --------------------------------------------------------------------------------
 
+# The entity patterns as they are searched for: the same matches, but every run of characters is
+# read once (possessive) and entered at its start, or where the last match ended.  A run of n digits would
+# otherwise be cut in n^3 ways, and a repeated group overflows the stack.
+_EMAIL_SEARCH = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}"
+# What follows the first label may hold further labels, so one is enough to ask for.
+_URL_SEARCH = r"(?U)\b(?<![\w/.])(?:(?:https?|ftp)://)?[\w-]++\.(?!\.)[\w/\-?#&=%.]+(?!\.\w+)\b"
+# Two numbers with something between them, or run together; then the shorter forms.
+_NUMBER = r"\d++(?:\.\d*+)?+"
+_NUMERAL_SEARCH = (
+    rf"(?U)(~?(?<!\d){_NUMBER}\s?%?\s?-?\s?~?{_NUMBER}\s?%"
+    r"|~?(?<!\d)(?:\d{2,}+\.?+|\d++\.\d++(?:\.\d*+)?+)\s?%|~?(?<!\d)\d++%"
+    r"|(?<!\d)\d++[-\/.,:']\d++[-\/.,:'+]\d++(?:\.\d++)?+|(?<!\d)\d++[-\/.:'+]\d++(?:\.\d++)?+)"
+)
+_HANDLE_SEARCH = r"(?U)(?:\G|(?<![A-Za-z0-9]))[A-Za-z0-9]*+[#|@]\w+"
+
 ENTITY_TYPE = "array<struct<serial:int,entity:string>>"
 
 
@@ -152,19 +167,19 @@ def normalize_numerals(col: Column) -> Column:
 
 
 def email_spans(col: Column) -> Column:
-    return F.regexp_extract_all(col, F.lit(EMAIL), 0)
+    return F.regexp_extract_all(col, F.lit(_EMAIL_SEARCH), 0)
 
 
 def url_spans(col: Column) -> Column:
-    return F.regexp_extract_all(col, F.lit(URL), 0)
+    return F.regexp_extract_all(col, F.lit(_URL_SEARCH), 0)
 
 
 def numeral_spans(col: Column) -> Column:
-    return F.regexp_extract_all(col, F.lit(NUMERAL), 0)
+    return F.regexp_extract_all(col, F.lit(_NUMERAL_SEARCH), 0)
 
 
 def handle_spans(col: Column) -> Column:
-    return F.regexp_extract_all(col, F.lit(HANDLE), 0)
+    return F.regexp_extract_all(col, F.lit(_HANDLE_SEARCH), 0)
 
 
 def _drop_chars(col: Column, chars: str) -> Column:

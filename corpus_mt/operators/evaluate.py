@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,7 +63,6 @@ def run_evaluation(
     vocab: Vocabulary,
     translate: Callable[[DataFrame], DataFrame],
     placeholders: bool = True,
-    row_key: Sequence[str] = ("id", "src_lang", "tgt_lang"),
 ) -> DataFrame:
     """Adds ``translated_input_ids`` and ``prediction``: binarize, translate and decode every
     pair and data set in one job.
@@ -71,9 +72,9 @@ def run_evaluation(
     """
     ready = binarize(
         paired, vocab, F.col("src_lang"), F.col("tgt_lang"), "source", "max_length",
-        index="id", placeholders=placeholders, row_key=row_key,
+        index="id", placeholders=placeholders,
     )
-    done = decode(translate(ready), vocab, F.col("tgt_lang"), out="prediction", row_key=row_key)
+    done = decode(translate(ready), vocab, F.col("tgt_lang"), out="prediction")
     return done.select(*paired.columns, "translated_input_ids", "prediction")
 
 
@@ -88,69 +89,63 @@ def word_tokens(col: Column) -> Column:
     return F.filter(F.split(col, r"\s+"), lambda w: w != "")
 
 
-def _ngrams(items: Column, n: int, sep: str) -> Column:
-    starts = F.sequence(F.lit(1), F.size(items) - n + 1)
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(items, i, n), sep))
-    return F.when(F.size(items) >= n, grams).otherwise(F.array().cast("array<string>"))
+def _overlap(order: int):
+    """An Arrow function from two texts to ``3 * order`` numbers: per n the n-grams they share
+    (each as often as both have it), and those of either side.
 
-
-def _matches(df: DataFrame, row_key: Sequence[str], group: Sequence[str], pred: Column, ref: Column, order: int, sep: str) -> DataFrame:
-    """Per group and n: clipped matches and n-gram totals of both sides.
-
-    Counts of a sentence meet on (sentence, n, n-gram), combined before the shuffle; the
-    key is never shared between sentences, so no n-gram is hot.
+    Texts are lists of words, or strings of characters.  Everything is counted inside the row:
+    no n-gram leaves it.
     """
 
-    def side(items: Column, is_pred: int) -> Column:
-        def tagged(n: int) -> Column:
-            tag = lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"), F.lit(is_pred).alias("p"))
-            return F.transform(_ngrams(items, n, sep), tag)
+    def count(items, n: int) -> Counter:
+        if isinstance(items, str):
+            return Counter([items[i : i + n] for i in range(len(items) - n + 1)])
+        return Counter(zip(*[items[k:] for k in range(n)], strict=False))
 
-        return F.flatten(F.array(*[tagged(n) for n in range(1, order + 1)]))
+    def numbers(pred, ref) -> list[int]:
+        out = []
+        for n in range(1, order + 1):
+            a, b = count(pred, n), count(ref, n)
+            out += [sum((a & b).values()), a.total(), b.total()]
+        return out
 
-    keys = [*dict.fromkeys([*group, *row_key])]
-    sides = df.select(*keys, pred.alias("_pred"), ref.alias("_ref"))
-    grams = sides.select(*keys, F.explode(F.concat(side(F.col("_pred"), 1), side(F.col("_ref"), 0))).alias("_g"))
-    counts = grams.groupBy(*keys, "_g.n", "_g.gram").agg(
-        F.sum("_g.p").alias("in_pred"), F.sum(1 - F.col("_g.p")).alias("in_ref")
-    )
-    return counts.groupBy(*group, "n").agg(
-        F.sum(F.least("in_pred", "in_ref")).alias("matched"),
-        F.sum("in_pred").alias("pred_total"),
-        F.sum("in_ref").alias("ref_total"),
-    )
+    @F.pandas_udf("array<bigint>")
+    def overlap(pred: pd.Series, ref: pd.Series) -> pd.Series:
+        plain = lambda x: x if isinstance(x, str) else list(x)
+        return pd.Series([numbers(plain(p), plain(r)) for p, r in zip(pred, ref, strict=True)])
 
+    return overlap
 
-def _at(n: int, value: str) -> Column:
-    return F.coalesce(F.max(F.when(F.col("n") == n, F.col(value))), F.lit(0))
 
+def _matches(df: DataFrame, group: Sequence[str], pred: Column, ref: Column, order: int) -> DataFrame:
+    """Per group ``m1, t1, r1, m2, ...``: clipped matches and n-gram totals of both sides, in one aggregate."""
+    rows = df.select(*group, _overlap(order)(pred, ref).alias("_o"))
+    names = [f"{c}{n}" for n in range(1, order + 1) for c in "mtr"]
+    return rows.groupBy(*group).agg(*[F.coalesce(F.sum(F.get("_o", F.lit(i))), F.lit(0)).alias(c) for i, c in enumerate(names)])
 
-def corpus_bleu(
-    df: DataFrame, row_key: Sequence[str], group: Sequence[str] = (), pred: str = "prediction", ref: str = "reference"
-) -> DataFrame:
-    """Corpus BLEU per group: up to 4-grams, clipped counts, brevity penalty, no smoothing."""
-    stats = _matches(df, row_key, group, word_tokens(F.col(pred)), word_tokens(F.col(ref)), BLEU_ORDER, " ")
-    flat = stats.groupBy(*group).agg(
-        *[_at(n, "matched").alias(f"m{n}") for n in range(1, BLEU_ORDER + 1)],
-        *[_at(n, "pred_total").alias(f"t{n}") for n in range(1, BLEU_ORDER + 1)],
-        _at(1, "ref_total").alias("ref_len"),
-    )
+
+def corpus_bleu(df: DataFrame, group: Sequence[str] = (), pred: str = "prediction", ref: str = "reference") -> DataFrame:
+    """Corpus BLEU per group: up to 4-grams, clipped counts, brevity penalty, no smoothing; missing text is empty."""
+    words = lambda c: F.coalesce(word_tokens(F.col(c)), F.array().cast("array<string>"))
+    flat = _matches(df, group, words(pred), words(ref), BLEU_ORDER)
     logs = sum(F.log(F.col(f"m{n}") / F.col(f"t{n}")) for n in range(1, BLEU_ORDER + 1)) / BLEU_ORDER
     possible = F.least(*[F.col(f"m{n}") for n in range(1, BLEU_ORDER + 1)]) > 0
-    brevity = F.when(F.col("t1") >= F.col("ref_len"), 1.0).otherwise(F.exp(1 - F.col("ref_len") / F.col("t1")))
+    brevity = F.when(F.col("t1") >= F.col("r1"), 1.0).otherwise(F.exp(1 - F.col("r1") / F.col("t1")))
     return flat.select(*group, F.when(possible, 100 * brevity * F.exp(logs)).otherwise(0.0).alias("bleu"))
 
 
-def corpus_chrf(
-    df: DataFrame, row_key: Sequence[str], group: Sequence[str] = (), pred: str = "prediction", ref: str = "reference"
-) -> DataFrame:
-    """Corpus chrF per group: character 1- to 6-grams without white space, beta 2."""
-    chars = lambda c: F.filter(F.split(F.regexp_replace(c, r"\s+", ""), ""), lambda x: x != "")
-    stats = _matches(df, row_key, group, chars(F.col(pred)), chars(F.col(ref)), CHRF_ORDER, "")
-    precision = F.avg(F.when(F.col("pred_total") > 0, F.col("matched") / F.col("pred_total")))
-    recall = F.avg(F.when(F.col("ref_total") > 0, F.col("matched") / F.col("ref_total")))
-    both = stats.filter((F.col("pred_total") > 0) & (F.col("ref_total") > 0)).groupBy(*group)
-    scored = both.agg(precision.alias("p"), recall.alias("r"))
+def corpus_chrf(df: DataFrame, group: Sequence[str] = (), pred: str = "prediction", ref: str = "reference") -> DataFrame:
+    """Corpus chrF per group: character 1- to 6-grams without white space, beta 2; missing text is empty.
+
+    Orders that either side of the group has no n-gram of are left out of the mean.
+    """
+    chars = lambda c: F.coalesce(F.regexp_replace(F.col(c), r"\s+", ""), F.lit(""))
+    stats = _matches(df, group, chars(pred), chars(ref), CHRF_ORDER)
+    orders = range(1, CHRF_ORDER + 1)
+    both = lambda n: (F.col(f"t{n}") > 0) & (F.col(f"r{n}") > 0)
+    share = lambda c: sum(F.when(both(n), F.col(f"m{n}") / F.col(f"{c}{n}")).otherwise(0.0) for n in orders)
+    used = F.greatest(sum(both(n).cast("int") for n in orders), F.lit(1))
+    scored = stats.select(*group, (share("t") / used).alias("p"), (share("r") / used).alias("r"))
     b2 = CHRF_BETA**2
     f = (1 + b2) * F.col("p") * F.col("r") / (b2 * F.col("p") + F.col("r"))
     return scored.select(*group, F.when(F.col("p") + F.col("r") > 0, 100 * f).otherwise(0.0).alias("chrf"))

@@ -28,14 +28,17 @@ def sort_rows(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     return ties.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie", "_spread")
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str] = (), name: str = "row_idx", start: int = 0) -> DataFrame:
+def number_rows(
+    df: DataFrame, order_by: Sequence[str] = (), name: str = "row_idx", start: int = 0, total: str | None = None
+) -> DataFrame:
     """Contiguous row numbers ``start .. start + n - 1`` over the whole table.
 
     No global window: sorted rows are staged with their partition and place.  Row counts per
     partition then give the offsets, and those are one small row per partition.  Without
     ``order_by`` the rows are numbered where they lie and nothing shuffles; that also
     follows the order of rows that went through ``sort_rows`` and narrow steps only, and is
-    the cheaper way when the rows to number are costly to compute.
+    the cheaper way when the rows to number are costly to compute.  ``total`` names a column
+    for the number of rows, which is known by then.
     """
     if order_by:
         df = sort_rows(df, order_by)
@@ -46,10 +49,12 @@ def number_rows(df: DataFrame, order_by: Sequence[str] = (), name: str = "row_id
         F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row"),
     ).drop("_at")
     counts = place.groupBy("_part").agg((F.max("_row") + 1).alias("n"))
-    offsets, total = [], start
+    offsets, end = [], start
     for part, n in sorted(tuple(r) for r in counts.collect()):  # one row per partition
-        offsets.append((part, total))
-        total += n
+        offsets.append((part, end))
+        end += n
+    if total:
+        place = place.withColumn(total, F.lit(end - start).cast("bigint"))
     if not offsets:
         return place.drop("_part", "_row").withColumn(name, F.lit(start).cast("bigint"))
     table = df.sparkSession.createDataFrame(offsets, "_part bigint, _offset bigint")
@@ -76,7 +81,7 @@ def batch_name(batch: Column, total: int | Column, batch_rows: int = BATCH_ROWS)
 def add_translation_folder(
     docs: DataFrame,
     base: str,
-    total: int | None = None,
+    total: int | Column,
     index: str = "row_idx",
     batch_rows: int = BATCH_ROWS,
     name: str = "tlt_folder",
@@ -84,10 +89,9 @@ def add_translation_folder(
     """``base / batch name / doc_id`` for each numbered document.
 
     The batch name is worked out per row: hashing two kilobytes costs far less than moving
-    the document to meet its batch.  ``total`` is the row count, looked up when not given.
+    the document to meet its batch.  ``total`` is the count of the numbering that gave the
+    indexes, so the last batch has the same name wherever it is worked out.
     """
-    if total is None:
-        total = (docs.agg(F.max(index)).first()[0] or 0) + 1
     batch = batch_name(batch_of(F.col(index), batch_rows), total, batch_rows)
     return docs.withColumn(name, F.concat_ws("/", F.lit(base.rstrip("/")), batch, "doc_id"))
 
@@ -114,6 +118,11 @@ def plan_partitions(rows: int, rows_per_partition: int = DOCS_PER_PARTITION) ->
     return max(1, math.ceil(rows / rows_per_partition))
 
 
+def partitions_for(rows: Column, rows_per_partition: int = DOCS_PER_PARTITION) -> Column:
+    """The same for a column of row counts."""
+    return F.greatest(F.ceil(rows / rows_per_partition), F.lit(1)).cast("bigint")
+
+
 def salt_partitions(df: DataFrame, n: int) -> DataFrame:
     """Spread rows evenly over ``n`` partitions, whatever their keys.
 
@@ -130,15 +139,6 @@ def split_and_salt(df: DataFrame, rows_per_partition: int = DOCS_PER_PARTITION)
     return salt_partitions(df, n), rows, n
 
 
-def widen(df: DataFrame, per_core: int = 2) -> DataFrame:
-    """Deal rows out only when the scan has fewer partitions than the cluster has cores.
-
-    A large table already has more splits than cores and passes through unshuffled.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want * per_core) if df.rdd.getNumPartitions() < want else df
-
-
 def assign_rank(df: DataFrame, world_size: int, total: int, index: str = "tlt_idx", name: str = "rank") -> DataFrame:
     """Contiguous slice of rows for each worker; the first ``total % world_size`` get one more."""
     size, extra = divmod(total, world_size)

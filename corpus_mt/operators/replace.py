@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,17 +13,9 @@ from corpus_mt.operators.layout import reroot_path
 from corpus_mt.operators.sentences import explode_sentences, open_list
 
 
-def _replace_by_pattern(text: str, keys: list, values: list) -> str:
-    """Alternation tries keys in order; its cost grows with text times keys."""
-    table = dict(zip(keys, values))
-    return re.sub("|".join(map(re.escape, table)), lambda m: table[m.group(0)], text)
-
-
 def _replace_by_automaton(text: str, keys: list, values: list) -> str:
     """Time linear in the text: at each place the earliest listed key that starts there wins."""
-    from ahocorasick import Automaton
-
-    automaton = Automaton()
+    automaton = ahocorasick.Automaton()
     for rank, key in enumerate(keys):
         automaton.add_word(key, (rank, len(key)))
     automaton.make_automaton()
@@ -42,20 +33,10 @@ def _replace_by_automaton(text: str, keys: list, values: list) -> str:
     return "".join([*out, text[done:]])
 
 
-def _replacer():
-    """The automaton where its library is installed; both give the same result."""
-    try:
-        import ahocorasick  # noqa: F401
-    except ImportError:
-        return _replace_by_pattern
-    return _replace_by_automaton
-
-
 @F.pandas_udf(StringType())
 def _replace_arrow(text: pd.Series, keys: pd.Series, values: pd.Series) -> pd.Series:
-    one = _replacer()
     return pd.Series(
-        [None if t is None else one(t, list(k), list(v)) for t, k, v in zip(text, keys, values)], dtype=object
+        [None if t is None else _replace_by_automaton(t, list(k), list(v)) for t, k, v in zip(text, keys, values)], dtype=object
     )
 
 
@@ -71,6 +52,11 @@ def replace_substrings(text: Column, keys: Column, values: Column) -> Column:
     return F.coalesce(_replace_arrow(sent, F.when(worth, keys), F.when(worth, values)), text)
 
 
+def plain_path(path: Column) -> Column:
+    """A path or URI without scheme and host, with one slash at its start."""
+    return F.regexp_replace(F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "^/*", "/")
+
+
 def lookup_translations(
     docs: DataFrame, translations: DataFrame, decode_base: str | None = None
 ) -> DataFrame:
@@ -78,12 +64,17 @@ def lookup_translations(
 
     ``docs`` has ``doc_id, sids, sub_strs, tlt_folder``; ``translations`` has ``path,
     translated``, where the path is that of the substring, re-rooted when a base is given.
+    Paths meet without their scheme and host, so a table may hold URIs or plain paths.  Copies of a
+    document share their paths: a path counts once, however often it was written, and a path
+    that very many documents ask for is split by adaptive execution.
     """
     rows = explode_sentences(docs, ("doc_id", "tlt_folder"))
     if decode_base:
         rows = rows.withColumn("tlt_file_loc", reroot_path(F.col("tlt_file_loc"), decode_base))
-    rows = rows.withColumnRenamed("tlt_file_loc", "path")
-    return rows.join(translations.select("path", "translated"), "path").drop("path")
+    rows = rows.withColumn("path", plain_path(F.col("tlt_file_loc"))).drop("tlt_file_loc")
+    stored = translations.select(plain_path(F.col("path")).alias("path"), "translated").filter("translated IS NOT NULL")
+    once = stored.groupBy("path").agg(F.min("translated").alias("translated"))
+    return rows.join(once, "path").drop("path")
 
 
 def with_positions(docs: DataFrame, translations: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -10,12 +11,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from corpus_mt.functions import languages as lang
 from corpus_mt.functions import sentences as st
 from corpus_mt.operators.layout import batch_of
 from corpus_mt.operators.sentences import open_list
+from corpus_mt.operators.skew import spread_join
+from corpus_mt.session import stage_table
+from corpus_mt.worker import worker_state
 
 # --- fixed values ---------------------------------------------------------------
 BOS, PAD, EOS, UNK = "<s>", "<pad>", "</s>", "<unk>"
@@ -28,8 +32,6 @@ SPECIAL_TOKENS = (BOS, PAD, EOS)
 # A vocabulary up to this many entries and bytes is sent to every executor.
 BROADCAST_ENTRIES = 1_000_000
 BROADCAST_BYTES = 64 << 20
-# Beyond that it is joined, with frequent tokens spread over this many salts.
-JOIN_SALTS = 32
 
 
 def word_pieces(text: Column) -> Column:
@@ -103,11 +105,14 @@ def tokens_to_text(tokens: Column, src: bool = False) -> Column:
 class Vocabulary:
     """Source and target vocabularies: tables ``token string, id int``.
 
-    What the driver needs of a side (its size and three special ids) is looked up once.
+    A token listed more than once has its least id; of tokens that share an id the first in
+    order stands for it.  What the driver needs of a side (its size and three special ids) is
+    looked up once.
     """
 
     def __init__(self, source: DataFrame, target: DataFrame) -> None:
-        narrow = lambda t: t.select("token", F.col("id").cast("int").alias("id"))
+        named = lambda t: t.filter(F.col("token").isNotNull() & F.col("id").isNotNull())
+        narrow = lambda t: named(t).groupBy("token").agg(F.min(F.col("id").cast("int")).alias("id"))
         self.source = narrow(source)
         self.target = self.source if target is source else narrow(target)
         self._facts: dict = {}
@@ -148,13 +153,19 @@ class Vocabulary:
         about = self._about(src)
         return about.entries <= max_entries and about.bytes <= BROADCAST_BYTES
 
-    def small_table(self, src: bool) -> tuple[pa.Array, pa.Array]:
-        """Tokens and ids of a side that fits."""
-        table = self.side(src)
-        if id(table) not in self._small:
-            arrow = table.toArrow()
-            self._small[id(table)] = (arrow["token"].combine_chunks(), arrow["id"].combine_chunks())
-        return self._small[id(table)]
+    def lookup_table(self, src: bool, to_ids: bool) -> DataFrame:
+        """``_key, _value`` with distinct keys: token to id, or id to token."""
+        if to_ids:
+            return self.side(src).select(F.col("token").alias("_key"), F.col("id").alias("_value"))
+        return self.side(src).groupBy(F.col("id").alias("_key")).agg(F.min("token").alias("_value"))
+
+    def small_table(self, src: bool, to_ids: bool) -> tuple[str, pa.Array, pa.Array]:
+        """A name for the lookup table of a side that fits, its keys and values."""
+        at = (id(self.side(src)), to_ids)
+        if at not in self._small:
+            arrow = self.lookup_table(src, to_ids).toArrow()
+            self._small[at] = (uuid.uuid4().hex, arrow["_key"].combine_chunks(), arrow["_value"].combine_chunks())
+        return self._small[at]
 
 
 def _offsets(lists: pa.Array) -> pa.Array:
@@ -163,7 +174,14 @@ def _offsets(lists: pa.Array) -> pa.Array:
     return pa.array(np.concatenate([[0], ends]).astype("int32"))
 
 
-def _list_lookup(keys: pa.Array, values: pa.Array, default, value_type, df: DataFrame):
+def _places(name: str, keys: pa.Array, wanted: pa.Array) -> pa.Array:
+    """Where each wanted value stands among the keys, null if nowhere; the hash is built once per worker."""
+    index = worker_state(f"lookup-{keys.type}", lambda: pd.Index(keys.to_numpy(zero_copy_only=False)), name)
+    at = index.get_indexer(wanted.to_numpy(zero_copy_only=False))
+    return pa.array(at, mask=at < 0)
+
+
+def _list_lookup(name: str, keys: pa.Array, values: pa.Array, default, value_type, df: DataFrame):
     """An Arrow function mapping every element of a list column through a small table."""
     shared = df.sparkSession.sparkContext.broadcast((keys, values))
     fallback = pa.scalar(default, values.type)
@@ -171,43 +189,30 @@ def _list_lookup(keys: pa.Array, values: pa.Array, default, value_type, df: Data
     @F.arrow_udf(ArrayType(value_type))
     def look_up(lists: pa.Array) -> pa.Array:
         table_keys, table_values = shared.value
-        flat = lists.flatten()
-        hit = pc.index_in(flat.cast(table_keys.type), value_set=table_keys)
+        hit = _places(name, table_keys, lists.flatten())
         out = pc.fill_null(pc.take(table_values, hit), fallback)
         return pa.ListArray.from_arrays(_offsets(lists), out)
 
     return look_up
 
 
-def _map_list(
-    df: DataFrame, col: str, out: str, vocab: Vocabulary, src: bool, to_ids: bool, row_key: Sequence[str], max_broadcast: int
-) -> DataFrame:
-    table = vocab.side(src)
-    key, value = ("token", "id") if to_ids else ("id", "token")
+def _map_list(df: DataFrame, col: str, out: str, vocab: Vocabulary, src: bool, to_ids: bool, max_broadcast: int) -> DataFrame:
     default = vocab.special_ids()[0] if to_ids else UNK
+    value_type = IntegerType() if to_ids else StringType()
     if vocab.fits_broadcast(src, max_broadcast):
-        tokens, ids = vocab.small_table(src)
-        pair = (tokens, ids) if to_ids else (ids, tokens)
-        udf = _list_lookup(*pair, default, table.schema[value].dataType, df)
+        udf = _list_lookup(*vocab.small_table(src, to_ids), default, value_type, df)
         return df.withColumn(out, F.when(F.col(col).isNotNull(), udf(F.coalesce(F.col(col), F.array().cast(df.schema[col].dataType)))))
-    # A large table: one row per element, joined on (element, salt) and gathered again.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))).alias("_salt")
-    right = table.select(F.col(key).alias("_key"), F.col(value).alias("_value"), salts)
-    left = open_list(df, row_key, col, "_pos", "_key").withColumn(
-        "_salt", F.pmod(F.xxhash64(*row_key, "_pos"), F.lit(JOIN_SALTS)).cast("int")
-    )
-    found = left.join(right, ["_key", "_salt"], "left").select(
-        *row_key, "_pos", F.coalesce("_value", F.lit(default)).alias("_value")
-    )
-    lists = found.groupBy(*row_key).agg(
+    # A large table: one row per element, joined and gathered again.  Rows are told apart by
+    # a number given while they are staged, never by a key of theirs, which may repeat.
+    rows = stage_table(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    left = open_list(rows, ["_row"], col, "_pos", "_key")
+    found = spread_join(left, vocab.lookup_table(src, to_ids), "_key").select("_row", "_pos", F.coalesce("_value", F.lit(default)).alias("_value"))
+    lists = found.groupBy("_row").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_pos", "_value"))), lambda s: s["_value"]).alias("_list")
     )
-    empty = F.array().cast(ArrayType(table.schema[value].dataType))
-    return (
-        df.join(lists, list(row_key), "left")
-        .withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce("_list", empty)))
-        .drop("_list")
-    )
+    empty = F.array().cast(ArrayType(value_type))
+    joined = rows.join(lists, "_row", "left").withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce("_list", empty)))
+    return joined.drop("_list", "_row")
 
 
 def encode_ids(
@@ -216,15 +221,14 @@ def encode_ids(
     tokens: str = "tokens",
     out: str = "input_ids",
     src: bool = True,
-    row_key: Sequence[str] = ("tlt_idx",),
     max_broadcast: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
     """Token arrays to id arrays.
 
     A vocabulary whose size is checked to be small goes to the executors and is looked up
-    in Arrow batches, with no shuffle; a larger one is joined (``row_key`` must be unique).
+    in Arrow batches, with no shuffle; a larger one is joined.  Both give the same.
     """
-    return _map_list(df, tokens, out, vocab, src, True, row_key, max_broadcast)
+    return _map_list(df, tokens, out, vocab, src, True, max_broadcast)
 
 
 def decode_tokens(
@@ -233,21 +237,20 @@ def decode_tokens(
     ids: str = "translated_input_ids",
     out: str = "tokens",
     src: bool = False,
-    row_key: Sequence[str] = ("tlt_idx",),
     max_broadcast: int = BROADCAST_ENTRIES,
 ) -> DataFrame:
     """Id arrays to token arrays; an unknown id gives the unknown token."""
-    return _map_list(df, ids, out, vocab, src, False, row_key, max_broadcast)
+    return _map_list(df, ids, out, vocab, src, False, max_broadcast)
 
 
-def _joined_lookup(keys: pa.Array, values: pa.Array, df: DataFrame):
+def _joined_lookup(name: str, keys: pa.Array, values: pa.Array, df: DataFrame):
     """An Arrow function from id lists to their tokens run together, special tokens left out."""
     shared = df.sparkSession.sparkContext.broadcast((keys, pc.fill_null(values, UNK)))
 
     @F.arrow_udf(StringType())
     def join(lists: pa.Array) -> pa.Array:
         table_keys, table_values = shared.value
-        hit = pc.index_in(lists.flatten().cast(table_keys.type), value_set=table_keys)
+        hit = _places(name, table_keys, lists.flatten())
         tokens = pc.fill_null(pc.take(table_values, hit), UNK)
         tokens = pc.if_else(pc.is_in(tokens, value_set=pa.array(SPECIAL_TOKENS, tokens.type)), "", tokens)
         return pc.binary_join(pa.ListArray.from_arrays(_offsets(lists), tokens), "")
@@ -260,8 +263,7 @@ def decode_text(
 ) -> DataFrame:
     """Id arrays to text."""
     if not src and vocab.fits_broadcast(src, max_broadcast):
-        tokens, known = vocab.small_table(src)
-        join = _joined_lookup(known, tokens, df)
+        join = _joined_lookup(*vocab.small_table(src, False), df)
         lists = F.coalesce(F.col(ids), F.array().cast("array<int>"))
         return df.withColumn(out, tokens_to_text(F.array(join(lists))))
     decoded = decode_tokens(df, vocab, ids, "_tokens", src, max_broadcast=max_broadcast, **lookup)
@@ -321,7 +323,7 @@ def tokenize_batch(
         out = out.withColumn("lengths", F.size("_tokens"))
     # Padding is added to the ids: only real tokens are looked up.
     _, pad, eos = vocab.special_ids()
-    out = encode_ids(out, vocab, "_tokens", "input_ids", src, **{"row_key": (index,), **lookup}).drop("_tokens")
+    out = encode_ids(out, vocab, "_tokens", "input_ids", src, **lookup).drop("_tokens")
     out = pad_batch(out, "input_ids", padding, max_length, batch_rows, index, pad=pad, eos=eos)
     return out if with_mask else out.drop("attention_mask")
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from corpus_mt.operators.skew import spread_join
 from corpus_mt.session import stage_table
 
 # Takes padded ids and masks as two-dimensional arrays, gives one id sequence per row.
@@ -26,11 +27,6 @@ MODEL_OUTPUT_COLUMNS = (
     "tlt_file_loc",
 )
 
-# A sentence counts as hot when it fills more than this share of all rows, which at most
-# 1 / share sentences can do.
-HOT_SHARE = 1 / 1000
-ROWS_PER_SLICE = 100_000
-
 
 def _pad_left(lists: pa.ListArray, fill: int) -> np.ndarray:
     """Rows of a list array as one matrix, filled up on the left."""
@@ -62,14 +58,13 @@ def translate_ids(
         translator = None
         for batch in batches:
             translator = translator or make_translator()
+            outputs: list[Sequence[int]] = []
             for at in range(0, batch.num_rows, batch_rows):
                 part = batch.slice(at, batch_rows)
                 ids = _pad_left(part["input_ids"], pad_id)
-                outputs = translator(ids, _pad_left(part["attention_mask"], 0))
-                made = pa.array([np.asarray(o, dtype="int32") for o in outputs], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [*(part[n] for n in names), made], names=[*names, "translated_input_ids"]
-                )
+                outputs += translator(ids, _pad_left(part["attention_mask"], 0))
+            made = pa.array([np.asarray(o, dtype="int32") for o in outputs], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), made], names=[*names, "translated_input_ids"])
 
     return df.mapInArrow(run, schema)
 
@@ -95,23 +90,10 @@ def distinct_sentences(sentences: DataFrame) -> DataFrame:
 def fan_out(sentences: DataFrame, translations: DataFrame, how: str = "left") -> DataFrame:
     """Join translations of distinct sentences (``sid``, ``n_uses``, ...) back to every use.
 
-    Uses of a hot sentence are dealt over several salts and its translation copied to each,
-    so no task receives them all.  The table of hot ids is small by construction: each one
-    fills more than ``HOT_SHARE`` of the rows.
+    Uses of a frequent sentence are dealt over several tasks and its translation copied to each.
     """
-    total = translations.agg(F.sum("n_uses")).first()[0] or 0
-    limit = max(total * HOT_SHARE, ROWS_PER_SLICE)
-    slices = F.when(F.col("n_uses") > limit, F.ceil(F.col("n_uses") / ROWS_PER_SLICE)).otherwise(1).cast("int")
-    hot = translations.filter(F.col("n_uses") > limit).select("sid", slices.alias("_slices"))
-    right = translations.withColumn("_salt", F.explode(F.sequence(F.lit(0), slices - 1))).drop("n_uses")
-    left = sentences.join(F.broadcast(hot), "sid", "left").withColumn(
-        "_salt",
-        F.coalesce(
-            F.pmod(F.xxhash64("doc_id", "pos"), F.col("_slices")).cast("int"),
-            F.lit(0),
-        ),
-    )
-    return left.join(right, ["sid", "_salt"], how).drop("_slices", "_salt")
+    counts = translations.select("sid", F.col("n_uses").alias("n"))
+    return spread_join(sentences, translations.drop("n_uses"), "sid", counts, how)
 
 
 def translate_distinct(sentences: DataFrame, translate: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -85,7 +85,10 @@ indexed AS (SELECT *, row_number() OVER (ORDER BY raw_id, pos) - 1 AS tlt_idx FR
 
 # Documents numbered in id order, with the name of their batch of 256.
 NUMBERED = """
-numbered AS (SELECT doc_id AS raw_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM documents),
+numbered AS (
+  SELECT doc_id AS raw_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx
+  FROM documents WHERE text IS NOT NULL AND text <> '' AND text <> 'None'
+),
 batches AS (
   SELECT row_idx // 256 AS batch, sha256('[' || string_agg(row_idx::VARCHAR, ', ' ORDER BY row_idx) || ']') AS name
   FROM numbered GROUP BY 1
@@ -223,6 +226,14 @@ def _as_indic(x: str, code: str) -> str:
     return f"translate(lower({x}), '{letters}', {_q(''.join(chr(lang.BLOCK_START[code] + 0x15 + i) for i in range(26)))})"
 
 
+def _as_arabic(x: str) -> str:
+    arabic = "".join(chr(0x0628 + i) for i in range(19)) + "".join(chr(0x0641 + i) for i in range(7))
+    x = f"translate(lower({x}), 'abcdefghijklmnopqrstuvwxyz', {_q(arabic)})"
+    for mark, apart in ((".", " ۔"), (",", " ،"), ("?", " ؟"), ("-", "\u066e\u06ea")):
+        x = f"replace({x}, '{mark}', {_q(apart)})"
+    return x
+
+
 def _join_virama(x: str) -> str:
     return f"replace({x}, ' ' || chr(2381) || ' ', chr(2381))"
 
@@ -368,78 +379,107 @@ replaced AS (
 _TAGS = ", ".join(f"'{t}'" for t in lang.EVALUATED_LANGUAGES)
 PARALLEL = f"""
 langs AS (SELECT unnest([{_TAGS}]) AS lang),
+texts AS (
+  SELECT item_id AS id, 'gen' AS ds_type, lower(text) AS text FROM benchmark
+  UNION ALL
+  SELECT item_id, 'conv', lower(text) || ' on 12/10/2023?' FROM benchmark
+),
 parallel AS (
-  SELECT item_id AS id, '{lang.ENGLISH}' AS lang, lower(text) AS sentence FROM benchmark
+  SELECT id, ds_type, '{lang.ENGLISH}' AS lang, text AS sentence FROM texts
   UNION ALL
-  SELECT item_id, lang, lang || ' ' || reverse(lower(text)) FROM benchmark, langs
+  SELECT id, ds_type, lang, lang || ' ' || reverse(text) FROM texts, langs
 ),
 pairs AS (
-  SELECT a.id, a.lang AS src_lang, b.lang AS tgt_lang, a.sentence AS source, b.sentence AS reference,
+  SELECT a.id, a.ds_type, a.lang AS src_lang, b.lang AS tgt_lang, a.sentence AS source, b.sentence AS reference,
     CASE WHEN a.lang = '{lang.ENGLISH}' THEN 'en-indic' WHEN b.lang = '{lang.ENGLISH}' THEN 'indic-en' ELSE 'indic-indic' END AS direction
-  FROM parallel a JOIN parallel b ON a.id = b.id AND a.lang <> b.lang
+  FROM parallel a JOIN parallel b ON a.id = b.id AND a.ds_type = b.ds_type AND a.lang <> b.lang
 )"""
 
 
-def _evaluated() -> str:
-    detok = "decoded"
+def _repair_arabic(x: str) -> str:
     for old, new in st.PERSO_ARABIC_FIXES:
-        detok = f"replace({detok}, {_q(old)}, {_q(new)})"
-    arabic = f"CASE WHEN tgt_lang LIKE '%_Arab' THEN {detok} ELSE decoded END"
+        x = f"replace({x}, {_q(old)}, {_q(new)})"
+    return x
+
+
+def _detokenize_english(x: str) -> str:
+    for pattern, new in (
+        (r" ([,.!?;:%)\]}])", r"\1"),
+        (r"([(\[{]) ", r"\1"),
+        (r"([\p{L}]) ''([\p{L}])", r"\1''\2"),
+        ('" ([^"]*) "', r'"\1"'),
+    ):
+        x = f"regexp_replace({x}, '{pattern}', '{new}', 'g')"
+    return _collapse(x)
+
+
+def _evaluated() -> str:
+    """The stand-in sentences are in Latin letters, so no script is converted."""
+    keys = "id, ds_type, direction, src_lang, tgt_lang"
+    line = f"CASE WHEN src_lang = '{lang.ENGLISH}' THEN {_tokenize_english(_strip('t'))} ELSE {_join_virama(_tokenize_indic(_strip('t')))} END"
     return (
         "WITH "
         + PARALLEL
         + ","
         + VOCAB
+        + ",\n"
+        + _wrap_ctes("pairs", _numerals(_strip(_punct("source"))), keys + ", source, reference")
         + f""",
-lined AS (
-  SELECT id, src_lang, tgt_lang, source, reference,
-    src_lang || ' ' || tgt_lang || ' ' || {_tokenize_english(_strip(_numerals(_punct("source"))))} AS line
-  FROM pairs WHERE direction = 'en-indic'
-),
+lined AS (SELECT {keys}, source, reference, es, src_lang || ' ' || tgt_lang || ' ' || trim({line}, {WS}) AS line FROM wrapped),
 tokened AS (
   SELECT *, list_concat(string_split(line, ' ')[1:2], {WORDS.format(x="array_to_string(string_split(line, ' ')[3:], ' ')")})[1:255] AS toks
   FROM lined
 )"""
-        + _encoded("tokened", "id, src_lang, tgt_lang")
-        + ",\nmodel AS (SELECT id, src_lang, tgt_lang, list_reverse(ids[3:]) AS out FROM encoded)"
-        + _decoded("model", "id, src_lang, tgt_lang", "out")
+        + _encoded("tokened", keys)
+        + f",\nmodel AS (SELECT {keys}, list_reverse(ids[3:]) AS out FROM encoded)"
+        + _decoded("model", keys, "out")
         + f""",
-repaired AS (SELECT id, src_lang, tgt_lang, {arabic} AS t FROM out_text),
+repaired AS (
+  SELECT {keys}, es, source, reference,
+    CASE WHEN tgt_lang LIKE '%_Arab' THEN {_repair_arabic("coalesce(decoded, '')")} ELSE coalesce(decoded, '') END AS t
+  FROM lined LEFT JOIN out_text USING ({keys})
+),
+back AS (SELECT {keys}, source, reference, {_restore("t")} AS t FROM repaired),
 evaluated AS (
-  SELECT l.id, l.src_lang, l.tgt_lang, l.source, l.reference, {_detokenize_indic("coalesce(t, '')")} AS prediction
-  FROM lined l LEFT JOIN repaired USING (id, src_lang, tgt_lang)
+  SELECT {keys}, source, reference,
+    CASE WHEN tgt_lang = '{lang.ENGLISH}' THEN {_detokenize_english("t")} ELSE {_detokenize_indic("t")} END AS prediction
+  FROM back
 )
 """
     )
 
 
 _WORSE = "replace(replace(lower(text), ' the ', ' a '), 'er', 're')"
-SCORED = f"scored AS (SELECT conv_id, turn, role, lower(text) AS ref, {_WORSE} AS pred FROM conversations)"
+SCORED = f"WITH scored AS (SELECT conv_id, turn, role, lower(text) AS ref, {_WORSE} AS pred FROM conversations)"
 
 
-def _gram_counts(order: int, items: str, sep: str) -> str:
+def _gram_counts(order: int, items: str, sep: str, scored: str = SCORED, row: str = "conv_id, turn", group: str = "role", name: str = "") -> str:
     """Items placed one per row; an n-gram is a row joined to the n - 1 rows after it."""
-    keys = "conv_id, turn, role, is_pred"
+    keys = f"{row}, {group}, is_pred"
     later = [f"lead(c, {k}) OVER w" for k in range(order)]
     grams = [f" || '{sep}' || ".join(later[: n + 1]) + f" AS g{n + 1}" for n in range(order)]
-    each = " UNION ALL ".join(f"SELECT {keys}, {n} AS n, g{n} AS gram FROM grams WHERE g{n} IS NOT NULL" for n in range(1, order + 1))
-    return f"""WITH {SCORED},
-sides AS (
-  SELECT conv_id, turn, role, 0 AS is_pred, {items.format(x="ref")} AS xs FROM scored
-  UNION ALL SELECT conv_id, turn, role, 1, {items.format(x="pred")} FROM scored
+    each = " UNION ALL ".join(f"SELECT {keys}, {n} AS n, g{n} AS gram FROM grams{name} WHERE g{n} IS NOT NULL" for n in range(1, order + 1))
+    return f"""{scored},
+sides{name} AS (
+  SELECT {row}, {group}, 0 AS is_pred, {items.format(x="ref")} AS xs FROM scored
+  UNION ALL SELECT {row}, {group}, 1, {items.format(x="pred")} FROM scored
 ),
-placed AS (SELECT {keys}, unnest(xs) AS c, generate_subscripts(xs, 1) AS i FROM sides),
-grams AS (SELECT {keys}, {", ".join(grams)} FROM placed WINDOW w AS (PARTITION BY {keys} ORDER BY i)),
-listed AS ({each}),
-counts AS (
-  SELECT conv_id, turn, role, n, gram, sum(is_pred) AS in_pred, sum(1 - is_pred) AS in_ref FROM listed GROUP BY ALL
+placed{name} AS (SELECT {keys}, unnest(xs) AS c, generate_subscripts(xs, 1) AS i FROM sides{name}),
+grams{name} AS (SELECT {keys}, {", ".join(grams)} FROM placed{name} WINDOW w AS (PARTITION BY {keys} ORDER BY i)),
+listed{name} AS ({each}),
+counts{name} AS (
+  SELECT {row}, {group}, n, gram, sum(is_pred) AS in_pred, sum(1 - is_pred) AS in_ref FROM listed{name} GROUP BY ALL
 ),
-stats AS (
-  SELECT role, n, sum(least(in_pred, in_ref)) AS m, sum(in_pred) AS tp, sum(in_ref) AS tr FROM counts GROUP BY role, n
+stats{name} AS (
+  SELECT {group}, n, sum(least(in_pred, in_ref)) AS m, sum(in_pred) AS tp, sum(in_ref) AS tr FROM counts{name} GROUP BY {group}, n
 )
 """
 
 
+_BLEU = """round(CASE WHEN count(*) < 4 OR min(m) = 0 THEN 0.0 ELSE
+          100 * CASE WHEN sum(tp) FILTER (n = 1) >= sum(tr) FILTER (n = 1) THEN 1.0
+            ELSE exp(1 - (sum(tr) FILTER (n = 1)) / (sum(tp) FILTER (n = 1))) END * exp(sum(ln(m / tp)) / 4) END, 6) AS bleu"""
+_CHRF = "round(CASE WHEN p + r > 0 THEN 100 * 5 * p * r / (4 * p + r) ELSE 0.0 END, 6) AS chrf"
 _SPLIT_WORDS = "list_filter(regexp_split_to_array({x}, '\\s+'), lambda w: w <> '')"
 _SPLIT_CHARS = "list_filter(string_split(regexp_replace({x}, '\\s+', '', 'g'), ''), lambda c: c <> '')"
 
@@ -486,11 +526,17 @@ ORACLES: dict[str, str] = {
     "tlt_folder": f"""
         WITH {NUMBERED} SELECT {DOC_ID} AS doc_id, row_idx, '{BASE}/' || name || '/' || {DOC_ID} AS tlt_folder
         FROM folders JOIN documents ON raw_id = documents.doc_id""",
-    "doc_csv_rows": f"WITH {LOCATED} SELECT doc_id, tlt_folder AS csv_path, sid, sub_str AS substr FROM located",
+    "tlt_folder_filtered": f"""
+        WITH {NUMBERED} SELECT {DOC_ID} AS doc_id, row_idx, '{BASE}/' || name || '/' || {DOC_ID} AS tlt_folder,
+          '{BASE}/rows/batch=' || name || '/document=' || {DOC_ID} AS csv_path
+        FROM folders JOIN documents ON raw_id = documents.doc_id""",
+    "doc_csv_rows": f"""WITH {LOCATED}
+        SELECT doc_id, '{BASE}/rows/batch=' || name || '/document=' || doc_id AS csv_path, sid, sub_str AS substr
+        FROM sentences JOIN folders USING (raw_id)""",
     "batch_csv_positions": f"""
         WITH {DOCS}, {NUMBERED},
         sized AS (SELECT doc_id, batch, row_idx, name, len(sub_strs) AS n FROM docs JOIN folders USING (raw_id))
-        SELECT doc_id, '{BASE}/' || name AS csv_path,
+        SELECT doc_id, '{BASE}/rows/batch=' || name AS csv_path,
           (1 + coalesce(sum(n) OVER (PARTITION BY batch ORDER BY row_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start_pos,
           (1 + sum(n) OVER (PARTITION BY batch ORDER BY row_idx))::BIGINT AS end_pos FROM sized""",
     "written_status": f"WITH {LOCATED} SELECT doc_id, pos, tlt_file_loc, substr(sid, 1, 1) < 'c' AS written FROM located",
@@ -514,6 +560,7 @@ ORACLES: dict[str, str] = {
     "numeral_norm": f"SELECT doc_id, {_numerals('translate(text, ' + chr(39) + '0123456789' + chr(39) + ', ' + _q('०১૨೩۴୫੬᱗౮꯹') + ')')} AS text FROM documents",
     "entity_spans": f"""
         SELECT doc_id, array_to_string(regexp_extract_all(text, '{EMAIL}'), chr(10)) AS emails,
+          array_to_string(regexp_extract_all(text, '{URL}', 1), chr(10)) AS urls,
           array_to_string(regexp_extract_all(text, '{NUMERAL}'), chr(10)) AS numerals,
           array_to_string(regexp_extract_all(text, '{HANDLE}'), chr(10)) AS handles FROM documents""",
     "entity_wrap": f"WITH {_wrap_ctes('documents', _numerals(_strip('text')), 'doc_id')} SELECT doc_id, t AS text, {ENTITIES} AS entities FROM wrapped",
@@ -524,9 +571,24 @@ ORACLES: dict[str, str] = {
     "lang_tags": f"SELECT conv_id, turn, '{SRC} {TGT} ' || {_strip('text')} AS line FROM conversations",
     "preprocess": f"WITH {PREPROCESSED} SELECT doc_id, pos, {LINE} AS line, {ENTITIES} AS entities FROM wrapped",
     "preprocess_indic": f"""
+        WITH {_wrap_ctes('conversations', _numerals(_strip(_punct(_as_indic('text', 'kn')))), 'conv_id, turn')}
         SELECT conv_id, turn, 'kan_Knda {SRC} ' ||
-          {_strip(_join_virama(_to_script(_tokenize_indic(_strip(_numerals(_strip(_punct(_as_indic('text', 'kn')))))), 'kn', 'hi')))} AS line
-        FROM conversations""",
+          {_strip(_join_virama(_to_script(_tokenize_indic(_strip('t')), 'kn', 'hi')))} AS line, {ENTITIES} AS entities
+        FROM wrapped""",
+    "entity_maps": f"""
+        WITH {_wrap_ctes('conversations', _numerals(_strip(_punct('lower(text)'))), 'conv_id, turn')},
+        forms AS (SELECT unnest([{", ".join(f"struct_pack(a := {_q(a)}, b := {_q(b)})" for a, b in st.placeholder_forms())}]) AS f),
+        found AS (SELECT conv_id, turn, unnest(es) AS entity, generate_subscripts(es, 1) AS serial FROM wrapped)
+        SELECT conv_id, turn, f.a || serial::VARCHAR || f.b AS holder, entity FROM found, forms""",
+    "postprocess_scripts": f"""
+        WITH arabic AS (SELECT conv_id, turn, 'urd_Arab' AS tgt_lang, {_detokenize_indic(_repair_arabic(_as_arabic('text')))} AS translated FROM conversations),
+        odia AS (SELECT conv_id, turn, 'ory_Orya' AS tgt_lang,
+          {_detokenize_indic(_to_script(f"replace(replace({_as_indic('text', 'hi')}, '.', {_q(st.ODIA_FIX[0] + ' .')}), {_q(st.ODIA_FIX[0])}, {_q(st.ODIA_FIX[1])})", 'hi', 'or'))} AS translated FROM conversations),
+        telugu AS (SELECT conv_id, turn, 'tel_Telu' AS tgt_lang,
+          {_detokenize_indic(_to_script(f"replace({_as_indic('text', 'hi')}, '.', {_q(' ।')})", 'hi', 'te'))} AS translated FROM conversations),
+        english AS (SELECT conv_id, turn, '{lang.ENGLISH}' AS tgt_lang, {_detokenize_english("replace(replace(text, '.', ' .'), ',', ' ,')")} AS translated FROM conversations)
+        SELECT * FROM arabic UNION ALL SELECT * FROM odia UNION ALL SELECT * FROM telugu UNION ALL SELECT * FROM english""",
+    "replace_string": "SELECT conv_id, turn, replace(text, 'the', upper(role)) AS text FROM conversations",
     "postprocess": f"""
         WITH {PREPROCESSED}, toked AS (SELECT doc_id, pos, es, {_tokenize_english(_strip('t'))} AS t FROM wrapped),
         back AS (SELECT doc_id, pos, {_restore('t')} AS t FROM toked)
@@ -557,26 +619,42 @@ ORACLES: dict[str, str] = {
         SELECT m.doc_id, m.pos, {_detokenize_indic("coalesce(t, '')")} AS translated FROM model m LEFT JOIN back USING (doc_id, pos)""",
     "translate_distinct": f"WITH {SENTENCES} SELECT doc_id, pos, sid, {TRANSLATION} AS translated FROM sentences",
     "translation_lookup": f"WITH {SENTENCES} SELECT doc_id, pos, sid, sub_str, reverse(sub_str) AS translated FROM sentences WHERE substr(sid, 1, 1) < 'c'",
+    "translation_lookup_copies": f"""
+        WITH pieces AS (
+          SELECT sha256('None' || 'None' || lower(text) || 'web') AS doc_id,
+            list_filter(list_transform({_PIECES}, lambda p: {_clean('p')}), lambda s: s <> '') AS cleaned
+          FROM documents WHERE text IS NOT NULL AND text <> '' AND text <> 'None'
+        ),
+        docs AS (SELECT doc_id, {_distinct('cleaned')} AS sub_strs FROM pieces),
+        sentences AS (SELECT doc_id, (generate_subscripts(sub_strs, 1) - 1)::INTEGER AS pos, unnest(sub_strs) AS sub_str FROM docs)
+        SELECT doc_id, pos, sha256(sub_str) AS sid, sub_str, reverse(sub_str) AS translated, count(*) AS n_copies
+        FROM sentences WHERE substr(sha256(sub_str), 1, 1) < 'c' GROUP BY ALL""",
     "replace_documents": REPLACED + "SELECT doc_id, translated FROM replaced",
     "substr_tlt": REPLACED + "SELECT doc_id, substr_tlt FROM replaced",
     "round_trip": REPLACED + "SELECT doc_id, n_sentences::INTEGER AS n_sentences, translated FROM replaced",
     "language_pairs": f"""
-        WITH {PARALLEL} SELECT direction, src_lang, tgt_lang, count(*) AS n_rows, sum(length(source))::BIGINT AS source_chars
+        WITH {PARALLEL} SELECT ds_type, direction, src_lang, tgt_lang, count(*) AS n_rows, sum(length(source))::BIGINT AS source_chars
         FROM pairs GROUP BY ALL""",
-    "evaluation_run": _evaluated() + "SELECT id, src_lang, tgt_lang, source, reference, prediction FROM evaluated",
+    "evaluation_run": _evaluated() + "SELECT id, ds_type, direction, src_lang, tgt_lang, source, reference, prediction FROM evaluated",
     "pred_ref_pairs": _evaluated()
-    + """SELECT src_lang || '__' || tgt_lang AS pair, row_number() OVER (ORDER BY src_lang, tgt_lang, id) - 1 AS line,
-          prediction, reference FROM evaluated""",
+    + """SELECT ds_type, src_lang || '__' || tgt_lang AS pair, row_number() OVER (ORDER BY ds_type, src_lang, tgt_lang, id) - 1 AS line,
+          replace(replace(replace(prediction, '\\', '\\\\'), chr(10), '\\n'), chr(13), '\\r') AS prediction,
+          replace(replace(replace(reference, '\\', '\\\\'), chr(10), '\\n'), chr(13), '\\r') AS reference FROM evaluated""",
     "pair_parse": f"""
-        WITH {PARALLEL}, k AS (
-          SELECT id, src_lang, tgt_lang, CASE WHEN id % 2 = 0 THEN 'conv' ELSE 'gen' END AS kind FROM pairs WHERE direction = 'indic-en')
-        SELECT id, '/out/' || kind || '/' || src_lang || '__' || tgt_lang AS path, src_lang AS src, tgt_lang AS tgt, kind AS ds_type FROM k""",
-    "corpus_bleu": _gram_counts(4, _SPLIT_WORDS, " ")
-    + """SELECT role, round(CASE WHEN count(*) < 4 OR min(m) = 0 THEN 0.0 ELSE
-          100 * CASE WHEN sum(tp) FILTER (n = 1) >= sum(tr) FILTER (n = 1) THEN 1.0
-            ELSE exp(1 - (sum(tr) FILTER (n = 1)) / (sum(tp) FILTER (n = 1))) END * exp(sum(ln(m / tp)) / 4) END, 6) AS bleu
-        FROM stats GROUP BY role""",
+        WITH {PARALLEL}
+        SELECT id, '/out/' || ds_type || '/' || src_lang || '__' || tgt_lang AS path, src_lang AS src, tgt_lang AS tgt, ds_type FROM pairs""",
+    "corpus_bleu": _gram_counts(4, _SPLIT_WORDS, " ") + f"SELECT role, {_BLEU} FROM stats GROUP BY role",
     "corpus_chrf": _gram_counts(6, _SPLIT_CHARS, "")
-    + """, pr AS (SELECT role, avg(m / tp) AS p, avg(m / tr) AS r FROM stats WHERE tp > 0 AND tr > 0 GROUP BY role)
-        SELECT role, round(CASE WHEN p + r > 0 THEN 100 * 5 * p * r / (4 * p + r) ELSE 0.0 END, 6) AS chrf FROM pr""",
+    + f""", pr AS (SELECT role, avg(m / tp) AS p, avg(m / tr) AS r FROM stats WHERE tp > 0 AND tr > 0 GROUP BY role)
+        SELECT role, {_CHRF} FROM pr""",
 }
+_PAIR = "ds_type, direction, src_lang, tgt_lang"
+_PAIR_SCORED = _evaluated() + f", scored AS (SELECT id, {_PAIR}, reference AS ref, prediction AS pred FROM evaluated)"
+ORACLES["pair_scores"] = (
+    _gram_counts(4, _SPLIT_WORDS, " ", _PAIR_SCORED, "id", _PAIR, "_w")
+    + _gram_counts(6, _SPLIT_CHARS, "", "", "id", _PAIR, "_c")
+    + f""", b AS (SELECT {_PAIR}, {_BLEU} FROM stats_w GROUP BY {_PAIR}),
+    pr AS (SELECT {_PAIR}, avg(m / tp) AS p, avg(m / tr) AS r FROM stats_c WHERE tp > 0 AND tr > 0 GROUP BY {_PAIR})
+    SELECT {_PAIR}, bleu, {_CHRF} FROM b JOIN pr USING ({_PAIR})"""
+)
+ORACLES["encode_ids_joined"] = ORACLES["encode_ids"]

@@ -25,7 +25,7 @@ from corpus_mt.operators import template as tp
 from corpus_mt.operators import tokens as tk
 from corpus_mt.operators import translate as tr
 from corpus_mt.sources import sinks
-from corpus_mt.session import shared_dir
+from corpus_mt.session import shared_dir, stage_table
 from corpus_mt.sources.readers import read_stream, read_table
 from corpus_mt.streaming import stream as stm
 
@@ -38,7 +38,11 @@ DEVICES = (3, 1, 4)
 
 
 def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return ly.widen(read_table(spark, f"{d}/{name}.parquet"))
+    """A given table.  Where the session asks for it, its rows are dealt out first, as the
+    tables are single files of one row group that a scan can't split."""
+    table = read_table(spark, f"{d}/{name}.parquet")
+    parts = spark.conf.get("spark.corpus_mt.dealPartitions", "")
+    return ly.salt_partitions(table, int(parts)) if parts else table
 
 
 def _docs(spark: SparkSession, d: str, mode: str = "sentence") -> DataFrame:
@@ -46,19 +50,19 @@ def _docs(spark: SparkSession, d: str, mode: str = "sentence") -> DataFrame:
     return tp.template_documents(_read(spark, d, "documents"), "text", "doc_id", source_type="web", mode=mode)
 
 
-def _raw_numbered(spark: SparkSession, d: str) -> DataFrame:
-    """Raw documents, numbered in id order."""
-    raw = read_table(spark, f"{d}/documents.parquet").select("doc_id", "text")
-    return ly.number_rows(raw, ["doc_id"])
+def _kept(raw: DataFrame) -> DataFrame:
+    """Raw documents that templating keeps, numbered in id order next to their count."""
+    return ly.number_rows(raw.select("doc_id", "text").filter(tx.has_text(F.col("text"))), ["doc_id"], total="n_docs")
 
 
-def _ordered_docs(spark: SparkSession, d: str) -> DataFrame:
-    """Templated documents with the numbers of the raw ones."""
-    return tp.template_documents(_raw_numbered(spark, d), "text", "doc_id", source_type="web", keep=("row_idx",))
+def _ordered_docs(raw: DataFrame) -> DataFrame:
+    """Templated documents with their numbers; numbering comes first only because it is the cheaper order."""
+    docs = tp.template_documents(_kept(raw), "text", "doc_id", source_type="web", keep=("row_idx", "n_docs"))
+    return tp.drop_missing_documents(docs)
 
 
 def _located_docs(spark: SparkSession, d: str) -> DataFrame:
-    return ly.add_translation_folder(_ordered_docs(spark, d), BASE)
+    return ly.add_translation_folder(_ordered_docs(read_table(spark, f"{d}/documents.parquet")), BASE, F.col("n_docs"))
 
 
 def _sentences(spark: SparkSession, d: str) -> DataFrame:
@@ -197,18 +201,24 @@ def tlt_folder(spark, d):
     return _located_docs(spark, d).select("doc_id", "row_idx", "tlt_folder")
 
 
+def tlt_folder_filtered(spark, d):
+    """Next to every document one without text, which is dropped and must not be counted."""
+    raw = read_table(spark, f"{d}/documents.parquet").select("doc_id", "text")
+    empty = raw.select((-1 - F.col("doc_id")).alias("doc_id"), F.lit("").alias("text"))
+    docs = _ordered_docs(raw.unionByName(empty))
+    tagged = sinks.with_document_csv_paths(ly.add_translation_folder(docs, BASE, F.col("n_docs")), BASE, F.col("n_docs"))
+    return tagged.select("doc_id", "row_idx", "tlt_folder", "csv_path")
+
+
 def doc_csv_rows(spark, d):
-    docs = _ordered_docs(spark, d)
-    tagged = sinks.with_document_csv_paths(docs, BASE, docs.count())
-    paths = tagged.select("doc_id", "csv_path", "sids", "sub_strs")
-    return paths.select("doc_id", "csv_path", F.explode(F.arrays_zip("sids", "sub_strs")).alias("s")).select(
-        "doc_id", "csv_path", F.col("s.sids").alias("sid"), F.col("s.sub_strs").alias("substr")
-    )
+    docs = _ordered_docs(read_table(spark, f"{d}/documents.parquet"))
+    rows = sinks.csv_rows(sinks.with_document_csv_paths(docs, BASE, F.col("n_docs")))
+    return rows.select("doc_id", "csv_path", "sid", "substr")
 
 
 def batch_csv_positions(spark, d):
-    docs = _ordered_docs(spark, d)
-    tagged = sinks.with_batch_csv_paths(docs, BASE, docs.count())
+    docs = _ordered_docs(read_table(spark, f"{d}/documents.parquet"))
+    tagged = sinks.with_batch_csv_paths(docs, BASE, F.col("n_docs"))
     return tagged.select("doc_id", "csv_path", "start_pos", "end_pos")
 
 
@@ -226,12 +236,12 @@ def reroot_path(spark, d):
 def partition_plan(spark, d):
     docs = read_table(spark, f"{d}/documents.parquet")
     rows = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"))
-    return rows.withColumn("n_partitions", F.ceil(F.col("n_rows") / ly.DOCS_PER_PARTITION).cast("bigint"))
+    return rows.withColumn("n_partitions", ly.partitions_for(F.col("n_rows")))
 
 
 def shard_plan(spark, d):
     rows = _sentences(spark, d).agg(F.count(F.lit(1)).alias("n_rows"))
-    return rows.withColumn("n_shards", F.ceil(F.col("n_rows") / ly.SENTENCES_PER_SHARD).cast("bigint"))
+    return rows.withColumn("n_shards", ly.partitions_for(F.col("n_rows"), ly.SENTENCES_PER_SHARD))
 
 
 def salt_balance(spark, d):
@@ -280,6 +290,7 @@ def entity_spans(spark, d):
     return _read(spark, d, "documents").select(
         "doc_id",
         _joined(st.email_spans(t), "\n").alias("emails"),
+        _joined(st.url_spans(t), "\n").alias("urls"),
         _joined(st.numeral_spans(t), "\n").alias("numerals"),
         _joined(st.handle_spans(t), "\n").alias("handles"),
     )
@@ -319,8 +330,44 @@ def preprocess(spark, d):
 
 def preprocess_indic(spark, d):
     turns = _read(spark, d, "conversations").withColumn("sub_str", _as_indic(F.col("text"), lang.BLOCK_START["kn"]))
-    lines = tk.preprocess(turns, "kan_Knda", SRC, placeholders=False)
-    return lines.select("conv_id", "turn", "line")
+    lines = tk.preprocess(turns, "kan_Knda", SRC)
+    return lines.select("conv_id", "turn", "line", _entity_list("entities").alias("entities"))
+
+
+def entity_maps(spark, d):
+    """Every spelling of every placeholder, with what it stands for."""
+    lines = tk.preprocess(_read(spark, d, "conversations").withColumn("sub_str", F.lower("text")), SRC, TGT)
+    spelled = lines.select("conv_id", "turn", F.explode(st.entity_map(F.col("entities"))).alias("holder", "entity"))
+    return spelled.select("conv_id", "turn", "holder", "entity")
+
+
+def _as_arabic(col: Column) -> Column:
+    """Latin letters written as Arabic ones, with punctuation set apart the way translators do."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    text = F.translate(F.lower(col), letters, "".join(chr(0x0628 + i) for i in range(19)) + "".join(chr(0x0641 + i) for i in range(7)))
+    for mark, apart in ((".", " ۔"), (",", " ،"), ("?", " ؟"), ("-", "\u066e\u06ea")):
+        text = F.replace(text, F.lit(mark), F.lit(apart))
+    return text
+
+
+def _finished(spark, d, tgt: str, text: Column) -> DataFrame:
+    """Turns as if a translator had just given ``text``."""
+    turns = _read(spark, d, "conversations").select("conv_id", "turn", text.alias("decoded"), F.array().cast(st.ENTITY_TYPE).alias("entities"))
+    return tk.postprocess(turns, tgt).select("conv_id", "turn", F.lit(tgt).alias("tgt_lang"), "translated")
+
+
+def postprocess_scripts(spark, d):
+    """Output in Arabic, Odia, Telugu and English letters."""
+    deva = _as_indic(F.col("text"), lang.BLOCK_START["hi"])
+    arabic = _finished(spark, d, "urd_Arab", _as_arabic(F.col("text")))
+    odia = _finished(spark, d, "ory_Orya", F.replace(deva, F.lit("."), F.lit("\u0b2f\u0b3c .")))
+    telugu = _finished(spark, d, "tel_Telu", F.replace(deva, F.lit("."), F.lit(" ।")))
+    english = _finished(spark, d, lang.ENGLISH, F.replace(F.replace(F.col("text"), F.lit("."), F.lit(" .")), F.lit(","), F.lit(" ,")))
+    return arabic.unionByName(odia).unionByName(telugu).unionByName(english)
+
+
+def replace_string(spark, d):
+    return _read(spark, d, "conversations").select("conv_id", "turn", tx.replace_string(F.col("text"), "the", F.upper("role")).alias("text"))
 
 
 def postprocess(spark, d):
@@ -334,7 +381,14 @@ def postprocess(spark, d):
 
 def encode_ids(spark, d):
     rows = _sentences(spark, d).withColumn("tokens", tk.word_pieces(F.col("sub_str")))
-    out = tk.encode_ids(rows, _vocabulary(spark, d), row_key=("doc_id", "pos"))
+    out = tk.encode_ids(rows, _vocabulary(spark, d))
+    return out.select("doc_id", "pos", _joined("input_ids").alias("ids"))
+
+
+def encode_ids_joined(spark, d):
+    """The same ids with the vocabulary joined, as one too large to send around is."""
+    rows = _sentences(spark, d).withColumn("tokens", tk.word_pieces(F.col("sub_str")))
+    out = tk.encode_ids(rows, _vocabulary(spark, d), max_broadcast=0)
     return out.select("doc_id", "pos", _joined("input_ids").alias("ids"))
 
 
@@ -404,9 +458,9 @@ def reverse_words():
 
 def _model_run(spark, d, vocab):
     # Documents are numbered and sorted first, so their sentences are numbered in place.
-    docs = ly.sort_rows(_raw_numbered(spark, d), ["row_idx"])
-    docs = tp.template_documents(docs, "text", "doc_id", source_type="web", keep=("row_idx",))
-    rows = sn.add_global_index(sn.explode_sentences(ly.add_translation_folder(docs, BASE)))
+    docs = ly.sort_rows(_kept(read_table(spark, f"{d}/documents.parquet")), ["row_idx"])
+    docs = tp.template_documents(docs, "text", "doc_id", source_type="web", keep=("row_idx", "n_docs"))
+    rows = sn.add_global_index(sn.explode_sentences(ly.add_translation_folder(docs, BASE, F.col("n_docs"))))
     ready = tk.binarize(rows, vocab, SRC, TGT, padding="max_length")
     return tr.translate_ids(ready, reverse_words)
 
@@ -443,6 +497,15 @@ def translation_lookup(spark, d):
     return rp.lookup_translations(docs, table).select("doc_id", "pos", "sid", "sub_str", "translated")
 
 
+def translation_lookup_copies(spark, d):
+    """Documents known by their content alone, so that copies share id, folder and paths."""
+    raw = _read(spark, d, "documents").select("text")
+    docs = tp.template_documents(raw, "text", source_type="web").withColumn("tlt_folder", F.concat_ws("/", F.lit(BASE), "doc_id"))
+    stored = _translated(sn.explode_sentences(docs)).select(F.col("tlt_file_loc").alias("path"), "translated")
+    found = rp.lookup_translations(docs, stored).groupBy("doc_id", "pos", "sid", "sub_str", "translated")
+    return found.agg(F.count(F.lit(1)).alias("n_copies"))
+
+
 def _replaced(spark, d):
     docs = _docs(spark, d)
     sentences = _translated(sn.explode_sentences(docs))
@@ -460,49 +523,75 @@ def substr_tlt(spark, d):
 # --- evaluation -------------------------------------------------------------------
 
 
+DATA_SETS = ("gen", "conv")
+DIRECTIONS = ("en-indic", "indic-en", "indic-indic")
+
+
 def _parallel(spark, d) -> DataFrame:
-    """A parallel table: ``benchmark`` next to stand-in sentences of the other languages."""
-    text = F.lower("text")
-    others = {f"sentence_{t}": F.concat_ws(" ", F.lit(t), F.reverse(text)) for t in lang.EVALUATED_LANGUAGES}
-    return _read(spark, d, "benchmark").select(
-        F.col("item_id").alias("id"), text.alias(f"sentence_{lang.ENGLISH}"), *[c.alias(n) for n, c in others.items()]
+    """Parallel tables of both data sets, which share their ids: ``benchmark`` next to stand-in
+    sentences of the other languages; in the second set every sentence ends in a question."""
+    texts = _read(spark, d, "benchmark").select(
+        F.col("item_id").alias("id"), F.lower("text").alias("text"), F.explode(F.array(*map(F.lit, DATA_SETS))).alias("ds_type")
     )
+    text = F.when(F.col("ds_type") == "conv", F.concat("text", F.lit(" on 12/10/2023?"))).otherwise(F.col("text"))
+    others = {f"sentence_{t}": F.concat_ws(" ", F.lit(t), F.reverse(text)) for t in lang.EVALUATED_LANGUAGES}
+    return texts.select("id", "ds_type", text.alias(f"sentence_{lang.ENGLISH}"), *[c.alias(n) for n, c in others.items()])
+
+
+def _pairs(spark, d, direction: str) -> DataFrame:
+    paired = ev.pair_sentences(_parallel(spark, d), lang.language_pairs(direction), keep=["ds_type"])
+    return paired.withColumn("direction", F.lit(direction))
 
 
 def language_pairs(spark, d):
-    """Sentence pairs to evaluate, by direction and pair."""
-    wide, out = _parallel(spark, d), None
-    for direction in ("en-indic", "indic-en", "indic-indic"):
-        rows = ev.pair_sentences(wide, lang.language_pairs(direction)).withColumn("direction", F.lit(direction))
+    """Sentence pairs to evaluate, by data set, direction and pair."""
+    out = None
+    for direction in DIRECTIONS:
+        rows = _pairs(spark, d, direction)
         out = rows if out is None else out.unionByName(rows)
-    return out.groupBy("direction", "src_lang", "tgt_lang").agg(
+    return out.groupBy("ds_type", "direction", "src_lang", "tgt_lang").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("source")).alias("source_chars")
     )
 
 
 def _evaluated(spark, d):
-    pairs = lang.language_pairs("en-indic")
-    paired = ev.pair_sentences(_parallel(spark, d), pairs)
+    """All pairs of all directions in both data sets, each direction with its own vocabulary."""
     run = lambda ready: tr.translate_ids(ready, reverse_words)
-    return ev.run_evaluation(paired, _vocabulary(spark, d), run, placeholders=False)
+    out = None
+    for direction in DIRECTIONS:
+        done = ev.run_evaluation(_pairs(spark, d, direction), _vocabulary(spark, d), run)
+        out = done if out is None else out.unionByName(done)
+    return out
 
 
 def evaluation_run(spark, d):
-    return _evaluated(spark, d).select("id", "src_lang", "tgt_lang", "source", "reference", "prediction")
+    return _evaluated(spark, d).select("id", "ds_type", "direction", "src_lang", "tgt_lang", "source", "reference", "prediction")
 
 
 def pred_ref_pairs(spark, d):
     """Aligned lines of each pair: the line number says where a row stands in both files."""
-    scored = _evaluated(spark, d)
-    place = ly.number_rows(scored.select("src_lang", "tgt_lang", "id", "prediction", "reference"), ["src_lang", "tgt_lang", "id"], "line")
-    return place.select(F.concat_ws("__", "src_lang", "tgt_lang").alias("pair"), "line", "prediction", "reference")
+    order = ["ds_type", "src_lang", "tgt_lang", "id"]
+    place = ly.number_rows(_evaluated(spark, d).select(*order, "prediction", "reference"), order, "line")
+    pair = F.concat_ws("__", "src_lang", "tgt_lang").alias("pair")
+    return place.select("ds_type", pair, "line", sinks.one_line(F.col("prediction")).alias("prediction"), sinks.one_line(F.col("reference")).alias("reference"))
+
+
+def pair_scores(spark, d):
+    """Scores of the evaluation's output by data set, direction and pair."""
+    by = ["ds_type", "direction", "src_lang", "tgt_lang"]
+    rows = stage_table(_evaluated(spark, d).select(*by, "prediction", "reference"), "evaluated")
+    scores = ev.corpus_bleu(rows, by).join(ev.corpus_chrf(rows, by), by)
+    return scores.select(*by, F.round("bleu", 6).alias("bleu"), F.round("chrf", 6).alias("chrf"))
 
 
 def pair_parse(spark, d):
-    folders = ev.pair_sentences(_parallel(spark, d), lang.language_pairs("indic-en"))
-    path = F.concat_ws("/", F.lit("/out"), F.when(F.col("id") % 2 == 0, "conv").otherwise("gen"), F.concat_ws("__", "src_lang", "tgt_lang"))
+    out = None
+    for direction in DIRECTIONS:
+        rows = _pairs(spark, d, direction)
+        out = rows if out is None else out.unionByName(rows)
+    path = F.concat_ws("/", F.lit("/out"), "ds_type", F.concat_ws("__", "src_lang", "tgt_lang"))
     src, tgt, ds = ev.parse_pair(F.col("path"))
-    return folders.select("id", path.alias("path")).select("id", "path", src.alias("src"), tgt.alias("tgt"), ds.alias("ds_type"))
+    return out.select("id", path.alias("path")).select("id", "path", src.alias("src"), tgt.alias("tgt"), ds.alias("ds_type"))
 
 
 def _scored(spark, d):
@@ -515,11 +604,11 @@ def _scored(spark, d):
 
 
 def corpus_bleu(spark, d):
-    return ev.corpus_bleu(_scored(spark, d), ["conv_id", "turn"], ["role"]).withColumn("bleu", F.round("bleu", 6))
+    return ev.corpus_bleu(_scored(spark, d), ["role"]).withColumn("bleu", F.round("bleu", 6))
 
 
 def corpus_chrf(spark, d):
-    return ev.corpus_chrf(_scored(spark, d), ["conv_id", "turn"], ["role"]).withColumn("chrf", F.round("chrf", 6))
+    return ev.corpus_chrf(_scored(spark, d), ["role"]).withColumn("chrf", F.round("chrf", 6))
 
 
 def round_trip(spark, d):
@@ -534,12 +623,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         split_slice, sample_head, terminal_line_filter, doc_ids, url_source, timestamp_text, chunk_template,
-        sentence_template, sentence_ids, sentence_rows, stream_sentences, json_roundtrip, global_index, tlt_folder, doc_csv_rows,
+        sentence_template, sentence_ids, sentence_rows, stream_sentences, json_roundtrip, global_index, tlt_folder, tlt_folder_filtered, doc_csv_rows,
         batch_csv_positions, written_status, reroot_path, partition_plan, shard_plan, salt_balance, rank_assign,
         shard_round_robin, punct_norm, numeral_norm, entity_spans, entity_wrap, entity_restore, script_convert,
-        lang_tags, preprocess, preprocess_indic, postprocess, encode_ids, pad_longest, pad_max_length, repad_batches,
-        drop_last, decode_text, binarize, model_output, decode, translate_distinct, translation_lookup,
-        replace_documents, substr_tlt, language_pairs, evaluation_run, pred_ref_pairs, pair_parse, corpus_bleu,
+        lang_tags, preprocess, preprocess_indic, entity_maps, postprocess, postprocess_scripts, replace_string, encode_ids, encode_ids_joined, pad_longest, pad_max_length, repad_batches,
+        drop_last, decode_text, binarize, model_output, decode, translate_distinct, translation_lookup, translation_lookup_copies,
+        replace_documents, substr_tlt, language_pairs, evaluation_run, pred_ref_pairs, pair_scores, pair_parse, corpus_bleu,
         corpus_chrf, round_trip,
     )
 }

@@ -44,15 +44,21 @@ def read_translations(spark: SparkSession, path: str, fmt: str = "parquet") -> D
     if fmt != "text":
         return spark.read.format(fmt).load(path)
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("translated"))
-
-
-def read_parallel(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A parallel evaluation table: ``id`` and one ``sentence_<lang>`` column per language."""
-    table = spark.read.format(fmt).load(path)
-    if not any(c.startswith("sentence_") for c in table.columns):
-        raise ValueError("a parallel table needs sentence_<lang> columns")
-    return table
+    # The reader gives URIs, with odd characters as percent codes.
+    place = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return files.select(place.alias("path"), F.col("value").alias("translated"))
+
+
+def read_parallel(spark: SparkSession, folders: dict[str, str], fmt: str = "parquet") -> DataFrame:
+    """Parallel evaluation tables by data set: ``ds_type``, ``id`` and one ``sentence_<lang>`` column per language."""
+    out = None
+    for ds_type, path in folders.items():
+        table = spark.read.format(fmt).load(path)
+        if not any(c.startswith("sentence_") for c in table.columns):
+            raise ValueError("a parallel table needs sentence_<lang> columns")
+        table = table.withColumn("ds_type", F.lit(ds_type))
+        out = table if out is None else out.unionByName(table)
+    return out
 
 
 def list_shards(spark: SparkSession, root: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpus_mt.operators.layout import BATCH_ROWS, batch_name, batch_of, batch_positions, plan_partitions, SENTENCES_PER_SHARD
+from corpus_mt.session import stage_table
 
 ROWS_PER_FILE = 100_000
 
@@ -36,46 +37,49 @@ def save_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "e
     df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
-def sentence_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, sid, substr`` rows of templated documents."""
-    return docs.select("doc_id", F.explode(F.arrays_zip("sids", "sub_strs")).alias("_s")).select(
-        "doc_id", F.col("_s.sids").alias("sid"), F.col("_s.sub_strs").alias("substr")
-    )
+def batch_folder(base: str, total: int | Column, index: str = "row_idx", batch_rows: int = BATCH_ROWS) -> Column:
+    """Where ``save_csvs`` puts a batch."""
+    name = batch_name(batch_of(F.col(index), batch_rows), total, batch_rows)
+    return F.concat(F.lit(f"{base.rstrip('/')}/rows/batch="), name)
 
 
-def batch_folder(base: str, total: int, index: str = "row_idx", batch_rows: int = BATCH_ROWS) -> Column:
-    return F.concat_ws("/", F.lit(base.rstrip("/")), batch_name(batch_of(F.col(index), batch_rows), total, batch_rows))
+def document_folder(doc_id: Column) -> Column:
+    """An id as a folder name: its hash where it holds more than letters, digits, dots, dashes and underscores."""
+    return F.when(doc_id.rlike(r"^[A-Za-z0-9_-][A-Za-z0-9._-]*$"), doc_id).otherwise(F.sha2(doc_id, 256))
 
 
-def with_document_csv_paths(docs: DataFrame, base: str, total: int, index: str = "row_idx") -> DataFrame:
-    """Adds ``csv_path``: a folder per batch, a CSV per document."""
-    return docs.withColumn("csv_path", F.concat_ws("/", batch_folder(base, total, index), "doc_id"))
+def with_document_csv_paths(docs: DataFrame, base: str, total: int | Column, index: str = "row_idx") -> DataFrame:
+    """Adds ``csv_path``: a folder per batch, in it one per document."""
+    document = F.concat(F.lit("document="), document_folder(F.col("doc_id")))
+    return docs.withColumn("csv_path", F.concat_ws("/", batch_folder(base, total, index), document))
 
 
-def with_batch_csv_paths(docs: DataFrame, base: str, total: int, index: str = "row_idx") -> DataFrame:
+def with_batch_csv_paths(docs: DataFrame, base: str, total: int | Column, index: str = "row_idx") -> DataFrame:
     """Adds ``csv_path`` of the batch and the lines a document takes in it."""
     placed = batch_positions(docs, F.size("sids"), index)
     return placed.withColumn("csv_path", batch_folder(base, total, index))
 
 
-def save_csvs(docs: DataFrame, base: str, style: str, total: int, index: str = "row_idx", mode: str = "error") -> DataFrame:
+def csv_rows(tagged: DataFrame, index: str = "row_idx") -> DataFrame:
+    """The lines of the CSVs: ``csv_path``, where they stand, ``doc_id, sid, substr``."""
+    lines = F.posexplode(F.arrays_zip("sids", "sub_strs")).alias("pos", "_s")
+    rows = tagged.select("csv_path", index, "doc_id", lines)
+    return rows.select("csv_path", index, "pos", "doc_id", F.col("_s.sids").alias("sid"), F.col("_s.sub_strs").alias("substr"))
+
+
+def save_csvs(docs: DataFrame, base: str, style: str, total: int | Column, index: str = "row_idx", mode: str = "error") -> DataFrame:
     """Sentence CSVs under ``base/rows`` and a manifest ``base/paths.csv``; gives the tagged documents.
 
     Style ``doc`` makes a folder per batch and document, ``batch`` one per batch with its
-    lines in document order.  Spark names the files inside a folder.
+    lines in document order.  The manifest lists these folders; Spark names the files inside.
     """
     if style not in ("doc", "batch"):
         raise ValueError("style must be 'doc' or 'batch'")
     tagged = with_document_csv_paths(docs, base, total, index) if style == "doc" else with_batch_csv_paths(docs, base, total, index)
     folders = ["batch", "document"] if style == "doc" else ["batch"]
-    rows = tagged.select(
-        batch_of(F.col(index)).alias("batch"),
-        F.col("doc_id").alias("document"),
-        index,
-        "doc_id",
-        F.posexplode(F.arrays_zip("sids", "sub_strs")).alias("pos", "_s"),
-    ).select("batch", "document", index, "pos", "doc_id", F.col("_s.sids").alias("sid"), F.col("_s.sub_strs").alias("substr"))
-    ordered = rows.repartition("batch").sortWithinPartitions("batch", index, "pos")
+    named = lambda kind: F.regexp_extract("csv_path", f"/{kind}=([^/]+)", 1).alias(kind)
+    rows = csv_rows(tagged, index).select(*map(named, folders), index, "pos", "doc_id", "sid", "substr")
+    ordered = rows.repartition("batch").sortWithinPartitions(*folders, index, "pos")
     (
         ordered.select(*folders, "doc_id", "sid", "substr")
         .write.mode(mode)
@@ -101,29 +105,37 @@ def with_written(translations: DataFrame, key: str = "tlt_file_loc", text: str =
 def save_translations(translations: DataFrame, path: str, buckets: int = 64, mode: str = "error") -> DataFrame:
     """Store translations keyed by place, in hash buckets; gives every row with its ``written`` status.
 
-    Replaces a file per sentence: the place is a column, and a lookup is a join.
+    Replaces a file per sentence: the place is a column, and a lookup is a join.  A place
+    written more than once, as copies of a document do, is stored once.
     """
     status = with_written(translations)
     bucket = F.pmod(F.xxhash64("tlt_file_loc"), F.lit(buckets)).cast("int")
     stored = status.filter("written").select(F.col("tlt_file_loc").alias("path"), "translated", bucket.alias("bucket"))
+    stored = stored.groupBy("bucket", "path").agg(F.min("translated").alias("translated"))
     stored.hint("rebalance", "bucket").write.mode(mode).partitionBy("bucket").parquet(path)
     return status
 
 
+def one_line(text: Column) -> Column:
+    """Text with its line ends (and backslashes) escaped; null is an empty line."""
+    for plain, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(escaped))
+    return F.coalesce(text, F.lit(""))
+
+
 def save_aligned_text(scored: DataFrame, path: str, mode: str = "error") -> None:
     """Aligned ``pred`` and ``ref`` lines per pair, in id order.
 
     Both files of a pair are cut from the same range-partitioned rows, so line ``k`` of one
-    answers line ``k`` of the other; a pair with very many lines spans several files.
+    answers line ``k`` of the other; a pair with very many lines spans several files.  Rows
+    are sorted the way the writer needs them, so that it adds no sort of its own.
     """
     pair = F.concat_ws("__", "src_lang", "tgt_lang")
-    lines = scored.select(pair.alias("pair"), "id", "prediction", "reference")
-    ordered = lines.repartitionByRange("pair", "id").sortWithinPartitions("pair", "id")
-    both = ordered.select("pair", F.explode(F.array(
-        F.struct(F.lit("pred").alias("side"), F.col("prediction").alias("value")),
-        F.struct(F.lit("ref").alias("side"), F.col("reference").alias("value")),
-    )).alias("_l")).select("pair", "_l.side", "_l.value")
-    both.write.mode(mode).partitionBy("pair", "side").text(path)
+    lines = scored.select(pair.alias("pair"), "id", one_line(F.col("prediction")).alias("pred"), one_line(F.col("reference")).alias("ref"))
+    lines = stage_table(lines, "aligned")  # range bounds read the rows as well: predictions are made once
+    sides = F.explode(F.create_map(F.lit("pred"), F.col("pred"), F.lit("ref"), F.col("ref"))).alias("side", "value")
+    both = lines.repartitionByRange("pair", "id").select("pair", "id", sides).sortWithinPartitions("pair", "side", "id")
+    both.select("pair", "side", "value").write.mode(mode).partitionBy("pair", "side").text(path)
 
 
 def save_device_maps(assigned: DataFrame, path: str, mode: str = "error") -> None:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpus_mt.operators import layout as ly
+from corpus_mt.operators import replace as rp
 from corpus_mt.operators import sentences as sn
 from corpus_mt.operators import template as tp
 from corpus_mt.sources import readers, sinks
@@ -36,6 +37,8 @@ def test_csvs(spark, docs, tmp_path, style):
     assert rows.filter("substr = 'two, \"3\"?'").count() == 1
     manifest = spark.read.option("header", True).csv(f"{tmp_path}/{style}/paths.csv")
     assert manifest.count() == 10
+    for row in manifest.distinct().collect():
+        assert spark.read.option("header", True).csv(row.csv_path).count() == (2 if style == "doc" else 20)
     if style == "batch":
         spans = sorted((r.start_pos, r.end_pos) for r in tagged.collect())
         assert spans == [(1 + 2 * i, 3 + 2 * i) for i in range(10)]
@@ -55,6 +58,17 @@ def test_text_file_translations(spark, tmp_path):
     assert rows[0].translated == "line 1\nline 2" and rows[0].path.endswith("x/d/s1")
 
 
+def test_text_files_are_found_again(spark, tmp_path):
+    base = tmp_path / "odd name+%"
+    docs = spark.createDataFrame([("d", f"{base}/d", ["s1", "s2"], ["a", "b"])], "doc_id string, tlt_folder string, sids array<string>, sub_strs array<string>")
+    (base / "d").mkdir(parents=True)
+    for sid in ("s1", "s2"):
+        (base / "d" / sid).write_text(sid.upper())
+    stored = readers.read_translations(spark, str(tmp_path), "text")
+    rows = rp.lookup_translations(docs, stored).collect()
+    assert sorted((r.sub_str, r.translated) for r in rows) == [("a", "S1"), ("b", "S2")]
+
+
 def test_vocabulary_files(spark, tmp_path):
     (tmp_path / "src.json").write_text(json.dumps({"<s>": 0, "<pad>": 1, "</s>": 2, "<unk>": 3, "▁a": 4}))
     (tmp_path / "tgt.json").write_text(json.dumps({"▁b": 9}))
@@ -74,7 +88,7 @@ def test_partitioned_and_devices(spark, tmp_path):
 def test_aligned_lines(spark, tmp_path):
     rows = spark.range(200).select(
         "id", F.lit("eng_Latn").alias("src_lang"), F.lit("hin_Deva").alias("tgt_lang"),
-        F.concat(F.lit("p"), "id").alias("prediction"), F.concat(F.lit("r"), "id").alias("reference"),
+        F.concat(F.lit("p\n"), "id").alias("prediction"), F.concat(F.lit("r"), "id").alias("reference"),
     ).repartition(7)
     sinks.save_aligned_text(rows, f"{tmp_path}/a")
 
@@ -82,7 +96,7 @@ def test_aligned_lines(spark, tmp_path):
         files = sorted((tmp_path / "a" / "pair=eng_Latn__hin_Deva" / f"side={side}").glob("part-*"))
         return [line for f in files for line in f.read_text().splitlines()]
 
-    assert lines("pred") == [f"p{i}" for i in range(200)] and lines("ref") == [f"r{i}" for i in range(200)]
+    assert lines("pred") == [f"p\\n{i}" for i in range(200)] and lines("ref") == [f"r{i}" for i in range(200)]
 
 
 def test_stream_equals_batch_and_resumes(spark, tmp_path):

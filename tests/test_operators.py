@@ -16,6 +16,7 @@ from corpus_mt.operators import sentences as sn
 from corpus_mt.operators import template as tp
 from corpus_mt.operators import tokens as tk
 from corpus_mt.operators import translate as tr
+from corpus_mt.operators.skew import spread_join
 
 SLOW = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -118,6 +119,19 @@ def test_large_vocabulary_path_gives_the_same(spark):
     assert both == ["a<unk> b<unk>"] * 2
 
 
+def test_vocabulary_size_changes_nothing(spark):
+    """Repeated row keys, a token listed twice, an id of two tokens, and one token in most places."""
+    fixed = [("<s>", 0), ("<pad>", 1), ("</s>", 2), ("<unk>", 3)]
+    table = spark.createDataFrame([*fixed, ("▁a", 4), ("▁a", 5), ("▁b", 6), ("▁c", 6)], "token string, id int")
+    v = tk.Vocabulary(table, table)
+    df = spark.createDataFrame([(7, ["▁a"]), (7, ["▁b", "▁c"]), (7, None), (7, ["▁a"] * 300 + ["?"])], "tlt_idx int, tokens array<string>")
+    got = [sorted((r.input_ids or [-1]) for r in tk.encode_ids(df, v, max_broadcast=m).collect()) for m in (0, 100)]
+    assert got[0] == got[1] == sorted([[4], [6, 6], [-1], [4] * 300 + [3]])
+    ids = spark.createDataFrame([(1, [4, 6]), (1, [5, 6])], "tlt_idx int, i array<int>")
+    got = [sorted(r.t for r in tk.decode_tokens(ids, v, "i", "t", max_broadcast=m).collect()) for m in (0, 100)]
+    assert got[0] == got[1] == [["<unk>", "▁b"], ["▁a", "▁b"]]
+
+
 def test_missing_specials(spark):
     df = spark.createDataFrame([("a", 0)], "token string, id int")
     with pytest.raises(KeyError):
@@ -173,8 +187,24 @@ def test_translator_batches(spark):
     assert max(r.translated_input_ids[0] for r in out) == 4 and out[0].input_ids == [7]
 
 
-def test_fan_out_splits_a_hot_sentence(spark, monkeypatch):
-    monkeypatch.setattr(tr, "ROWS_PER_SLICE", 100)
+def test_spread_join_splits_frequent_keys(spark):
+    """One key with 30 % of the rows, one just over an even share, null keys."""
+    key = F.when(F.col("id") < 3000, "hot").when(F.col("id") < 4300, "warm").when(F.col("id") > 9900, None).otherwise(F.col("id").cast("string"))
+    left = spark.range(10_000).withColumn("k", key).repartition(4)
+    right = left.select("k").distinct().withColumn("v", F.upper("k"))
+    joined = spread_join(left, right, "k")
+    assert joined.count() == 10_000 and joined.filter("k IS NOT NULL AND NOT v <=> upper(k)").count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = spread_join(left, right, "k").filter("k IS NOT NULL").groupBy(F.spark_partition_id().alias("p")).agg(F.max(F.col("k") == "hot"), F.count("*").alias("n"))
+        assert max(r.n for r in sizes.collect()) < 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_fan_out_splits_a_hot_sentence(spark):
     rows = spark.range(3000).select(
         F.col("id").cast("string").alias("doc_id"), F.lit(0).alias("pos"),
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), "id")).alias("sub_str"),
@@ -205,7 +235,6 @@ def test_replace_like_one_regex_pass(spark, cases):
     got = df.select("i", rp.replace_substrings(F.col("t"), F.col("k"), F.col("v")).alias("o")).orderBy("i").collect()
     want = [py_replace(t, k, v) for _, t, k, v in data]
     assert [r.o for r in got] == want
-    assert [rp._replace_by_pattern(t, k, v) if k else t for _, t, k, v in data] == want
 
 
 def test_replace_order_case(spark):
@@ -233,18 +262,36 @@ def test_path_lookup(spark):
     assert [(r.pos, r.sub_str, r.translated) for r in rows] == [(1, "b", "B")]
 
 
+def test_lookup_of_copies_and_of_uris(spark):
+    docs = spark.createDataFrame([("d", "/base/d", ["s1", "s2"], ["a", "b"])] * 20, "doc_id string, tlt_folder string, sids array<string>, sub_strs array<string>")
+    stored = sn.explode_sentences(docs).select(F.concat(F.lit("file://host"), "tlt_file_loc").alias("path"), F.upper("sub_str").alias("translated"))
+    assert stored.count() == 40
+    rows = rp.lookup_translations(docs, stored).collect()
+    assert len(rows) == 40 and {(r.sub_str, r.translated) for r in rows} == {("a", "A"), ("b", "B")}
+
+
+def test_scores_with_null_and_repeated_rows(spark):
+    rows = [("x", "a b c d", "a b c d"), ("x", "a b c d", "a b c d"), ("x", None, "a"), ("y", "", None)]
+    df = spark.createDataFrame(rows, "g string, prediction string, reference string")
+    bleu = {r.g: r.bleu for r in ev.corpus_bleu(df, ["g"]).collect()}
+    chrf = {r.g: r.chrf for r in ev.corpus_chrf(df, ["g"]).collect()}
+    assert bleu["x"] == pytest.approx(100 * np.exp(1 - 9 / 8)) and bleu["y"] == chrf["y"] == 0.0 and 90 < chrf["x"] < 100
+    plan = ev.corpus_chrf(df, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Generate" not in plan
+
+
 def test_evaluation_scores(spark):
     df = spark.createDataFrame([(1, "a b c d e", "a b c d e"), (2, "x y z w", "x y z w")], "id int, prediction string, reference string")
-    assert ev.corpus_bleu(df, ["id"]).first().bleu == pytest.approx(100)
-    assert ev.corpus_chrf(df, ["id"]).first().chrf == pytest.approx(100)
+    assert ev.corpus_bleu(df).first().bleu == pytest.approx(100)
+    assert ev.corpus_chrf(df).first().chrf == pytest.approx(100)
     none = df.withColumn("prediction", F.lit("q q q q"))
-    assert ev.corpus_bleu(none, ["id"]).first().bleu == 0.0 and ev.corpus_chrf(none, ["id"]).first().chrf == 0.0
+    assert ev.corpus_bleu(none).first().bleu == 0.0 and ev.corpus_chrf(none).first().chrf == 0.0
 
 
 def test_bleu_by_hand(spark):
     df = spark.createDataFrame([(1, "the cat sat on mat", "the cat sat on the mat")], "id int, prediction string, reference string")
     want = 100 * np.exp(1 - 6 / 5) * np.exp(np.mean(np.log([5 / 5, 3 / 4, 2 / 3, 1 / 2])))
-    assert ev.corpus_bleu(df, ["id"]).first().bleu == pytest.approx(want)
+    assert ev.corpus_bleu(df).first().bleu == pytest.approx(want)
 
 
 def test_long_and_wide_forms(spark):
