@@ -30,6 +30,7 @@ CHUNKS, PIECES, LONGEST = 600_000, 400_000, 64
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 # --- fixed values: the words of the lower-case BPE file, and what its word-final tokens end in ---
 WORD_END = "</w>"
+SPLIT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 # ---------------------------------------------------------------------------------------
 
@@ -140,9 +141,9 @@ def load_tokens(path: str) -> WordTokens | WholeTokens:
         if path.endswith(".json"):
             with open(path) as f:
                 rules = json.load(f)
-            lower = {"type": "Lowercase"} in rules.get("normalizer", {}).get("normalizers", [])
-            drops = [s["pattern"]["Regex"] for s in rules["pre_tokenizer"].get("pretokenizers", []) if s["type"] == "Split" and s["behavior"] == "Removed"]
-            if lower and drops == [r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"]:
+            lower = {"type": "Lowercase"} in (rules.get("normalizer") or {}).get("normalizers", [])
+            steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers", [])
+            if lower and [s["pattern"] for s in steps if s["type"] == "Split" and s["behavior"] == "Removed"] == [{"Regex": SPLIT_RULE}]:
                 return WordTokens(path)
         return WholeTokens(path)
 
