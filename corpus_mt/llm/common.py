@@ -2,31 +2,35 @@
 
 from __future__ import annotations
 
-import sys
-import types
-from collections.abc import Callable, Iterator
-from typing import TypeVar
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
-T = TypeVar("T")
+from corpus_mt.worker import worker_state
+
+__all__ = ["SPACES", "mix64", "small_batches", "text_slices", "worker_state"]
 
 # --- fixed values: the white space of word rules, as in [\x20\x09-\x0D] ---------------
 SPACES = " \t\n\x0b\f\r"
 # ---------------------------------------------------------------------------------------
 
 
-def worker_state(name: str, make: Callable[[], T]) -> T:
-    """One object per Python worker, kept from task to task.
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hands at most ``rows`` rows at once to the Python functions of jobs run inside.
 
-    The package's functions travel by value, so their own globals are new in every task;
-    a module of the worker process is not.
+    Whole texts are long: a batch of the usual size can take more memory than the work on it.
     """
-    holder = sys.modules.setdefault("_corpus_mt_worker", types.ModuleType("_corpus_mt_worker"))
-    if name not in holder.__dict__:
-        holder.__dict__[name] = make()
-    return holder.__dict__[name]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def text_slices(texts: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:
@@ -41,15 +45,6 @@ def text_slices(texts: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a column, end to end, and the n + 1 offsets of its rows; null is empty."""
-    texts = texts.fill_null("").cast(pa.large_string())
-    offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
-    data = texts.buffers()[2]
-    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
-    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit numbers over all their bits (a bijection)."""
     x = x ^ (x >> np.uint64(31))

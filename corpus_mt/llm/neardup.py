@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpus_mt.llm.common import mix64, text_slices, worker_state
+from corpus_mt.llm.common import mix64, small_batches, text_slices, worker_state
 from corpus_mt.operators.skew import spread_join
 from corpus_mt.session import stage_table
 
@@ -40,6 +40,8 @@ PER_PARTS = 3
 # Documents of one verifying task, about.
 CHUNK_DOCS = 400
 SLICE_BYTES = 1 << 20
+# Rows of one Arrow batch of whole texts.
+BATCH_ROWS = 500
 _TABLE_BITS = 16
 
 # A-Z are lower-cased before; ASCII characters that are no letters or digits part words.
@@ -156,7 +158,9 @@ def shingle_weights(docs: DataFrame, text: str = "text") -> np.ndarray:
         bucket = np.concatenate([at, [-1]]).astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.concatenate([total[at], [n]]))], ["bucket", "n"])
 
-    counted = docs.select(text).mapInArrow(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = docs.select(text).mapInArrow(count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        counted = counts.toPandas()
     seen = np.zeros(1 << COUNT_BITS)
     rows = counted["bucket"].to_numpy() >= 0
     seen[counted["bucket"].to_numpy()[rows]] = counted["n"].to_numpy()[rows]
@@ -430,7 +434,8 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity
     compared whole.
     """
     log_idf = shingle_weights(docs, text)
-    sketched = stage_table(sketch(docs, log_idf, text, key), "sketched")
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        sketched = stage_table(sketch(docs, log_idf, text, key), "sketched")
     nodes = stage_table(sketched.groupBy("node").agg(F.first("keys").alias("keys"), F.first("bytes").alias("bytes"), F.min("key").alias("least"), F.count("*").alias("n")), "nodes")
     pairs = stage_table(candidates(nodes.select("node", "keys", "bytes")), "pairs")
     links = stage_table(verified_links(docs, sketched, pairs, log_idf, text, key, similarity), "links")
