@@ -28,7 +28,7 @@ SAMPLE_ROWS, LIST_ROWS, LISTS = 40_000, 500, 16_384
 # Lists a vector is filed under at most, and how much farther than the nearest they may be.
 REPLICAS, CLOSURE = 4, 1.06
 # Lists a query visits at most, and how much farther than the nearest they may be.
-PROBES, PRUNE = 32, 1.3
+PROBES, PRUNE = 32, 1.2
 # Centroid graph: neighbours of a node, and nodes a walk keeps.
 DEGREE, BEAM = 16, 48
 # Vectors of a list that one task compares with the list's queries.
