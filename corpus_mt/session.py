@@ -39,13 +39,19 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def staged_dir(spark: SparkSession) -> str:
+    """The folder of this application's staged tables."""
+    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
 def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, so an executor lost later costs a re-read and not a recomputation,
-    and fixes the rows: later passes see the same values whatever is retried.
+    and fixes the rows: later passes see the same values whatever is retried.  All tables of an
+    application are in ``staged_dir``, which its owner removes when no result is read any more.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{staged_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
