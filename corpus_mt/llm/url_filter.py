@@ -67,7 +67,8 @@ def count_words(texts: DataFrame, text: str) -> DataFrame:
 def best_cut(name: str, edges: Sequence[tuple[int, int, int]], total: int) -> list[str]:
     """The likeliest words of a name.  ``edges`` are words in it: start, length, count of ``total``.
 
-    A character outside any word counts as a word seen once, so it is a last resort.
+    A character outside any word counts as a word seen once, so it is a last resort; a run of such
+    characters is one piece.
     """
     best = [0.0] + [-math.inf] * len(name)
     back = [0] * (len(name) + 1)
@@ -79,10 +80,15 @@ def best_cut(name: str, edges: Sequence[tuple[int, int, int]], total: int) -> li
         for start, p in [(end - 1, alone), *sorted(ending.get(end, []))]:
             if best[start] + p > best[end]:
                 best[end], back[end] = best[start] + p, start
-    words, end = [], len(name)
+    words: list[str] = []
+    end, before = len(name), False
     while end:
-        words.append(name[back[end] : end])
-        end = back[end]
+        alone_here = end - back[end] == 1
+        if alone_here and before:
+            words[-1] = name[back[end]] + words[-1]
+        else:
+            words.append(name[back[end] : end])
+        end, before = back[end], alone_here
     return words[::-1]
 
 
