@@ -66,11 +66,13 @@ def test_classes_like_brute_force(spark):
     assert sorted(r.doc_id for r in kept) == sorted(min(c) for c in sizes) and kept[0].asDict().keys() == {"doc_id", "text", "node", "class_id"}
 
 
-def test_large_group_and_divided_buckets(spark, monkeypatch):
+@pytest.mark.parametrize("parts", [3, 40])
+def test_large_group_and_divided_buckets(spark, monkeypatch, parts):
     """Hundreds of copies of one text, of which each differs in a word, and as many equal ones."""
     monkeypatch.setattr(neardup, "LARGE", 40)
     monkeypatch.setattr(neardup, "SMALL", 3)
     monkeypatch.setattr(neardup, "CHUNK_DOCS", 30)
+    monkeypatch.setattr(neardup, "PARTS", parts)
     rng = random.Random(8)
     base = [f"w{i}" for i in range(300)]
     texts = [edited(rng, base, 1) for _ in range(150)] + [" ".join(base)] * 150 + [" ".join(f"z{rng.randrange(10**6)}" for _ in range(50)) for _ in range(20)]
