@@ -5,9 +5,10 @@ one shingle per hash so that two documents agree on it with the probability of t
 weighted Jaccard similarity.  Bands of such samples put likely pairs into buckets, the samples
 themselves sort out most others, and the weighted Jaccard similarity of the whole texts decides.
 
-Equal texts are one node throughout.  A bucket is never opened into all its pairs: those that
-the samples call alike are linked by a spanning forest, and only pairs between different
-parts of it are proposed besides.  Very large buckets are divided by further samples first.
+Equal texts are one node throughout.  A bucket is never opened into all its pairs: a spanning
+forest of those that the samples do not rule out holds it together.  The components of these forests
+are what is verified, in tasks that each hold a few hundred documents.  Very large buckets are divided by further
+samples first.
 """
 
 from __future__ import annotations
@@ -31,14 +32,12 @@ SAMPLES = BANDS * BAND_ROWS
 # of all documents.  The spread is small on purpose: with plain IDF the many copies in a large group
 # would make what they share weigh next to nothing against their few differences.
 COUNT_BITS, IDF_SPREAD = 18, 0.25
-# Shares of equal samples from which a pair is proposed, and from which it counts as alike in a bucket.
-PROPOSE, ALIKE = 0.65, 0.9
+# Share of equal samples below which a pair is ruled out.
+PROPOSE = 0.65
 # Buckets up to SMALL are opened where they are; from LARGE on they are divided.
 SMALL, LARGE = 6, 1_500
-# Proposed links of one pair of parts of a bucket.
-PER_PARTS = 3
-# Documents of one verifying task, about.
-CHUNK_DOCS = 400
+# Documents of one part of a component, about, and most parts of which every two meet.
+CHUNK_DOCS, PARTS = 200, 40
 SLICE_BYTES = 1 << 20
 # Rows of one Arrow batch of whole texts.
 BATCH_ROWS = 500
@@ -250,37 +249,25 @@ def _equal_counts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def propose(samples: np.ndarray) -> np.ndarray:
-    """Pairs of rows of one bucket worth verifying.
+    """Pairs of rows that hold a bucket's similar rows together.
 
-    Rows that the samples call alike are joined by a forest of such pairs.  Between two
-    trees the likeliest few pairs that reach ``PROPOSE`` are added.
+    A forest of the graph in which pairs from ``PROPOSE`` on are joined: every row is tied to the
+    likeliest earlier row of each tree that it is joined to, so pairs are fewer than rows.
     """
-    n, alike, least = len(samples), ALIKE * SAMPLES, PROPOSE * SAMPLES
+    n, least = len(samples), PROPOSE * SAMPLES
     tree = np.arange(n)
     pairs: list[tuple[int, int]] = []
-    weak: list[np.ndarray] = []
     for at in range(0, n, 128):
         equal = _equal_counts(samples[at : at + 128], samples)
         for k in range(len(equal)):
             i = at + k
-            near = np.flatnonzero(equal[k, :i] >= alike)
+            near = np.flatnonzero(equal[k, :i] >= least)
             near = near[np.argsort(-equal[k, near], kind="stable")]
             trees, first = np.unique(tree[near], return_index=True)
             for t, j in zip(trees, near[first], strict=True):
-                if t != tree[i]:
-                    pairs.append((int(j), i))
-                    tree[tree == tree[i]] = t
-        row, col = np.nonzero(equal >= least)
-        keep = col < row + at
-        weak.append(np.stack([col[keep], row[keep] + at, equal[row[keep], col[keep]]], 1))
-    rest = np.concatenate(weak)
-    left, right = tree[rest[:, 0]], tree[rest[:, 1]]
-    rest, low, high = rest[left != right], np.minimum(left, right)[left != right], np.maximum(left, right)[left != right]
-    order = np.lexsort((-rest[:, 2], high, low))
-    rest, group = rest[order], (low * n + high)[order]
-    starts = np.flatnonzero(np.diff(group, prepend=-1))
-    rank = np.arange(len(group)) - np.repeat(starts, np.diff(np.append(starts, len(group))))
-    return np.concatenate([np.array(pairs, np.int64).reshape(-1, 2), rest[rank < PER_PARTS, :2]])
+                pairs.append((int(j), i))
+                tree[tree == tree[i]] = t
+    return np.array(pairs, np.int64).reshape(-1, 2)
 
 
 def _propose_frame(frame: pd.DataFrame) -> pd.DataFrame:
@@ -365,12 +352,11 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
 
 
 def _verifier(shared, similarity: float):
-    def run(key, docs: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+    def run(docs: pd.DataFrame) -> pd.DataFrame:
         log_idf = shared.value
-        docs = docs.drop_duplicates("node")
-        number = {n: i for i, n in enumerate(docs["node"])}
+        docs = docs.drop_duplicates("node").sort_values("node")
         samples = np.frombuffer(b"".join(docs["bytes"]), np.uint8).reshape(len(docs), SAMPLES)
-        texts, sets = docs["text"].to_list(), {}
+        nodes, part, texts, sets = docs["node"].to_list(), docs["part"].to_numpy(), docs["text"].to_list(), {}
 
         def weighted(i: int) -> tuple[np.ndarray, np.ndarray]:
             if i not in sets:
@@ -378,9 +364,10 @@ def _verifier(shared, similarity: float):
                 sets[i] = (u, n * np.exp(log_idf[_buckets(u)].astype(np.float64)))
             return sets[i]
 
-        a = np.array([number[x] for x in pairs["a"]], np.int64)
-        b = np.array([number[x] for x in pairs["b"]], np.int64)
-        equal = (samples[a] == samples[b]).sum(1)
+        equal = np.concatenate([_equal_counts(samples[at : at + 128], samples) for at in range(0, len(docs), 128)])
+        a, b = np.nonzero(np.triu(equal >= PROPOSE * SAMPLES, 1))
+        if len(np.unique(part)) > 1:  # pairs within one part meet in a chunk of their own
+            a, b = a[part[a] != part[b]], b[part[a] != part[b]]
         root = list(range(len(docs)))
 
         def find(i: int) -> int:
@@ -389,39 +376,43 @@ def _verifier(shared, similarity: float):
                 i = root[i]
             return i
 
-        for k in np.argsort(-equal, kind="stable"):
+        for k in np.argsort(-equal[a, b], kind="stable"):
             x, y = find(a[k]), find(b[k])
             if x != y and weighted_jaccard(weighted(a[k]), weighted(b[k])) >= similarity:
                 root[max(x, y)] = min(x, y)
-        nodes = docs["node"].to_list()
         linked = [(nodes[find(i)], nodes[i]) for i in range(len(nodes)) if find(i) != i]
         return pd.DataFrame(linked, columns=["a", "b"])
 
     return run
 
 
-def verified_links(docs: DataFrame, sketched: DataFrame, pairs: DataFrame, log_idf: np.ndarray, text: str, key: str, similarity: float) -> DataFrame:
+def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, log_idf: np.ndarray, text: str, key: str, similarity: float) -> DataFrame:
     """Links that hold every verified class together.
 
-    Pairs are verified where their documents meet: those of a small component in one place, those of a
-    larger one in as many as it has pairs of parts.  Links that join what is joined already are not tried.
+    The proposed pairs only say which documents may belong together.  All pairs of such a
+    component that the samples do not rule out are verified where their documents meet, most similar
+    first, but for those whose documents are linked by then; none is written out.  A component is cut into
+    parts and every two parts meet in one task, up to ``PARTS`` parts; of a larger component those
+    documents meet that are proposed to each other.
     """
     placed = components(pairs)
     parts = placed.groupBy("root").agg(F.ceil(F.count("*") / CHUNK_DOCS).alias("parts"))
-    placed = stage_table(placed.join(parts, "root").select("node", "root", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")), "placed")
-    side = lambda c: placed.select(F.col("node").alias(c), "root", F.col("part").alias(f"part_{c}"))
-    chunk = F.xxhash64("root", F.least("part_a", "part_b"), F.greatest("part_a", "part_b"))
-    where = pairs.join(side("a"), "a").join(side("b").drop("root"), "b").select("a", "b", chunk.alias("chunk"))
-    where = stage_table(where, "chunks")
-    needed = where.select("chunk", F.explode(F.array("a", "b")).alias("node")).distinct()
-    chosen = sketched.groupBy("node").agg(F.min("key").alias("rep"), F.first("bytes").alias("bytes"))
-    needed = stage_table(needed.join(chosen, "node"), "needed")
+    placed = placed.join(parts, "root").select("node", "root", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
+    placed = stage_table(placed, "placed")
+    chunk = lambda x, y: F.xxhash64("root", F.least(x, y), F.greatest(x, y)).alias("chunk")
+    usual = placed.filter(F.col("parts") <= PARTS).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    needed = usual.select("node", "part", chunk("part", "other"))
+    large = placed.filter(F.col("parts") > PARTS)
+    ends = [large.select(F.col("node").alias(c), "root", F.col("part").alias(f"part_{c}")) for c in "ab"]
+    met = pairs.join(ends[0], "a").join(ends[1].drop("root"), "b").withColumn("chunk", chunk("part_a", "part_b"))
+    sides = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("part_a").alias("part")), F.struct(F.col("b").alias("node"), F.col("part_b").alias("part"))))
+    needed = needed.unionByName(met.select("chunk", sides.alias("s")).select("s.node", "s.part", "chunk").distinct())
+    needed = stage_table(needed.join(nodes.select("node", F.col("least").alias("rep"), "bytes"), "node"), "needed")
     bodies = docs.select(F.col(key).alias("rep"), node_of(F.col(text)).alias("node"), F.col(text).alias("text"))
     keyed = (bodies["node"] == needed["node"]) & bodies["rep"].eqNullSafe(needed["rep"])
-    bodies = bodies.join(needed, keyed).select("chunk", needed["node"].alias("node"), "text", "bytes")
+    bodies = bodies.join(needed, keyed).select("chunk", needed["node"].alias("node"), "part", "text", "bytes")
     shared = docs.sparkSession.sparkContext.broadcast(log_idf)
-    verify = _verifier(shared, similarity)
-    return bodies.groupBy("chunk").cogroup(where.groupBy("chunk")).applyInPandas(verify, "a binary, b binary")
+    return bodies.groupBy("chunk").applyInPandas(_verifier(shared, similarity), "a binary, b binary")
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
@@ -438,7 +429,7 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity
         sketched = stage_table(sketch(docs, log_idf, text, key), "sketched")
     nodes = stage_table(sketched.groupBy("node").agg(F.first("keys").alias("keys"), F.first("bytes").alias("bytes"), F.min("key").alias("least"), F.count("*").alias("n")), "nodes")
     pairs = stage_table(candidates(nodes.select("node", "keys", "bytes")), "pairs")
-    links = stage_table(verified_links(docs, sketched, pairs, log_idf, text, key, similarity), "links")
+    links = stage_table(verified_links(docs, nodes, pairs, log_idf, text, key, similarity), "links")
     joined = nodes.select("node", "least", "n").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     joined = stage_table(joined, "classes")
     totals = joined.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"), F.count("*").alias("_nodes"))
