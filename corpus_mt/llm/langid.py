@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -171,10 +170,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
-    @F.pandas_udf("lang_pred string, score double")
-    def judge(texts: pd.Series) -> pd.DataFrame:
-        names, scores = score_texts(pa.array(texts, pa.string(), from_pandas=True), *shared.value)
-        return pd.DataFrame({"lang_pred": names, "score": scores})
+    @F.arrow_udf("lang_pred string, score double")
+    def judge(texts: pa.Array) -> pa.Array:
+        names, scores = score_texts(texts, *shared.value)
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores)], ["lang_pred", "score"])
 
     judged = docs.withColumn("_judged", judge(F.col(text)))
     return judged.withColumns({"lang_pred": F.col("_judged.lang_pred"), "score": F.col("_judged.score")}).drop("_judged")
