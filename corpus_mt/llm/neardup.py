@@ -36,7 +36,7 @@ COUNT_BITS, IDF_SPREAD = 18, 0.25
 PROPOSE = 0.65
 # Buckets up to SMALL are opened where they are; from LARGE on they are divided.
 SMALL, LARGE = 6, 1_500
-# Documents of one part of a component, about, and most parts of which every two meet.
+# Documents of one part of a component, about, and parts above which proposed pairs are verified first.
 CHUNK_DOCS, PARTS = 200, 40
 SLICE_BYTES = 1 << 20
 # Rows of one Arrow batch of whole texts.
@@ -368,7 +368,9 @@ def _verifier(shared, similarity: float):
         a, b = np.nonzero(np.triu(equal >= PROPOSE * SAMPLES, 1))
         if len(np.unique(part)) > 1:  # pairs within one part meet in a chunk of their own
             a, b = a[part[a] != part[b]], b[part[a] != part[b]]
-        root = list(range(len(docs)))
+        # What an earlier pass has linked begins in one tree.
+        first: dict[bytes, int] = {}
+        root = [i if c is None else first.setdefault(c, i) for i, c in enumerate(docs["linked"])]
 
         def find(i: int) -> int:
             while root[i] != i:
@@ -386,33 +388,63 @@ def _verifier(shared, similarity: float):
     return run
 
 
+def _parts_that_meet(large: DataFrame, links: DataFrame) -> DataFrame:
+    """``chunk, node, part, linked`` of every two parts of a component but those of one linked class.
+
+    ``large`` has ``node, root``.  A class that fills a part has parts of its own, which need not
+    meet each other; all other documents are dealt over parts of the rest.
+    """
+    linked = large.join(components(links).withColumnRenamed("root", "linked"), "node", "left")
+    linked = stage_table(linked.withColumn("linked", F.coalesce("linked", "node")), "linked")
+    sizes = linked.groupBy("linked").agg(F.count("*").alias("n")).filter(F.col("n") > CHUNK_DOCS)
+    full = spread_join(linked, sizes.withColumn("own", F.col("linked")), "linked")
+    rest = full.filter("own IS NULL").groupBy("root").agg(F.count("*").alias("rest"))
+    full = spread_join(full, rest, "root")
+    parts = F.ceil(F.coalesce("n", "rest") / CHUNK_DOCS)
+    dealt = full.select("node", "root", "linked", "own", F.xxhash64("root", "own", F.pmod(F.xxhash64("node"), parts)).alias("part"))
+    dealt = stage_table(dealt, "dealt")
+    each = dealt.groupBy("root", "part").agg(F.first("own").alias("own"))
+    both = [each.select("root", F.col("part").alias(f"part_{c}"), F.col("own").alias(f"own_{c}")) for c in "ab"]
+    one_class = F.coalesce(F.col("own_a") == F.col("own_b"), F.lit(False))
+    meet = both[0].join(both[1], "root").filter(~one_class).select(F.col("part_a").alias("part"), F.xxhash64("root", F.least("part_a", "part_b"), F.greatest("part_a", "part_b")).alias("chunk"))
+    return dealt.select("node", "part", "linked").join(meet, "part")
+
+
 def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, log_idf: np.ndarray, text: str, key: str, similarity: float) -> DataFrame:
     """Links that hold every verified class together.
 
     The proposed pairs only say which documents may belong together.  All pairs of such a
     component that the samples do not rule out are verified where their documents meet, most similar
     first, but for those whose documents are linked by then; none is written out.  A component is cut into
-    parts and every two parts meet in one task, up to ``PARTS`` parts; of a larger component those
-    documents meet that are proposed to each other.
+    parts and every two parts meet in one task.  In a component of over ``PARTS`` parts those documents
+    meet first that are proposed to each other, and then every two parts but those of one class linked so far.
     """
     placed = components(pairs)
     parts = placed.groupBy("root").agg(F.ceil(F.count("*") / CHUNK_DOCS).alias("parts"))
     placed = placed.join(parts, "root").select("node", "root", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
     placed = stage_table(placed, "placed")
     chunk = lambda x, y: F.xxhash64("root", F.least(x, y), F.greatest(x, y)).alias("chunk")
+    shared = docs.sparkSession.sparkContext.broadcast(log_idf)
+
+    def verify(needed: DataFrame) -> DataFrame:
+        needed = stage_table(needed.join(nodes.select("node", F.col("least").alias("rep"), "bytes"), "node"), "needed")
+        bodies = docs.select(F.col(key).alias("rep"), node_of(F.col(text)).alias("node"), F.col(text).alias("text"))
+        keyed = (bodies["node"] == needed["node"]) & bodies["rep"].eqNullSafe(needed["rep"])
+        bodies = bodies.join(needed, keyed).select("chunk", needed["node"].alias("node"), "part", "linked", "text", "bytes")
+        return bodies.groupBy("chunk").applyInPandas(_verifier(shared, similarity), "a binary, b binary")
+
+    none = F.lit(None).cast("binary").alias("linked")
     usual = placed.filter(F.col("parts") <= PARTS).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     needed = usual.select("node", "part", chunk("part", "other"))
     large = placed.filter(F.col("parts") > PARTS)
+    if large.isEmpty():
+        return verify(needed.select("*", none))
     ends = [large.select(F.col("node").alias(c), "root", F.col("part").alias(f"part_{c}")) for c in "ab"]
     met = pairs.join(ends[0], "a").join(ends[1].drop("root"), "b").withColumn("chunk", chunk("part_a", "part_b"))
     sides = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("part_a").alias("part")), F.struct(F.col("b").alias("node"), F.col("part_b").alias("part"))))
     needed = needed.unionByName(met.select("chunk", sides.alias("s")).select("s.node", "s.part", "chunk").distinct())
-    needed = stage_table(needed.join(nodes.select("node", F.col("least").alias("rep"), "bytes"), "node"), "needed")
-    bodies = docs.select(F.col(key).alias("rep"), node_of(F.col(text)).alias("node"), F.col(text).alias("text"))
-    keyed = (bodies["node"] == needed["node"]) & bodies["rep"].eqNullSafe(needed["rep"])
-    bodies = bodies.join(needed, keyed).select("chunk", needed["node"].alias("node"), "part", "text", "bytes")
-    shared = docs.sparkSession.sparkContext.broadcast(log_idf)
-    return bodies.groupBy("chunk").applyInPandas(_verifier(shared, similarity), "a binary, b binary")
+    links = stage_table(verify(needed.select("*", none)), "links")
+    return links.unionByName(verify(_parts_that_meet(large.select("node", "root"), links)))
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:

@@ -81,6 +81,30 @@ def test_large_group_and_divided_buckets(spark, monkeypatch, parts):
     assert sorted(map(len, found), reverse=True)[:2] == [300, 1]
 
 
+def families(rng, n, shared, own):
+    """Texts of one template, every two of which are a pair that shares more than the template."""
+    base, out = [f"t{i}" for i in range(shared)], []
+    for _ in range(n // 2):
+        tail = [f"u{rng.randrange(10**9)}" for _ in range(own)]
+        out += [" ".join(base + tail + [f"v{rng.randrange(10**9)}" for _ in range(own)]) for _ in range(2)]
+    return out
+
+
+@pytest.mark.parametrize("large", [20, 1_500])
+def test_pairs_inside_a_large_template_family(spark, monkeypatch, large):
+    """The template alone is not enough (under 0.8), but the pairs in it are; one page has many near copies."""
+    monkeypatch.setattr(neardup, "LARGE", large)
+    monkeypatch.setattr(neardup, "CHUNK_DOCS", 20)
+    monkeypatch.setattr(neardup, "PARTS", 3)
+    rng = random.Random(5)
+    texts = families(rng, 200, 310, 25)
+    texts += [edited(rng, texts[0].split(), 1) for _ in range(150)]  # a class of several parts
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    want = brute(texts, neardup.shingle_weights(df))
+    assert sorted(map(len, want), reverse=True)[:3] == [152, 2, 2] and len(want) == 100
+    assert groups(neardup.classes(df).collect()) == want
+
+
 def test_null_and_repeated_keys(spark):
     long = " ".join(f"w{i}" for i in range(50))
     rows = [(None, long), (None, long), (None, "other words than those here"), (4, "four"), (4, "four"), (5, None), (6, "")]
