@@ -1,8 +1,9 @@
 """Approximate nearest neighbours over balanced posting lists.
 
 Vectors are filed under centroids.  One near a border is filed under several, so a search need
-not visit every list around it.  Centroids are searched by walking an in-memory graph of them, and
-of the lists found, those much farther than the nearest are left out.  The lists' vectors then
+not visit every list around it.  Stored vectors find their centroids by walking an in-memory graph of
+them.  A query visits all lists up to a ratio of the nearest one's distance; a bounded set of queries
+that are also compared with every vector says what ratio finds enough.  The lists' vectors then
 meet their queries block by block, and exact inner products pick the best.
 
 Inner product becomes distance by one more dimension, which gives every vector the length of
@@ -27,8 +28,10 @@ TOP = 20
 SAMPLE_ROWS, LIST_ROWS, LISTS = 40_000, 500, 16_384
 # Lists a vector is filed under at most, and how much farther than the nearest they may be.
 REPLICAS, CLOSURE = 4, 1.06
-# Lists a query visits at most, and how much farther than the nearest they may be.
+# Lists a query visits in any case, if they are no farther than so many times the nearest.
 PROBES, PRUNE = 32, 1.2
+# Share of the nearest vectors that the lists visited shall hold, and queries it is measured on, about, at most.
+RECALL, TRIALS = 0.95, 256
 # Centroid graph: neighbours of a node, and nodes a walk keeps.
 DEGREE, BEAM = 16, 48
 # Vectors of a list that one task compares with the list's queries.
@@ -169,31 +172,89 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _file(rows: DataFrame, index: Index, most: int, ratio: float, query: bool) -> DataFrame:
-    """Rows once for each list: those at most ``ratio`` times as far as the nearest."""
+def _asked_points(v: np.ndarray, index: Index) -> np.ndarray:
+    """Queries among the lifted vectors; these lie on a sphere, and a query is compared at its radius."""
+    scaled = v * (index.longest / np.sqrt((v**2).sum(1, keepdims=True)))
+    return np.pad(scaled, ((0, 0), (0, 1))).astype(np.float32)
+
+
+def _file(rows: DataFrame, index: Index, ratio: float, most: int | None = None) -> DataFrame:
+    """Rows once for each list: those at most ``ratio`` times as far as the nearest.
+
+    Stored vectors go to the ``most`` nearest that a walk finds; without ``most`` rows are queries, and
+    their distance to every centroid is known.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(tuple(index))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Index(*shared.value)
+        step = 1024 if most else max(1, min(1024, (1 << 20) // len(known.centroids)))
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
                 v = _matrix(batch.column(1))
-                if query:  # lifted vectors lie on a sphere; a query is compared at its radius
-                    scaled = v * (known.longest / np.sqrt((v**2).sum(1, keepdims=True)))
-                    points = np.pad(scaled, ((0, 0), (0, 1))).astype(np.float32)
+                if most:
+                    ids, far = walk(known, lift(v, known.longest), most)
+                    row, place = np.nonzero((ids >= 0) & (far <= ratio * far[:, :1] + 1e-6))
+                    lists = ids[row, place]
                 else:
-                    points = lift(v, known.longest)
-                ids, far = walk(known, points, most)
-                row, place = np.nonzero((ids >= 0) & (far <= ratio * far[:, :1] + 1e-6))
-                picked = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(picked), batch.column(1).take(picked), pa.array(ids[row, place].astype(np.int32))], ["id", "v", "list"]
-                )
+                    far = np.sqrt(_distances(_asked_points(v, known), known.centroids))
+                    nearest, n = far.min(1, keepdims=True), min(PROBES, far.shape[1])
+                    usual = np.minimum(np.partition(far, n - 1, 1)[:, n - 1 : n], PRUNE * nearest)
+                    row, lists = np.nonzero(far <= np.maximum(usual, ratio * nearest) + 1e-6)
+                for a in range(0, len(row), 8192):
+                    picked = pa.array(row[a : a + 8192])
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(picked), batch.column(1).take(picked), pa.array(lists[a : a + 8192].astype(np.int32))], ["id", "v", "list"]
+                    )
 
     return rows.select("id", "v").mapInArrow(run, _FILED)
 
 
+def _nearest_of_all(rows: DataFrame, trials: pd.DataFrame, top: int) -> DataFrame:
+    """``query_id, vec_id, score``: the best of every batch for a few queries, compared with all its vectors."""
+    shared = rows.sparkSession.sparkContext.broadcast(trials)
+    best = _best_of_block(top)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = None
+        for stored in batches:
+            new = best(None, stored, shared.value)
+            found = new if found is None else pd.concat([found, new])
+            found = found.drop_duplicates().sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id").head(top)
+        if found is not None:
+            yield found
+
+    return rows.select("id", "v").mapInPandas(run, "query_id bigint, vec_id bigint, score double")
+
+
+def needed_ratio(rows: DataFrame, stored: DataFrame, asked: DataFrame, index: Index, top: int, recall: float = RECALL, trials: int = TRIALS) -> float:
+    """How many times as far as the nearest list others must be visited to find a share ``recall`` of the nearest vectors.
+
+    About ``trials`` queries, chosen by their hash, are compared with all rows.  A neighbour
+    is found from the ratio on at which the first of the lists that it is filed under is visited.
+    """
+    share = min(1.0, trials / max(asked.count(), 1))
+    chosen = asked.filter(F.xxhash64("id", "v").cast("double") <= share * 2.0**64 - 2.0**63).select("id", "v").toPandas()
+    if not len(chosen):
+        chosen = asked.select("id", "v").limit(1).toPandas()
+    chosen = chosen.drop_duplicates("id")
+    if not len(chosen):
+        return 1.0
+    wanted = _rank(_nearest_of_all(rows, chosen, top), top).select("query_id", "vec_id").toPandas()  # trials * top rows, about
+    if not len(wanted):
+        return 1.0
+    ids = rows.sparkSession.createDataFrame(wanted[["vec_id"]].drop_duplicates().rename(columns={"vec_id": "id"}), "id bigint")
+    filed = stored.select("id", "list").join(F.broadcast(ids), "id").distinct().toPandas()
+    far = np.sqrt(_distances(_asked_points(np.stack(chosen["v"].to_list()), index), index.centroids))
+    ratios = far / np.maximum(far.min(1, keepdims=True), 1e-6)
+    met = wanted.merge(filed, left_on="vec_id", right_on="id")
+    at = pd.Series(np.arange(len(chosen)), chosen["id"].to_numpy())
+    met["ratio"] = ratios[at[met["query_id"]].to_numpy(), met["list"].to_numpy()]
+    first = np.sort(met.groupby(["query_id", "vec_id"])["ratio"].min().to_numpy())
+    return float(first[min(int(np.ceil(recall * len(first))), len(first)) - 1])
+
+
 def _best_of_block(top: int):
     """Scores a block of a list against the queries of that list."""
 
@@ -240,25 +301,27 @@ def search(
     top: int = TOP,
     key: str = "vec_id",
     embedding: str = "embedding",
-    probes: int = PROBES,
-    prune: float = PRUNE,
+    recall: float = RECALL,
+    list_rows: int = LIST_ROWS,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query its ``top`` nearest other rows by inner product.
 
     Scores are exact, in double precision; a tie goes to the smaller id.  Rows that take no
     part are named at ``usable``; a query among them gets no result.  A row that repeats
     another (id and vector) counts once.  Queries whose lists hold too few rows search
-    all of them.  An empty table gives no rows; other columns play no part.
+    all of them.  The lists visited are as many as hold a share ``recall`` of the nearest vectors, by
+    trial, whatever the size of the table.  An empty table gives no rows; other columns play no part.
     """
     spark = vectors.sparkSession
     rows = stage_table(usable(vectors, key, embedding), "vectors")
-    index = build_index(rows)
+    index = build_index(rows, list_rows=list_rows)
     if index is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     asked = usable(queries, key, embedding).filter(F.size("v") == index.centroids.shape[1] - 1)
-    stored = stage_table(_file(rows, index, REPLICAS, CLOSURE, False), "lists")
+    stored = stage_table(_file(rows, index, CLOSURE, REPLICAS), "lists")
     lists = len(index.centroids)
-    best = stage_table(_rank(_compare(stored, _file(asked, index, probes, prune, True), lists, top), top), "nearest")
+    ratio = needed_ratio(rows, stored, asked, index, top, recall)
+    best = stage_table(_rank(_compare(stored, _file(asked, index, ratio), lists, top), top), "nearest")
     # Whoever found fewer than there are looks everywhere.
     n = rows.select("id").distinct().count()
     few = best.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= min(top, n - 1)).select(F.col("query_id").alias("id"))

@@ -222,6 +222,23 @@ def test_recall_over_many_lists(spark, monkeypatch):
     assert hits >= 0.9 * 20 * sum(i % 20 == 0 for i in ids)
 
 
+def test_recall_holds_where_lists_are_many(spark):
+    """Vectors without any clusters, in far more lists than a fixed number of visits covers."""
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(12_000, 64)).astype(np.float32)
+    vectors = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    asked = [i for i in range(len(vectors)) if i % 20 == 0]
+    got = defaultdict(set)
+    for r in ann.search(df, df.filter("vec_id % 20 = 0"), list_rows=30).collect():
+        got[r.query_id].add(r.vec_id)
+    scores = vectors[asked] @ vectors.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    hits = sum(len(got[q] & set(np.argpartition(-row, 20)[:20].tolist())) for q, row in zip(asked, scores, strict=True))
+    print("recall", hits / (20 * len(asked)))
+    assert hits >= 0.9 * 20 * len(asked)
+
+
 def test_longest_inner_product_wins_over_the_nearest_direction(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [9.0, 9.0])], "vec_id long, embedding array<double>")
     assert [r.vec_id for r in ann.search(df, df.filter("vec_id = 0"), top=1).collect()] == [2]
