@@ -131,6 +131,22 @@ def test_clean_documents_stay(spark):
     assert judged.filter("quality = 1 and not kept").count() == 0
 
 
+@pytest.mark.parametrize("folder", ["sf0.01"])
+def test_bad_documents_go_on_a_small_table(spark, folder):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{folder}/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality.judge(docs, labels).join(labels, "doc_id", "left").select("quality", "base_failed", "kept").collect()
+    bad = [r.kept for r in judged if r.quality == 0]
+    rest = [r.kept for r in judged if r.quality is None and not r.base_failed]
+    print("kept", sum(bad), "of", len(bad), "bad,", sum(rest), "of", len(rest), "unlabelled")
+    assert sum(bad) < 0.35 * len(bad) and sum(rest) > 0.8 * len(rest)
+    assert all(r.kept for r in judged if r.quality == 1 and not r.base_failed)
+
+
+def test_bar_lies_between_the_labels():
+    assert quality.bar_between([0.0, 0.1], [-0.2, -0.1]) == pytest.approx(-0.05)
+    assert quality.bar_between([k / 100 for k in range(100)], [0.5] * 9) <= 0.05
+
+
 # --- urls --------------------------------------------------------------------------------
 
 RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"), url_filter.Rule("example.com", "/de/", "block"), url_filter.Rule("org", "/fr/", "allow")]
