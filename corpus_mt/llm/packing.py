@@ -27,6 +27,8 @@ from corpus_mt.session import stage_table
 CAPACITY = 4096
 END_ID = 1
 _RANK_BITS = 48
+# Windows whose sequences are numbered together.
+SPAN_WINDOWS = 4096
 
 
 def plan_bins(histogram: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:
@@ -162,3 +164,35 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, text: s
     """
     pieces = stage_table(token_pieces(docs, path, capacity, text, key), "pieces")
     return place_pieces(pieces, capacity).withColumnRenamed("key", key)
+
+
+def pack_windows(docs: DataFrame, path: str, window: str, capacity: int = CAPACITY, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Like ``pack_documents``, but only documents of one window share a sequence, and sequences are numbered in window order.
+
+    ``window`` numbers windows from 0; each is planned in one task that holds no texts, so they should be of bounded size.
+    """
+    boxed = docs.select(F.struct(F.col(key).alias("k"), F.col(window).cast("bigint").alias("w")).alias("_key"), F.col(text).alias("_text"))
+    pieces = token_pieces(boxed, path, capacity, "_text", "_key").drop("_part", "_rank")
+    pieces = stage_table(pieces.select(F.col("key.k").alias("key"), F.col("key.w").alias("_window"), "piece", "start", "length", "ids_crc32"), "pieces")
+
+    def place(table: pa.Table) -> pa.Table:
+        length = table["length"].to_numpy()
+        runs, _ = plan_bins(dict(zip(*(x.tolist() for x in np.unique(length, return_counts=True)), strict=True)), capacity)
+        rank = pd.Series(length).groupby(length).cumcount().to_numpy()
+        run = runs[np.searchsorted((runs[:, 0] << _RANK_BITS) + runs[:, 1], (length << _RANK_BITS) + rank, "right") - 1]
+        bin_, in_bin = np.divmod(rank - run[:, 1], run[:, 2])
+        return table.append_column("_bin", pa.array(run[:, 3] + bin_)).append_column("offset", pa.array(run[:, 4] + in_bin * length))
+
+    kind = pieces.schema["key"].dataType.simpleString()
+    schema = f"key {kind}, _window bigint, piece int, start bigint, length bigint, ids_crc32 bigint, _bin bigint, offset bigint"
+    placed = stage_table(pieces.groupBy("_window").applyInArrow(place, schema), "placed")
+    bins = placed.groupBy("_window").agg((F.max("_bin") + 1).alias("n")).withColumn("_span", F.floor(F.col("_window") / SPAN_WINDOWS))
+    offsets, end = [], 0
+    for span, n in sorted(tuple(r) for r in bins.groupBy("_span").agg(F.sum("n")).collect()):  # one row for SPAN_WINDOWS windows
+        offsets.append((span, end))
+        end += n
+    spans = F.broadcast(docs.sparkSession.createDataFrame(offsets, "_span bigint, _from bigint"))
+    before = Window.partitionBy("_span").orderBy("_window").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = bins.withColumn("_first", F.coalesce(F.sum("n").over(before), F.lit(0))).join(spans, "_span")
+    numbered = placed.join(firsts.select("_window", (F.col("_from") + F.col("_first")).alias("_first")), "_window")
+    return numbered.select(F.col("key").alias(key), "piece", "start", "length", "ids_crc32", (F.col("_first") + F.col("_bin")).alias("sequence_id"), "offset")

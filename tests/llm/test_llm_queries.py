@@ -57,3 +57,22 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.run(spark, FOLDER)
     assert packed.select("doc_id").distinct().count() == sizes[-1]
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 4096").count() == 0
+
+
+def test_packed_sequences_follow_the_mix(spark, monkeypatch):
+    """Every prefix of the sequences is near the target weights, though the hot source has the longest texts."""
+    monkeypatch.setattr(corpus_pipeline, "WINDOW_SLOTS", 4)
+    sizes = {"hot": 1800, "a": 700, "b": 500}
+    rows = [(k, s, "word " * (90 if s == "hot" else 30)) for k, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(6)
+    packed = corpus_pipeline.packed(spark, docs, FOLDER).join(docs.select("doc_id", "source"), "doc_id").collect()
+    assert len({r.doc_id for r in packed}) == len(packed) == 3000
+    assert sorted({r.sequence_id for r in packed}) == list(range(max(r.sequence_id for r in packed) + 1))
+    used, seen, total = {}, 0, sum(n**0.5 for n in sizes.values())
+    for r in sorted(packed, key=lambda r: (r.sequence_id, r.offset)):
+        assert used.get(r.sequence_id, 0) == r.offset and r.offset + r.length <= 4096
+        used[r.sequence_id] = r.offset + r.length
+    for n, r in enumerate(sorted(packed, key=lambda r: (r.sequence_id, r.offset))[:1800], 1):
+        seen += r.source == "hot"
+        assert abs(seen - n * sizes["hot"] ** 0.5 / total) <= (4 + 1) * 32
+    assert corpus_pipeline.packed(spark, docs.limit(0), FOLDER).count() == 0
