@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from corpus_mt.worker import worker_state
 
-__all__ = ["SPACES", "mix64", "small_batches", "text_slices", "worker_state"]
+__all__ = ["SPACES", "line_pieces", "mix64", "small_batches", "text_slices", "worker_state"]
 
 # --- fixed values: the white space of word rules, as in [\x20\x09-\x0D] ---------------
 SPACES = " \t\n\x0b\f\r"
@@ -45,6 +45,20 @@ def text_slices(texts: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:
         start = stop
 
 
+def line_pieces(line: bytes, most_bytes: int) -> Iterator[bytes]:
+    """A text whose words are parted by spaces, in pieces of about ``most_bytes``; no word is cut."""
+    at = 0
+    while at < len(line):
+        stop = len(line)
+        if stop - at > most_bytes:
+            stop = line.rfind(b" ", at, at + most_bytes) + 1
+            if stop <= at:  # a word longer than a piece
+                stop = line.find(b" ", at + most_bytes)
+                stop = len(line) if stop < 0 else stop
+        yield line[at:stop]
+        at = stop
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Spreads 64-bit numbers over all their bits (a bijection)."""
     x = x ^ (x >> np.uint64(31))

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpus_mt.llm import ann, langid, license_scan, mixing, neardup, packing, quality, token_count, url_filter, warc
+from corpus_mt.llm import (
+    ann,
+    hard_negatives,
+    langid,
+    license_scan,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    ranked_search,
+    simhash,
+    token_count,
+    url_filter,
+    warc,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 URL_RULES = (
@@ -79,6 +93,20 @@ def op10_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_count.count_tokens(_read(spark, d, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.classes(_read(spark, d, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(_read(spark, d, "embeddings").withColumn("label", moved), 50)
+
+
+def op13_ranked_search(spark: SparkSession, d: str) -> DataFrame:
+    return ranked_search.search(_read(spark, d, "documents"), _read(spark, d, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_license_scan,
         op10_token_counts,
+        op11_simhash,
+        op12_hard_negatives,
+        op13_ranked_search,
     )
 }
 
@@ -109,4 +140,55 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
         FROM k
     """,
+    "op12_hard_negatives": """
+        WITH r AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike, list_inner_product(a.v, r.v)::BIGINT AS score
+            FROM r AS a JOIN r ON a.vec_id <> r.vec_id
+            WHERE a.vec_id % 50 = 0
+        ), p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+            FROM s WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id, row_number() OVER w AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT s.alike AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+        QUALIFY row_number() OVER w <= 3
+    """,
+    "op13_ranked_search": """
+        WITH t AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM documents
+        ), i AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM benchmark
+        ), tf AS (
+            SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term
+        ), len AS (
+            SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id
+        ), c AS (
+            SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM len
+        ), w AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+            FROM tf, c WHERE term IN (SELECT term FROM i) GROUP BY term, n_docs
+        ), scored AS (
+            SELECT item_id, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM i JOIN w USING (term) JOIN tf USING (term) JOIN len USING (doc_id), c
+            GROUP BY item_id, doc_id
+        )
+        SELECT item_id, row_number() OVER v AS rank, doc_id, score
+        FROM scored WHERE score > 0
+        WINDOW v AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+        QUALIFY row_number() OVER v <= 50
+    """,
 }
