@@ -2,8 +2,8 @@
 
 Punctuation and digits are normalised, entities hidden behind placeholders, text spaced
 into tokens and, for Indic scripts, written in Devanagari; the inverse restores them.
-The two tokenisers are a documented subset: they are built from punctuation classes and
-do not claim to equal any tokeniser library.
+The two tokenisers here are a documented subset, built from punctuation classes; ``full`` takes those of
+``tokenize``, which look at the tokens around, and the normal form of ``normalize``.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpus_mt.functions import languages as lang
+from corpus_mt.functions import normalize as nz
+from corpus_mt.functions import tokenize as tz
 from corpus_mt.functions.text import strip
 
 # --- fixed values ---------------------------------------------------------------
@@ -334,20 +336,29 @@ def normalize_sentence(col: Column, placeholders: bool = True) -> Column:
     return F.struct(text.alias("text"), F.array().cast(ENTITY_TYPE).alias("entities"))
 
 
-def preprocess_sentence(col: Column, src_lang: str | Column, placeholders: bool = True) -> Column:
-    """``struct(text, entities)`` ready for language tags; the language may differ by row."""
+def preprocess_sentence(col: Column, src_lang: str | Column, placeholders: bool = True, full: bool = False) -> Column:
+    """``struct(text, entities)`` ready for language tags; the language may differ by row.
+
+    With ``full``, English is tokenised with its abbreviations, runs of dots and apostrophes, and all other text is
+    brought to the normal form of its script before it is tokenised.
+    """
 
     def alike(tag: str):
         kept = lang.script_of(tag) in lang.UNCONVERTED_SCRIPTS
-        return lang.language_code(tag) == "en", None if kept else lang.BLOCK_START[lang.language_code(tag)]
+        code = lang.language_code(tag)
+        return code == "en", None if kept else lang.BLOCK_START[code], code if full else None
 
     def finish(s: Column) -> Column:
         body = strip(s["text"])
 
         def make(tag: str) -> Column:
-            if lang.language_code(tag) == "en":
-                return tokenize_english(body)
-            return lang.to_devanagari(tokenize_indic(body), tag)
+            code = lang.language_code(tag)
+            if code == "en":
+                return tz.tokenize_english(normalize_punctuation(body)) if full else tokenize_english(body)
+            if not full:
+                return lang.to_devanagari(tokenize_indic(body), tag)
+            split = tz.tokenize_urdu if code == "ur" else tz.tokenize_indic
+            return lang.to_devanagari(_bind(nz.normalize_script(body, code), split), tag)
 
         return F.struct(lang.by_language(src_lang, make, alike).alias("text"), s["entities"].alias("entities"))
 
@@ -363,8 +374,11 @@ def repair_output(col: Column, tgt_lang: str) -> Column:
     return col
 
 
-def postprocess_sentence(col: Column, entities: Column, tgt_lang: str | Column) -> Column:
-    """Readable text from decoded model output; the language may differ by row."""
+def postprocess_sentence(col: Column, entities: Column, tgt_lang: str | Column, full: bool = False) -> Column:
+    """Readable text from decoded model output; the language may differ by row.
+
+    With ``full`` the quotes, contractions and currency of the text decide where tokens are joined.
+    """
 
     def alike(tag: str):
         arabic, odia = lang.script_of(tag) in ("Arab", "Aran"), tag.split("_")[0] == "ory"
@@ -372,9 +386,8 @@ def postprocess_sentence(col: Column, entities: Column, tgt_lang: str | Column)
 
     def spaced(text: Column) -> Callable[[str], Column]:
         def make(tag: str) -> Column:
-            if tag == lang.ENGLISH:
-                return detokenize_english(text)
-            return detokenize_indic(lang.from_devanagari(text, tag))
+            english, indic = (tz.detokenize_english, tz.detokenize_indic) if full else (detokenize_english, detokenize_indic)
+            return english(text) if tag == lang.ENGLISH else indic(lang.from_devanagari(text, tag))
 
         return make
 

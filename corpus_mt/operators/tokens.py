@@ -364,22 +364,23 @@ def preprocess(
     out: str = "line",
     is_target: bool = False,
     placeholders: bool = True,
+    full: bool = False,
 ) -> DataFrame:
-    """Adds the tagged line and its ``entities``; target lines get no tags.
+    """Adds the tagged line and its ``entities``; target lines get no tags.  For ``full`` see ``preprocess_sentence``.
 
     A language is a tag, or a column of tags when it differs by row.
     """
     if isinstance(tgt_lang, str):
         lang.language_code(tgt_lang)
-    done = df.withColumn("_pre", st.preprocess_sentence(F.col(text), src_lang, placeholders))
+    done = df.withColumn("_pre", st.preprocess_sentence(F.col(text), src_lang, placeholders, full))
     line = F.col("_pre.text") if is_target else st.add_language_tags(F.col("_pre.text"), src_lang, tgt_lang)
     return done.withColumns({out: line, "entities": F.col("_pre.entities")}).drop("_pre")
 
 
 def postprocess(
-    df: DataFrame, tgt_lang: str | Column, text: str = "decoded", out: str = "translated", entities: str = "entities"
+    df: DataFrame, tgt_lang: str | Column, text: str = "decoded", out: str = "translated", entities: str = "entities", full: bool = False
 ) -> DataFrame:
-    return df.withColumn(out, st.postprocess_sentence(F.col(text), F.col(entities), tgt_lang))
+    return df.withColumn(out, st.postprocess_sentence(F.col(text), F.col(entities), tgt_lang, full))
 
 
 def binarize(
@@ -393,6 +394,7 @@ def binarize(
     index: str = "tlt_idx",
     placeholders: bool = True,
     pieces: Callable[[Column], Column] = word_pieces,
+    full: bool = False,
     **lookup,
 ) -> DataFrame:
     """Sentences to model input: pre-process, tokenise, pad, look up.
@@ -400,7 +402,7 @@ def binarize(
     Adds ``entities``, ``attention_mask`` and ``input_ids``; only ``max_length`` padding
     cuts long sentences.
     """
-    lines = preprocess(df, src_lang, tgt_lang, text, "_line", placeholders=placeholders)
+    lines = preprocess(df, src_lang, tgt_lang, text, "_line", placeholders=placeholders, full=full)
     return tokenize_batch(
         lines, vocab, "_line", True, padding == "max_length", padding, None, batch_rows, index, pieces=pieces, **lookup
     ).drop("_line")
@@ -413,8 +415,9 @@ def decode(
     ids: str = "translated_input_ids",
     out: str = "translated",
     entities: str = "entities",
+    full: bool = False,
     **lookup,
 ) -> DataFrame:
     """Model output ids to finished translations."""
     decoded = decode_text(df, vocab, ids, "_decoded", src=False, **lookup)
-    return postprocess(decoded, tgt_lang, "_decoded", out, entities).drop("_decoded")
+    return postprocess(decoded, tgt_lang, "_decoded", out, entities, full).drop("_decoded")

@@ -2,8 +2,7 @@
 
 import pytest
 
-from corpus_mt.plans.oracles import ORACLES
-from corpus_mt.plans.queries import QUERIES
+from corpus_mt.plans.all import ORACLES, QUERIES
 from tests.oracle import connect, spark_rows, sql_rows
 
 FOLDER = "/root/testdata/sf0.001"

@@ -19,7 +19,7 @@ from corpus_mt.functions.unicode import needs_nfkc
 from corpus_mt.operators.template import template_documents
 
 MIX = hs.text(alphabet=list("ab1.?!|\n -*#<>/()\"',:%@éİﬁ²  ।۔००²ßकि़́À̀"), max_size=40)
-SLOW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+SLOW = settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 
 
 def values(spark, texts, make):
@@ -42,13 +42,20 @@ def test_sentence_cases(spark, text, want):
     assert values(spark, [text], lambda c: tx.sentence_substrings(tx.canonical_text(c))) == [want]
 
 
+def plain_sentences(text):
+    """Cut behind every delimiter but dots next to a digit; edge symbols, then white space, then a bullet go."""
+    marked = re.sub(r"(?<!\d)\.(?!\d)|[?!।|॥؟۔\n]\n*", lambda m: m[0] + "\x01", text)
+    bare = [p.strip(tx.EDGE_SYMBOLS).strip() for p in marked.split("\x01")]
+    return list(dict.fromkeys(s for s in (re.sub(r"^([•○*-]|[0-9]+\.)", "", p).strip() for p in bare) if s))
+
+
 @SLOW
 @given(hs.lists(MIX, min_size=20, max_size=40))
 def test_sentences_are_clean_distinct_parts_of_the_text(spark, texts):
+    texts = [*texts, " #1", "# 1.x", "*- a. -b"]
     plain = [unicodedata.normalize("NFKC", t).lower() for t in texts]
     for text, got in zip(plain, values(spark, texts, lambda c: tx.sentence_substrings(tx.canonical_text(c))), strict=True):
-        assert len(got) == len(set(got)) and "" not in got
-        assert all(s in text and s == s.strip() and s[0] not in tx.EDGE_SYMBOLS for s in got)
+        assert got == plain_sentences(text)
         # Every letter of the text is in some sentence.
         assert {c for c in text if c.isalpha()} <= set("".join(got))
 
