@@ -30,7 +30,7 @@ from corpus_mt.session import stage_table
 
 SHINGLE, SEED, BITS, DISTANCE = 4, 42, 64, 4
 # Octets of bits in each partition; the layout with the least estimated cost is used.
-LAYOUTS = ((4, 4), (3, 3, 2), (2, 2, 2, 2), (2, 2, 2, 1, 1))
+LAYOUTS = ((4, 4), (3, 3, 2), (2, 2, 2, 2))
 # What a probe costs, in candidates compared.
 PROBE_COST = 30.0
 # A value with more fingerprints, or asked for by more, is compared in blocks of so many.
