@@ -65,17 +65,20 @@ def components(edges: DataFrame, thin: bool = False) -> DataFrame:
         down = down.mapInArrow(_thin, "a bigint, b bigint")
     down = stage_table(down.distinct(), "edges")
 
-    def mark() -> tuple:
-        return down.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-
-    before, now = None, mark()
-    while now[0] and before != now:
-        share = max(1, 2 * now[0] // parts)
+    def rows_to_go() -> int:
+        """How many edges there are, or 0 once every node has one edge down and its lower end has none."""
+        ends = down.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("low"))
+        ends = ends.unionByName(down.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("low")))
+        state = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("low").alias("low"))
+        n, open_ = state.agg(F.sum("up"), F.count(F.when(F.col("up") + F.col("low") > 1, 1))).first()
+        return n if open_ else 0
+
+    while n := rows_to_go():
+        share = max(1, 2 * n // parts)
         both = down.unionByName(down.select(F.col("b").alias("a"), F.col("a").alias("b")))
         large = _with_least(both, share).filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
         small = _with_least(large, share)
         ends = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         down = stage_table(small.select(ends).select("e.a", "e.b").filter("a != b").distinct(), "edges")
-        before, now = now, mark()
     roots = down.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
     return down.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpus_mt.llm.common import mix64, small_batches, text_slices, worker_state
+from corpus_mt.llm.components import components
 from corpus_mt.operators.skew import spread_join
 from corpus_mt.session import stage_table
 
@@ -297,45 +298,13 @@ def candidates(nodes: DataFrame) -> DataFrame:
     sizes = _bucket_sizes(parted, "bucket")
     parted = stage_table(parted.join(sizes, "bucket"), "parted")
     some = some.unionByName(parted.filter(F.col("size") <= LARGE).select("bucket", "node"))
-    proposed = some.join(nodes.select("node", "bytes"), "node").groupBy("bucket").applyInPandas(_propose_frame, "a binary, b binary")
+    proposed = some.join(nodes.select("node", "bytes"), "node").groupBy("bucket").applyInPandas(_propose_frame, "a bigint, b bigint")
     # What is as large even then is alike in seven samples: a star holds it together.
     huge = many.unionByName(parted.filter(F.col("size") > LARGE).select("bucket", "node", "size", "pivot"), allowMissingColumns=True)
     stars = huge.filter(F.col("node") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     return pairs.unionByName(proposed).unionByName(stars).distinct()
 
 
-# --- components ----------------------------------------------------------------------------------
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` of every node of ``a, b``: the least node that it is linked to.
-
-    Large-star and small-star rounds: every node hands its neighbours on to the least of
-    them, until nothing changes.  Rounds grow with the logarithm of the nodes; each
-    is a written table.
-    """
-
-    def least(pairs: DataFrame) -> DataFrame:
-        return pairs.groupBy("a").agg(F.min("b").alias("m"))
-
-    def mark(pairs: DataFrame) -> tuple:
-        return pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-
-    # Every edge points from the greater node to the lesser.
-    down = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    down = stage_table(down, "edges")
-    before, now = None, mark(down)
-    while before != now:
-        both = down.unionByName(down.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = both.join(least(both), "a").filter("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
-        small = large.join(least(large), "a")
-        small = small.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        down = stage_table(small.select("e.a", "e.b").filter("a != b").distinct(), "edges")
-        before, now = now, mark(down)
-    roots = down.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
-    return down.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
-
-
 # --- verification ------------------------------------------------------------------------------
 
 
@@ -369,8 +338,8 @@ def _verifier(shared, similarity: float):
         if len(np.unique(part)) > 1:  # pairs within one part meet in a chunk of their own
             a, b = a[part[a] != part[b]], b[part[a] != part[b]]
         # What an earlier pass has linked begins in one tree.
-        first: dict[bytes, int] = {}
-        root = [i if c is None else first.setdefault(c, i) for i, c in enumerate(docs["linked"])]
+        first: dict[int, int] = {}
+        root = [i if c < 0 else first.setdefault(c, i) for i, c in enumerate(docs["linked"].to_list())]
 
         def find(i: int) -> int:
             while root[i] != i:
@@ -427,13 +396,13 @@ def verified_links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, log_idf:
     shared = docs.sparkSession.sparkContext.broadcast(log_idf)
 
     def verify(needed: DataFrame) -> DataFrame:
-        needed = stage_table(needed.join(nodes.select("node", F.col("least").alias("rep"), "bytes"), "node"), "needed")
-        bodies = docs.select(F.col(key).alias("rep"), node_of(F.col(text)).alias("node"), F.col(text).alias("text"))
-        keyed = (bodies["node"] == needed["node"]) & bodies["rep"].eqNullSafe(needed["rep"])
-        bodies = bodies.join(needed, keyed).select("chunk", needed["node"].alias("node"), "part", "linked", "text", "bytes")
-        return bodies.groupBy("chunk").applyInPandas(_verifier(shared, similarity), "a binary, b binary")
+        needed = stage_table(needed.join(nodes.select("node", "hash", F.col("least").alias("rep"), "bytes"), "node"), "needed")
+        bodies = docs.select(F.col(key).alias("rep"), node_of(F.col(text)).alias("hash"), F.col(text).alias("text"))
+        keyed = (bodies["hash"] == needed["hash"]) & bodies["rep"].eqNullSafe(needed["rep"])
+        bodies = bodies.join(needed, keyed).select("chunk", "node", "part", "linked", "text", "bytes")
+        return bodies.groupBy("chunk").applyInPandas(_verifier(shared, similarity), "a bigint, b bigint")
 
-    none = F.lit(None).cast("binary").alias("linked")
+    none = F.lit(-1).cast("bigint").alias("linked")
     usual = placed.filter(F.col("parts") <= PARTS).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     needed = usual.select("node", "part", chunk("part", "other"))
     large = placed.filter(F.col("parts") > PARTS)
@@ -459,14 +428,17 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity
     log_idf = shingle_weights(docs, text)
     with small_batches(docs.sparkSession, BATCH_ROWS):
         sketched = stage_table(sketch(docs, log_idf, text, key), "sketched")
-    nodes = stage_table(sketched.groupBy("node").agg(F.first("keys").alias("keys"), F.first("bytes").alias("bytes"), F.min("key").alias("least"), F.count("*").alias("n")), "nodes")
+    # Texts are numbered once; all that follows moves and compares their numbers.
+    nodes = sketched.withColumnRenamed("node", "hash").groupBy("hash").agg(F.first("keys").alias("keys"), F.first("bytes").alias("bytes"), F.min("key").alias("least"), F.count("*").alias("n"))
+    nodes = stage_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     pairs = stage_table(candidates(nodes.select("node", "keys", "bytes")), "pairs")
     links = stage_table(verified_links(docs, nodes, pairs, log_idf, text, key, similarity), "links")
-    joined = nodes.select("node", "least", "n").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    joined = nodes.select("node", "hash", "least", "n").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     joined = stage_table(joined, "classes")
     totals = joined.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"), F.count("*").alias("_nodes"))
-    named = spread_join(joined.select("node", "root"), totals.drop("_nodes"), "root", totals.select("root", F.col("_nodes").alias("n")))
-    out = spread_join(sketched.select("key", "node"), named.select("node", "class_id", "class_size"), "node", nodes.select("node", "n"))
+    named = spread_join(joined.select("hash", "root"), totals.drop("_nodes"), "root", totals.select("root", F.col("_nodes").alias("n")))
+    named = named.select(F.col("hash").alias("node"), "class_id", "class_size")
+    out = spread_join(sketched.select("key", "node"), named, "node", nodes.select(F.col("hash").alias("node"), "n"))
     return out.select(F.col("key").alias(key), "class_id", "class_size", "node")
 
 
