@@ -21,9 +21,10 @@ from corpus_mt.llm.common import text_slices, worker_state
 UNDETERMINED = "und"
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 15
-# Labelled rows the model is fitted on, at most, and languages it may tell apart.
+# Labelled rows the model is fitted on, at most.
 SAMPLE_ROWS = 20_000
-LANGUAGES = 1_000
+# Numbers of the matrix, about: beyond a thousand languages there are fewer buckets, down to LEAST_BITS.
+MATRIX, LEAST_BITS = 1_000 << BUCKET_BITS, 10
 SMOOTHING = 0.5
 # Text scored at once.
 SLICE_BYTES = 1 << 19
@@ -64,24 +65,32 @@ def _fold(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return folded[keep], places[starts]
 
 
-def _buckets(folded: np.ndarray, n: int) -> np.ndarray:
+def bucket_bits(languages: int) -> int:
+    """Bits of a bucket, so that the matrix of so many languages keeps to its size."""
+    bits = BUCKET_BITS
+    while bits > LEAST_BITS and languages << bits > MATRIX:
+        bits -= 1
+    return bits
+
+
+def _buckets(folded: np.ndarray, n: int, bits: int = BUCKET_BITS) -> np.ndarray:
     """Bucket of the n-gram that ends at each code point."""
     h = np.full(len(folded), n, np.uint32)
     for back in range(n):
         shifted = folded if not back else np.concatenate([np.full(back, _SPACE, np.uint32), folded[:-back]])[: len(folded)]
         h = (h ^ shifted) * np.uint32(0x9E3779B1)
         h ^= h >> np.uint32(15)
-    return h >> np.uint32(32 - BUCKET_BITS)
+    return h >> np.uint32(32 - bits)
 
 
-def _grams(folded: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+def _grams(folded: np.ndarray, offsets: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     """Per order the bucket at each code point, or one past the last where no letter is or the n-gram would leave the text."""
     index = np.arange(len(folded)) - np.repeat(offsets[:-1], np.diff(offsets))
     for n in ORDERS:
         inside = index >= n - 1
         if n == 1:
             inside &= folded != _SPACE
-        yield np.where(inside, _buckets(folded, n).astype(np.int64), 1 << BUCKET_BITS)
+        yield np.where(inside, _buckets(folded, n, bits).astype(np.int64), 1 << bits)
 
 
 def has_letters(text: Column) -> Column:
@@ -89,7 +98,10 @@ def has_letters(text: Column) -> Column:
 
 
 class Model(NamedTuple):
-    """Languages in order and the log-probabilities; the last row, of zeros, stands for no n-gram."""
+    """Languages in order and the log-probabilities; the last row, of zeros, stands for no n-gram.
+
+    The matrix is stored by columns, which is how scoring reads it.
+    """
 
     languages: list[str]
     matrix: np.ndarray
@@ -97,7 +109,7 @@ class Model(NamedTuple):
 
 def from_counts(languages: list[str], counts: np.ndarray) -> Model:
     smooth = counts + SMOOTHING
-    return Model(languages, np.vstack([np.log(smooth) - np.log(smooth.sum(0, keepdims=True)), np.zeros((1, len(languages)))]))
+    return Model(languages, np.asfortranarray(np.vstack([np.log(smooth) - np.log(smooth.sum(0, keepdims=True)), np.zeros((1, len(languages)))])))
 
 
 def score_texts(texts: pa.Array, languages: list[str], matrix: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -106,12 +118,12 @@ def score_texts(texts: pa.Array, languages: list[str], matrix: np.ndarray) -> tu
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
     names: list[str] = []
     scores = [np.zeros(0)]
-    columns = np.ascontiguousarray(matrix.T)
+    columns, bits = np.ascontiguousarray(matrix.T), (len(matrix) - 1).bit_length() - 1
     for a, b in text_slices(texts, SLICE_BYTES):
         folded, offsets = _fold(texts.slice(a, b - a))
         letters = np.add.reduceat(folded != _SPACE, offsets[:-1])
         totals = np.zeros((b - a, len(languages)))
-        for buckets in _grams(folded, offsets):
+        for buckets in _grams(folded, offsets, bits):
             for k in range(len(languages)):
                 totals[:, k] += np.add.reduceat(np.take(columns[k], buckets), offsets[:-1])
         p = 1.0 / np.exp(totals - totals.max(1, keepdims=True)).sum(1)
@@ -125,15 +137,15 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
 
     Rows are chosen by a hash of ``key``, so the same table gives the same model.  A
     language with fewer rows gives all of them.  Only counts per bucket and language
-    come back to the driver.
+    come back to the driver.  However many languages there are, the matrix keeps to about
+    ``MATRIX`` numbers, by fewer buckets.
     """
     known = labelled.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("at"))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
-    if len(sizes) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
+    bits = bucket_bits(len(languages))
     if not languages:
-        return from_counts([], np.zeros((1 << BUCKET_BITS, 0)))
+        return from_counts([], np.zeros((1 << bits, 0)))
     share = sample_rows / len(languages)
     # A hash below this is drawn.
     bars = {k: min(1.0, share / sizes[k]) * 2.0**64 - 2.0**63 for k in languages}
@@ -142,21 +154,21 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     chosen = known.join(F.broadcast(table), "lang").filter(F.col("at").cast("double") <= F.col("bar")).select("i", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), 1 << BUCKET_BITS), np.int64)
+        total = np.zeros((len(languages), 1 << bits), np.int64)
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(), batch.column(1)
             for a, b in text_slices(texts, SLICE_BYTES):
                 folded, offsets = _fold(texts.slice(a, b - a))
-                owner = np.repeat(ids[a:b], np.diff(offsets)).astype(np.int64) << BUCKET_BITS
-                for buckets in _grams(folded, offsets):
-                    inside = buckets < 1 << BUCKET_BITS
+                owner = np.repeat(ids[a:b], np.diff(offsets)).astype(np.int64) << bits
+                for buckets in _grams(folded, offsets, bits):
+                    inside = buckets < 1 << bits
                     total += np.bincount(owner[inside] + buckets[inside], minlength=total.size).reshape(total.shape)
         i, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(total[i, bucket])], ["i", "bucket", "n"])
 
     counted = chosen.mapInArrow(count, "i int, bucket int, n bigint").groupBy("i", "bucket").agg(F.sum("n").alias("n"))
     found = counted.toPandas()  # languages by buckets at most
-    counts = np.zeros((1 << BUCKET_BITS, len(languages)))
+    counts = np.zeros((1 << bits, len(languages)))
     counts[found["bucket"].to_numpy(), found["i"].to_numpy()] = found["n"].to_numpy()
     return from_counts(languages, counts)
 

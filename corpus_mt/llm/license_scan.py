@@ -10,9 +10,11 @@ a separator, all others part of a word.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -70,10 +72,11 @@ def pieces(words: str, edits: int) -> list[bytes]:
 
 
 def seed_windows(line: bytes, notice: Notice) -> list[tuple[int, int]]:
-    """Byte ranges in which the notice may stand, merged where they meet.
+    """Byte ranges in which the notice may stand.
 
     A seed at place p of the notice and q of the text allows starts from q - p - k on and
-    ends up to q - p + length + k.
+    ends up to q - p + length + k.  Ranges that begin close to each other are merged, but not so far
+    that two places of the notice would fit into one.
     """
     size, k, found, place = len(notice.words), notice.edits, [], 0
     for piece in pieces(notice.words, k):
@@ -83,55 +86,82 @@ def seed_windows(line: bytes, notice: Notice) -> list[tuple[int, int]]:
             at = line.find(piece, at + 1)
         place += len(piece)
     merged: list[tuple[int, int]] = []
+    shift = max(0, min(2 * k, size - 4 * k))
     for a, b in sorted(found):
-        if merged and a <= merged[-1][1]:
+        if merged and a - merged[-1][0] <= shift:
             merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
         else:
             merged.append((a, b))
     return merged
 
 
+def _spaces(line: bytes) -> np.ndarray:
+    return np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+
+
 class Scanner:
     """Phrases and notices made ready for one worker."""
 
     def __init__(self, phrases: Sequence[tuple[str, str]], notices: Sequence[Notice]):
         self.phrases = [(label, b" " + words.encode() + b" ", len(words.split())) for label, words in phrases]
-        # Word ends on both sides, the best match first among those that start alike.
-        self.notices = [(n, regex.compile(rb"(?be)(?<![^ ])(?:%s){e<=%d}(?![^ ])" % (regex.escape(n.words.encode()), n.edits))) for n in notices]
+        # A space on both sides; the best match of a range.
+        self.notices = [(n, regex.compile(rb"(?be)(?<= )(?:%s){e<=%d}(?= )" % (regex.escape(n.words.encode()), n.edits))) for n in notices]
 
     def base(self, line: bytes) -> list[tuple[str, int, int]]:
         """Label, first word and one past the last of every place of a phrase; places may overlap."""
-        out = []
+        out, spaces = [], None
         for label, phrase, words in self.phrases:
             at = line.find(phrase)
             while at >= 0:
-                start = line.count(b" ", 0, at)
+                spaces = _spaces(line) if spaces is None else spaces
+                start = int(np.searchsorted(spaces, at))
                 out.append((label, start, start + words))
                 at = line.find(phrase, at + 1)
         return out
 
+    def matches(self, line: bytes, notice: Notice, pattern: regex.Pattern) -> list[tuple[int, int, int]]:
+        """Start, end and edits of the places of a notice: of those that overlap the one with the fewest edits, then the first."""
+        found, least = set(), len(notice.words) - notice.edits
+        for window in seed_windows(line, notice):
+            # The spaces beside a match are to be seen.
+            todo = [(max(0, window[0] - 1), min(len(line), window[1] + 1))]
+            while todo:
+                a, b = todo.pop()
+                if b - a < least or not (m := pattern.search(line, a, b)):
+                    continue
+                # An edit may have taken in the separators at either end.
+                if text := m.group().strip():
+                    start = m.start() + len(m.group()) - len(m.group().lstrip())
+                    found.add((start, start + len(text), sum(m.fuzzy_counts)))
+                if m.end() > m.start():
+                    todo += [(a, m.start()), (m.end(), b)]
+        starts: list[int] = []
+        kept: list[tuple[int, int, int]] = []
+        for start, end, edits in sorted(found, key=lambda f: (f[2], f[0], f[1])):
+            i = bisect_left(starts, start)
+            if (i and kept[i - 1][1] > start) or (i < len(starts) and starts[i] < end):
+                continue
+            starts.insert(i, start)
+            kept.insert(i, (start, end, edits))
+        return kept
+
     def fuzzy(self, line: bytes) -> list[dict]:
         """Spans of the notices, with their edits; those of one notice don't overlap."""
-        out = []
+        out, spaces = [], None
         for notice, pattern in self.notices:
-            for a, b in seed_windows(line, notice):
-                for m in pattern.finditer(line, a, b):
-                    # An edit may have taken in the separators at either end.
-                    found = m.group().strip()
-                    if not found:
-                        continue
-                    edits = sum(m.fuzzy_counts)
-                    start = line.count(b" ", 0, m.start() + len(m.group()) - len(m.group().lstrip())) - 1
-                    out.append(
-                        {
-                            "label": notice.label,
-                            "start_word": start,
-                            "end_word": start + found.count(b" ") + 1,
-                            "edits": edits,
-                            "similarity": 1.0 - edits / len(notice.words),
-                            "found": found.decode("utf-8", "replace"),
-                        }
-                    )
+            for a, b, edits in self.matches(line, notice, pattern):
+                spaces = _spaces(line) if spaces is None else spaces
+                found, start = line[a:b], int(np.searchsorted(spaces, a)) - 1
+                out.append(
+                    {
+                        "label": notice.label,
+                        "start_word": start,
+                        "end_word": start + found.count(b" ") + 1,
+                        "edits": edits,
+                        "similarity": 1.0 - edits / len(notice.words),
+                        "found": found.decode("utf-8", "replace"),
+                    }
+                )
         return out
 
 
@@ -147,7 +177,8 @@ def scan_licenses(
     ``base`` lists the exact phrases (label, start_word, end_word), ``spans`` the notices
     found with edits.  Null and empty texts have no words and no spans.  Null and repeated
     keys are kept, one row out for each row in; other columns play no part; an empty table
-    gives no rows.  A text of any length is searched whole.
+    gives no rows.  A text of any length is searched whole, in time that grows with it.  Places of a phrase may
+    overlap, those of one notice don't; a repeated notice is found at each of its places.
     """
     phrases, notices = tuple(phrases), tuple(notices)
     base_type = pa.list_(pa.struct([("label", pa.string()), ("start_word", pa.int64()), ("end_word", pa.int64())]))

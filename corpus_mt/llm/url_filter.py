@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpus_mt.operators.skew import spread_join
+from corpus_mt.session import stage_table
 
 ALLOW, BLOCK = "allow", "block"
-# Longest word looked for in a name, and longest name (that of a domain label) that is cut.
-WORD_CHARS, NAME_CHARS = 20, 63
+# Longest word looked for in a name, and letters of a name that are cut at once; a longer one, which no
+# domain label is, is parted after every NAME_CHARS letters first, so that what one row holds is bounded.
+WORD_CHARS, NAME_CHARS = 20, 2_048
 BUCKETS = 1 << 18
 SMOOTHING = 1.0
 # A list of rules is part of the plan; longer ones belong in a table.
@@ -96,10 +98,9 @@ def segment(names: DataFrame, words: DataFrame) -> DataFrame:
     """``name, words`` of distinct names.
 
     Substrings of names meet the counted words in a join, so no word list is sent around; a
-    name gathers at most ``NAME_CHARS * WORD_CHARS`` matches.  Names longer than a domain
-    label, and shorter than two characters, stay whole.
+    name gathers at most ``WORD_CHARS`` matches a letter.  Names shorter than two characters stay whole.
     """
-    fit = F.length("name").between(2, NAME_CHARS)
+    fit = F.length("name") > 1
     starts = names.filter(fit).select("name", F.explode(F.sequence(F.lit(1), F.length("name") - 1)).alias("at"))
     longest = F.least(F.lit(WORD_CHARS), F.length("name") - F.col("at") + 1)
     subs = starts.select("name", "at", F.explode(F.sequence(F.lit(2), longest)).alias("size"))
@@ -125,9 +126,15 @@ def _runs(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, " +"))
 
 
+def _pieces(name: Column) -> Column:
+    """A name as pieces of ``NAME_CHARS`` letters, the last one shorter."""
+    starts = F.sequence(F.lit(1), F.length(name), F.lit(NAME_CHARS))
+    return F.transform(starts, lambda at: name.substr(at, F.lit(NAME_CHARS)))
+
+
 def host_tokens(hosts: DataFrame, words: DataFrame) -> DataFrame:
     """``host, host_words``: each host's names, cut into words, in order."""
-    named = hosts.select("host", F.posexplode(_runs(F.col("host"))).alias("pos", "name"))
+    named = hosts.select("host", F.posexplode(F.flatten(F.transform(_runs(F.col("host")), _pieces))).alias("pos", "name"))
     cut = segment(named.select("name").distinct(), words)
     joined = spread_join(named, cut, "name")
     ordered = joined.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("pos", "words"))).alias("parts"))
@@ -195,10 +202,12 @@ def filter_urls(
     urls that a rule decides, and judges the others.  Null urls and those without ``://`` have no
     host, path or tokens: no rule fits and they are allowed, as even odds never block.  Null and
     repeated keys are kept, one row out for each row in; other columns play no part; an empty
-    table gives no rows.
+    table gives no rows.  Urls and names of any length are read whole.  Of rules of one length the last by
+    its text decides.
     """
     parts = add_parts(pages.select(F.col(key).alias("_key"), F.col(url).alias("_url")), "_url").drop("_url")
-    tokens = add_tokens(parts.withColumn("_rule", rule_of(rules)), words)
+    # Staged: the fit and the scores both read them.
+    tokens = stage_table(add_tokens(parts.withColumn("_rule", rule_of(rules)), words), "url-tokens")
     if labels is None:
         known = tokens.withColumn("label", F.col("_rule.verdict"))
     else:

@@ -26,8 +26,8 @@ from corpus_mt.session import shared_dir, stage_table
 REVISIT_BYTES = 1000
 # A new archive begins once one holds this many bytes.
 ARCHIVE_BYTES = 64 << 20
-# Bytes read at once, and the longest header accepted.
-BLOCK, HEADER_BYTES = 1 << 18, 1 << 16
+# Bytes read at once.
+BLOCK = 1 << 18
 # Records of one outgoing batch.
 BATCH_RECORDS = 256
 
@@ -180,12 +180,18 @@ class _Stream:
             self.at -= len(self.unpack.unused_data)
         return True
 
-    def line_block(self) -> bytes:
-        """Up to and without the next empty line."""
-        seen = 0
+    def line_block(self, most: int) -> bytes:
+        """Up to and without the next empty line, of ``most`` bytes at most.
+
+        Lines are checked as they arrive, so that a version line by chance is given up soon.
+        """
+        seen = line = 0
         while (end := self.buffer.find(b"\r\n\r\n", seen)) < 0:
+            while (stop := self.buffer.find(b"\r\n", max(line, seen))) >= 0:
+                _check_line(self.buffer[line:stop], first=line == 0)
+                line = stop + 2
             seen = max(0, len(self.buffer) - 3)
-            if len(self.buffer) > HEADER_BYTES or not self._more():
+            if len(self.buffer) > most or not self._more():
                 raise _Bad("the header does not end")
         return self.take(end + 4)[:-4]
 
@@ -208,15 +214,20 @@ class _Stream:
         return self.at - len(self.buffer)
 
 
-def _record(stream: _Stream, most: int) -> dict:
-    head = stream.line_block().split(b"\r\n")
-    if not re.fullmatch(rb"WARC/1\.[01]", head[0]):
+def _check_line(line: bytes, first: bool) -> None:
+    if first and not re.fullmatch(rb"WARC/1\.[01]", line):
         raise _Bad("no version line")
+    if not first and b":" not in line:
+        raise _Bad("a header line has no colon")
+
+
+def _record(stream: _Stream, most: int) -> dict:
+    head = stream.line_block(most).split(b"\r\n")
+    _check_line(head[0], first=True)
     fields = {}
     for line in head[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
-            raise _Bad("a header line has no colon")
+        _check_line(line, first=False)
+        name, _, value = line.partition(b":")
         fields[name.strip().lower()] = value.strip().decode("utf-8", "replace")
     length = fields.get(b"content-length", "")
     if not re.fullmatch("[0-9]{1,15}", length) or int(length) > most:

@@ -268,3 +268,64 @@ def test_very_long_text(spark):
     text = "word " * 200_000 + "GNU General Publik License" + " word" * 200_000
     row = license_scan.license_digest(license_scan.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string"))).first()
     assert (row.n_words, row.labels, row.base_labels) == (400_004, "gpl", "") and row.score == pytest.approx(1 - 1 / 26)
+
+
+def test_more_than_a_thousand_languages(spark):
+    rows = [(i, f"w{chr(0x4E00 + i)} {chr(0x4E00 + i)}{chr(0x5E00 + i)}", f"l{i:04}") for i in range(1001)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model.languages) == 1001 and model.matrix.shape == ((1 << 14) + 1, 1001)
+    got = langid.predict(df.filter("doc_id % 50 = 0"), model).collect()
+    assert sum(r.lang_pred == r.lang for r in got) >= 0.9 * len(got)
+    assert langid.bucket_bits(1000) == langid.BUCKET_BITS and langid.bucket_bits(10**6) == langid.LEAST_BITS
+
+
+def test_long_names_are_cut(spark):
+    words = spark.createDataFrame([("good", 50), ("casino", 40), ("news", 30)], "word string, n long")
+    hosts = ["goodcasino" * 8 + ".com", "goodcasino" * 20, "x" * 5000 + "casino", "goodnews.goodcasino", ""]
+    got = {r.host: r.host_words for r in url_filter.host_tokens(spark.createDataFrame([(h,) for h in hosts], "host string"), words).collect()}
+    assert got[hosts[0]][:16] == ["good", "casino"] * 8 and got[hosts[1]] == ["good", "casino"] * 20
+    assert got[hosts[2]][-1] == "casino" and "".join(got[hosts[2]]) == hosts[2]
+    assert got[hosts[3]] == ["good", "news", "good", "casino"]
+
+
+def test_url_verdicts_like_brute_force(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    rules = [url_filter.Rule("net", "/", url_filter.BLOCK), url_filter.Rule("org", "/", url_filter.ALLOW)]
+    got = url_filter.filter_urls(pages, rules, url_filter.count_words(pages, "html")).collect()
+    tokens = lambda r: [("h", w) for w in r.host_words or []] + [("p", w) for w in re.sub(r"[^\w]+|_", " ", re.sub(r"\d+", " 0 ", r.path.lower())).split()]
+    counts = {v: {} for v in (url_filter.BLOCK, url_filter.ALLOW)}
+    for r in got:
+        if r.rule:
+            for t in tokens(r):
+                counts[r.verdict][t] = counts[r.verdict].get(t, 0) + 1
+    logs = {v: math.log(sum(c.values()) + url_filter.BUCKETS) for v, c in counts.items()}
+    assert any(r.rule for r in got) and any(not r.rule for r in got)
+    for r in got:
+        odds = sum(math.log(counts["block"].get(t, 0) + 1) - logs["block"] - math.log(counts["allow"].get(t, 0) + 1) + logs["allow"] for t in tokens(r))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-9)
+        assert r.rule or r.verdict == ("block" if odds > 1e-9 else "allow")
+
+
+def test_overlapping_and_repeated_notices():
+    scanner = license_scan.Scanner((), (Notice("gpl", "gnu general public license", 3),))
+    line = lambda text: b" " + text.encode() + b" "
+    bad, good = "gnu genxral publxc license", "gnu general public license"
+    for text in (f"{bad} {good}", f"{good} {bad}"):
+        got = scanner.fuzzy(line(text))
+        assert [(x["start_word"], x["end_word"], x["edits"]) for x in got] == [(0, 4, 2 * text.startswith(bad)), (4, 8, 2 * text.endswith(bad))]
+    got = scanner.fuzzy(line(" ".join([good, bad] * 2_000)))
+    assert [x["start_word"] for x in got] == list(range(0, 16_000, 4))
+    # A match may not end within a word.
+    assert scanner.fuzzy(line("gnu general public licensexxxxxxxx")) == []
+
+
+def test_very_many_places_take_no_square_time():
+    import time
+
+    scanner = license_scan.Scanner(license_scan.PHRASES, ())
+    line = b" " + b"cc by nc " * 100_000
+    began = time.process_time()
+    got = scanner.base(line)
+    assert time.process_time() - began < 1.0
+    assert len(got) == 100_000 and got[-1] == ("cc-by-nc", 299_997, 300_000)

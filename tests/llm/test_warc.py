@@ -99,3 +99,20 @@ def test_archives_are_cut_by_size(spark):
 
     made = warc.write_archives(records, f"{shared_dir(spark)}/cut", archive_bytes=2000).collect()
     assert len(made) > 3 and sum(r.records for r in made) == 40
+
+
+@pytest.mark.parametrize("pack", [warc.gzip_member, bytes])
+def test_headers_of_a_megabyte(pack):
+    import random
+
+    draw = random.Random(3)
+    url = "http://h/" + "".join(draw.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=1_000_000))
+    long = record(1).replace(b"http://h/1", url.encode(), 1)
+    got = salvage(pack(record(0)) + pack(long) + pack(record(2)))
+    assert [g[2]["record_key"] for g in got] == ["0", "1", "2"] and got[1][2]["target_uri"] == url
+
+
+def test_pages_with_very_long_urls(spark):
+    df = spark.range(3).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h/"), F.repeat(F.md5(F.col("id").cast("string")), 40_000)).alias("url"), F.lit("<p>").alias("html"))
+    got = warc.records_of(warc.read_archives(warc.archive_pages(df), payloads=False))
+    assert sorted(r.record_key for r in got.collect()) == ["0", "1", "2"]
