@@ -1,9 +1,10 @@
 """Approximate nearest neighbours over balanced posting lists.
 
 Vectors are filed under centroids.  One near a border is filed under several, so a search need
-not visit every list around it.  Stored vectors find their centroids by walking an in-memory graph of
-them.  A query visits all lists up to a ratio of the nearest one's distance; a bounded set of queries
-that are also compared with every vector says what ratio finds enough.  The lists' vectors then
+not visit every list around it.  Stored vectors and queries find their centroids by walking an in-memory
+graph of them.  A query visits all lists up to a ratio of the nearest one's distance, its walk being widened
+until it has gone past that; a bounded set of queries that are also compared with every vector says what
+ratio finds enough.  The lists' vectors then
 meet their queries block by block, and exact inner products pick the best.
 
 Inner product becomes distance by one more dimension, which gives every vector the length of
@@ -32,19 +33,21 @@ REPLICAS, CLOSURE = 4, 1.06
 PROBES, PRUNE = 32, 1.2
 # Share of the nearest vectors that the lists visited shall hold, and queries it is measured on, about, at most.
 RECALL, TRIALS = 0.95, 256
-# Centroid graph: neighbours of a node, and nodes a walk keeps.
-DEGREE, BEAM = 16, 48
+# Centroid graph: neighbours of a node, nodes a walk keeps at first, and the share of them it opens at once.
+DEGREE, BEAM, AT_ONCE = 16, 48, 12
+# Nodes a walk may begin at: so many times the root of their number, or it would not find into clusters far apart.
+STARTS = 4
 # Vectors of a list that one task compares with the list's queries.
 BLOCK_ROWS = 4_000
 ROUNDS, SEED = 12, 7
 
 
 class Index(NamedTuple):
-    """Centroids (with the added dimension), their graph, the walk's start and the longest length."""
+    """Centroids (with the added dimension), their graph, the nodes that walks begin at, and the longest length."""
 
     centroids: np.ndarray
     graph: np.ndarray
-    start: int
+    starts: np.ndarray
     longest: float
 
 
@@ -81,8 +84,8 @@ def balanced_centroids(sample: np.ndarray, lists: int) -> np.ndarray:
     return centroids
 
 
-def centroid_graph(centroids: np.ndarray) -> tuple[np.ndarray, int]:
-    """Every node's nearest others and one far link, which keeps the graph connected; and the most central node."""
+def centroid_graph(centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node's nearest others and one far link, which keeps the graph connected; and the nodes that walks begin at."""
     n = len(centroids)
     degree = min(DEGREE, n - 1)
     graph = np.zeros((n, degree + 1), np.int64)
@@ -92,32 +95,38 @@ def centroid_graph(centroids: np.ndarray) -> tuple[np.ndarray, int]:
         graph[at : at + 1024, :degree] = np.argsort(d, 1, kind="stable")[:, :degree]
     ring = np.random.default_rng(SEED).permutation(n)
     graph[ring, degree] = np.roll(ring, 1)
-    return graph, int(_distances(centroids.mean(0, keepdims=True), centroids)[0].argmin())
+    return graph, ring[: int(np.ceil(STARTS * np.sqrt(n)))]
 
 
 def walk(index: Index, points: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``keep`` centroids found nearest to each point, and their distances, nearest first.
 
-    All points walk at once: each opens its nearest unopened node, looks at that node's
-    neighbours and keeps the best, until all it keeps are open.  Missing ones are -1.
+    All points walk at once: each begins at the nearest of the starts, opens its nearest unopened
+    nodes, looks at their neighbours and keeps the best, until all it keeps are open.  Missing ones are -1.
     """
     n = len(points)
     beam = max(min(BEAM, len(index.centroids)), min(keep, len(index.centroids)))
+    wide = max(1, beam // AT_ONCE)
     ids = np.full((n, beam), -1, np.int64)
     far = np.full((n, beam), np.inf, np.float32)
     opened = np.zeros((n, beam), bool)
-    ids[:, 0] = index.start
-    far[:, 0] = ((points - index.centroids[index.start]) ** 2).sum(1)
+    first = _distances(points, index.centroids[index.starts])
+    best = np.argsort(first, 1, kind="stable")[:, :beam]
+    ids[:, : best.shape[1]] = index.starts[best]
+    far[:, : best.shape[1]] = np.take_along_axis(first, best, 1)
     going = np.arange(n)
     while len(going):
         wait = np.where(opened[going] | (ids[going] < 0), np.inf, far[going])
-        pick = wait.argmin(1)
-        alive = np.isfinite(wait[np.arange(len(going)), pick])
-        going, pick = going[alive], pick[alive]
+        pick = np.argsort(wait, 1, kind="stable")[:, :wide]
+        real = np.isfinite(np.take_along_axis(wait, pick, 1))
+        alive = real[:, 0]
+        going, pick, real = going[alive], pick[alive], real[alive]
         if not len(going):
             break
-        opened[going, pick] = True
-        near = index.graph[ids[going, pick]]
+        row, place = np.nonzero(real)
+        opened[going[row], pick[row, place]] = True
+        near = index.graph[np.where(real, np.take_along_axis(ids[going], pick, 1), 0)]
+        near = np.where(real[:, :, None], near, -1).reshape(len(going), -1)
         d = ((points[going, None] - index.centroids[near]) ** 2).sum(2)
         # One entry per node: the kept one wins, so that it stays open.
         all_ids = np.concatenate([ids[going], near], 1)
@@ -135,6 +144,32 @@ def walk(index: Index, points: np.ndarray, keep: int) -> tuple[np.ndarray, np.nd
     return ids[:, :keep], np.sqrt(far[:, :keep])
 
 
+def lists_to_visit(index: Index, points: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+    """``(point, list)`` of the lists that queries visit.
+
+    These are the ``PROBES`` nearest of up to ``PRUNE`` times the nearest one's distance, and all up to
+    ``ratio`` times it.  A walk that ends before that distance is repeated with four times the nodes.
+    """
+    rows, lists = [], []
+    going, keep = np.arange(len(points)), BEAM
+    while len(going):
+        keep = min(keep, len(index.centroids))
+        short = []
+        step = max(1, 1024 * BEAM // keep)
+        for at in range(0, len(going), step):
+            some = going[at : at + step]
+            ids, far = walk(index, points[some], keep)
+            nearest = far[:, :1]
+            limit = np.maximum(np.minimum(far[:, min(PROBES, keep) - 1 : min(PROBES, keep)], PRUNE * nearest), ratio * nearest) + 1e-6
+            done = (far[:, -1:] > limit)[:, 0] | (keep == len(index.centroids))
+            row, place = np.nonzero((ids >= 0) & (far <= limit) & done[:, None])
+            rows.append(some[row])
+            lists.append(ids[row, place])
+            short.append(some[~done])
+        going, keep = np.concatenate(short), 4 * keep
+    return np.concatenate(rows or [np.zeros(0, np.int64)]), np.concatenate(lists or [np.zeros(0, np.int64)])
+
+
 def usable(vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``id, v`` of the rows that take part.
 
@@ -182,26 +217,22 @@ def _file(rows: DataFrame, index: Index, ratio: float, most: int | None = None)
     """Rows once for each list: those at most ``ratio`` times as far as the nearest.
 
     Stored vectors go to the ``most`` nearest that a walk finds; without ``most`` rows are queries, and
-    their distance to every centroid is known.
+    all lists up to that distance are theirs.
     """
     shared = rows.sparkSession.sparkContext.broadcast(tuple(index))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Index(*shared.value)
-        step = 1024 if most else max(1, min(1024, (1 << 20) // len(known.centroids)))
         for whole in batches:
-            for at in range(0, whole.num_rows, step):
-                batch = whole.slice(at, step)
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
                 v = _matrix(batch.column(1))
                 if most:
                     ids, far = walk(known, lift(v, known.longest), most)
                     row, place = np.nonzero((ids >= 0) & (far <= ratio * far[:, :1] + 1e-6))
                     lists = ids[row, place]
                 else:
-                    far = np.sqrt(_distances(_asked_points(v, known), known.centroids))
-                    nearest, n = far.min(1, keepdims=True), min(PROBES, far.shape[1])
-                    usual = np.minimum(np.partition(far, n - 1, 1)[:, n - 1 : n], PRUNE * nearest)
-                    row, lists = np.nonzero(far <= np.maximum(usual, ratio * nearest) + 1e-6)
+                    row, lists = lists_to_visit(known, _asked_points(v, known), ratio)
                 for a in range(0, len(row), 8192):
                     picked = pa.array(row[a : a + 8192])
                     yield pa.RecordBatch.from_arrays(

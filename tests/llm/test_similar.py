@@ -242,3 +242,43 @@ def test_recall_holds_where_lists_are_many(spark):
 def test_longest_inner_product_wins_over_the_nearest_direction(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [9.0, 9.0])], "vec_id long, embedding array<double>")
     assert [r.vec_id for r in ann.search(df, df.filter("vec_id = 0"), top=1).collect()] == [2]
+
+
+def test_queries_walk_to_the_lists_of_all_within_the_ratio(monkeypatch):
+    """Clustered centroids: the walk finds the lists that comparing with every centroid finds, and compares with fewer."""
+    rng = np.random.default_rng(3)
+    middles = rng.normal(size=(40, 16))
+    centroids = (middles[rng.integers(0, 40, 3_000)] + 0.3 * rng.normal(size=(3_000, 16))).astype(np.float32)
+    index = ann.Index(centroids, *ann.centroid_graph(centroids), 1.0)
+    points = (middles[rng.integers(0, 40, 300)] + 0.3 * rng.normal(size=(300, 16))).astype(np.float32)
+    far = np.sqrt(ann._distances(points, centroids))
+    nearest = far.min(1, keepdims=True)
+    for ratio in (1.0, 1.4):
+        limit = np.maximum(np.minimum(np.sort(far, 1)[:, ann.PROBES - 1 : ann.PROBES], ann.PRUNE * nearest), ratio * nearest)
+        wanted = set(zip(*np.nonzero(far <= limit), strict=True))
+        row, lists = ann.lists_to_visit(index, points, ratio)
+        got = list(zip(row, lists, strict=True))
+        assert len(got) == len(set(got))
+        assert len(wanted & set(got)) >= 0.97 * len(wanted)
+    opened = []
+    graph = index.graph
+
+    class Counted:
+        def __getitem__(self, nodes):
+            opened.append(np.size(nodes))
+            return graph[nodes]
+
+    ann.lists_to_visit(index._replace(graph=Counted()), points, 1.0)
+    looked = len(index.starts) + sum(opened) * graph.shape[1] / len(points)
+    print("compared with", looked, "of", len(centroids))
+    assert looked < 0.6 * len(centroids)
+
+
+def test_visits_of_few_lists():
+    for n in (1, 2, 5):
+        centroids = np.arange(n, dtype=np.float32)[:, None]
+        index = ann.Index(centroids, *ann.centroid_graph(centroids), 1.0)
+        row, lists = ann.lists_to_visit(index, np.array([[0.1], [n + 1.0]], np.float32), 1e6)
+        assert sorted(zip(row.tolist(), lists.tolist(), strict=True)) == [(q, c) for q in range(2) for c in range(n)]
+    row, lists = ann.lists_to_visit(index, np.zeros((0, 1), np.float32), 1.0)
+    assert len(row) == len(lists) == 0
