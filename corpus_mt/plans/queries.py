@@ -38,11 +38,8 @@ DEVICES = (3, 1, 4)
 
 
 def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A given table.  Where the session asks for it, its rows are dealt out first, as the
-    tables are single files of one row group that a scan can't split."""
-    table = read_table(spark, f"{d}/{name}.parquet")
-    parts = spark.conf.get("spark.corpus_mt.dealPartitions", "")
-    return ly.salt_partitions(table, int(parts)) if parts else table
+    """A given table."""
+    return read_table(spark, f"{d}/{name}.parquet")
 
 
 def _docs(spark: SparkSession, d: str, mode: str = "sentence") -> DataFrame:
@@ -538,30 +535,27 @@ def _parallel(spark, d) -> DataFrame:
     return texts.select("id", "ds_type", text.alias(f"sentence_{lang.ENGLISH}"), *[c.alias(n) for n, c in others.items()])
 
 
-def _pairs(spark, d, direction: str) -> DataFrame:
-    paired = ev.pair_sentences(_parallel(spark, d), lang.language_pairs(direction), keep=["ds_type"])
-    return paired.withColumn("direction", F.lit(direction))
+def _pairs(spark, d) -> DataFrame:
+    """Sentence pairs of all directions, which share no pair, in one pass over the parallel table."""
+    pairs = [pair for direction in DIRECTIONS for pair in lang.language_pairs(direction)]
+    # A row opens into hundreds, so rows are dealt over all tasks while they are few.
+    wide = ly.salt_partitions(_parallel(spark, d), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    paired = ev.pair_sentences(wide, pairs, keep=["ds_type"])
+    from_english, to_english = F.col("src_lang") == lang.ENGLISH, F.col("tgt_lang") == lang.ENGLISH
+    return paired.withColumn("direction", F.when(from_english, DIRECTIONS[0]).when(to_english, DIRECTIONS[1]).otherwise(DIRECTIONS[2]))
 
 
 def language_pairs(spark, d):
     """Sentence pairs to evaluate, by data set, direction and pair."""
-    out = None
-    for direction in DIRECTIONS:
-        rows = _pairs(spark, d, direction)
-        out = rows if out is None else out.unionByName(rows)
-    return out.groupBy("ds_type", "direction", "src_lang", "tgt_lang").agg(
+    return _pairs(spark, d).groupBy("ds_type", "direction", "src_lang", "tgt_lang").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("source")).alias("source_chars")
     )
 
 
 def _evaluated(spark, d):
-    """All pairs of all directions in both data sets, each direction with its own vocabulary."""
+    """All pairs of all directions in both data sets, in one run."""
     run = lambda ready: tr.translate_ids(ready, reverse_words)
-    out = None
-    for direction in DIRECTIONS:
-        done = ev.run_evaluation(_pairs(spark, d, direction), _vocabulary(spark, d), run)
-        out = done if out is None else out.unionByName(done)
-    return out
+    return ev.run_evaluation(_pairs(spark, d), _vocabulary(spark, d), run)
 
 
 def evaluation_run(spark, d):
@@ -585,10 +579,7 @@ def pair_scores(spark, d):
 
 
 def pair_parse(spark, d):
-    out = None
-    for direction in DIRECTIONS:
-        rows = _pairs(spark, d, direction)
-        out = rows if out is None else out.unionByName(rows)
+    out = _pairs(spark, d)
     path = F.concat_ws("/", F.lit("/out"), "ds_type", F.concat_ws("__", "src_lang", "tgt_lang"))
     src, tgt, ds = ev.parse_pair(F.col("path"))
     return out.select("id", path.alias("path")).select("id", "path", src.alias("src"), tgt.alias("tgt"), ds.alias("ds_type"))
