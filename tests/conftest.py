@@ -18,7 +18,6 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
-            "spark.corpus_mt.dealPartitions": "8",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
