@@ -147,6 +147,44 @@ def test_bar_lies_between_the_labels():
     assert quality.bar_between([k / 100 for k in range(100)], [0.5] * 9) <= 0.05
 
 
+def test_bar_of_a_table_is_that_of_its_lists(spark):
+    rng = random.Random(5)
+    for n_good, n_bad, wide in ((1, 1, 0.1), (40, 30, 0.01), (500, 300, 3.0)):
+        good = [round(rng.gauss(0.2, 1) * wide, 6) for _ in range(n_good)]
+        bad = [round(rng.gauss(-0.2, 1) * wide, 6) for _ in range(n_bad)] + good[:n_bad:3]
+        rows = [(x, 1) for x in good] + [(x, 0) for x in bad]
+        assert quality.find_bar(spark.createDataFrame(rows, "score double, _mark int")) == quality.bar_between(good, bad)
+    assert quality.find_bar(spark.createDataFrame([(0.5, 1)], "score double, _mark int")) is None
+
+
+def test_every_label_counts(spark, monkeypatch):
+    """More good documents than a sample once held."""
+    monkeypatch.setattr(quality, "BUCKETS", 64)
+    n = 60_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    labels = docs.filter("doc_id % 100 > 0").select("doc_id", F.lit(1).alias("quality"))
+    marks = quality._marks(labels, "doc_id", "quality")
+    marked = quality.labelled_texts(docs, marks)
+    good = n // 100 * 99
+    assert quality.trusted_keys(labels).count() == marked.count() == good
+    # Keys of another type meet as well, without the bits.
+    assert quality.labelled_texts(docs.withColumn("doc_id", F.col("doc_id").cast("int")), marks).count() == good
+    _, farther = quality.log_ratios(docs, marked)
+    prior = quality.PRIOR * 64
+    near = [math.expm1(math.log1p(good / prior) / f) * prior for f in farther]  # n-grams of either half
+    assert sum(near) == pytest.approx(good) and min(near) > 0.4 * good
+
+
+def test_good_documents_of_both_halves_reach_the_bar(spark, monkeypatch):
+    words = lambda i, c: " ".join(f"{c}{(i * 7 + k * k) % 211}" for k in range(60))
+    rows = [(i, words(i, "g"), 1) for i in range(40)] + [(100 + i, words(i, "b"), 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "find_bar", lambda rated: seen.extend(rated.select("_key", "_mark").collect()))
+    assert quality.fit(df.drop("quality"), df)[1] == quality.BAR
+    assert sorted(r["_key"] for r in seen) == sorted(r[0] for r in rows)
+
+
 # --- urls --------------------------------------------------------------------------------
 
 RULES = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"), url_filter.Rule("example.com", "/de/", "block"), url_filter.Rule("org", "/fr/", "allow")]
