@@ -367,3 +367,19 @@ def test_very_many_places_take_no_square_time():
     got = scanner.base(line)
     assert time.process_time() - began < 1.0
     assert len(got) == 100_000 and got[-1] == ("cc-by-nc", 299_997, 300_000)
+
+
+# --- the pipeline's quality stage ----------------------------------------------------------
+
+
+def test_pipeline_quality_stage_takes_every_label(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    number = F.col("id").cast("string")
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.concat(F.lit("w"), F.pmod(F.col("id") * 7 + k * k, F.lit(997)).cast("string"))), " ")
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", words, number).alias("text"))
+    docs.selectExpr("doc_id", "cast(doc_id % 2 as int) AS quality").write.parquet(f"{tmp_path}/labels.parquet")
+    seen = []
+    monkeypatch.setattr(quality, "find_bar", lambda rated: seen.extend(rated.select("_key", "_mark").collect()))
+    assert corpus_pipeline.by_quality(spark, docs, str(tmp_path)).columns == docs.columns
+    assert sorted(tuple(r) for r in seen) == [(i, i % 2) for i in range(12_000)]
