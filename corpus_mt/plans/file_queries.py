@@ -100,19 +100,19 @@ def split_range(spark, d):
 
 
 def stream_numbers(spark, d):
-    """Sentences of documents that arrive in several files, numbered on from file to file."""
+    """Sentences of documents that arrive in several parts, numbered on from part to part."""
     base = _folder(spark, "numbers")
     raw = ly.number_rows(read_table(spark, f"{d}/documents.parquet").select("doc_id", "text"), ["doc_id"], total="n")
     raw = raw.withColumn("part", F.floor(F.col("row_idx") * PARTS / F.col("n")))
-    for k in range(PARTS):  # one after the other, as files that arrive
-        raw.filter(F.col("part") == k).select("doc_id", "text", "row_idx").coalesce(1).write.mode("append").parquet(f"{base}/in")
-    stream = read_stream(spark, f"{base}/in", "doc_id bigint, text string, row_idx bigint", maxFilesPerTrigger="1")
 
     def sentences(batch: DataFrame) -> DataFrame:
         docs = tp.template_documents(batch, "text", "doc_id", source_type="web", keep=("row_idx",))
         return sn.explode_sentences(docs, ("doc_id", "row_idx"))
 
-    nb.run_numbered(stream, f"{base}/out", f"{base}/progress", ("row_idx", "pos"), prepare=sentences).awaitTermination()
+    for k in range(PARTS):  # one after the other, as folders that arrive: each of as many files as tasks write
+        raw.filter(F.col("part") == k).select("doc_id", "text", "row_idx").write.mode("append").parquet(f"{base}/in")
+        stream = read_stream(spark, f"{base}/in", "doc_id bigint, text string, row_idx bigint")
+        nb.run_numbered(stream, f"{base}/out", f"{base}/progress", ("row_idx", "pos"), prepare=sentences).awaitTermination()
     return nb.read_numbered(spark, f"{base}/out").select("doc_id", "pos", "sid", "tlt_idx")
 
 

@@ -10,6 +10,7 @@ from corpus_mt.operators import replace as rp
 from corpus_mt.operators import sentences as sn
 from corpus_mt.operators import tokens as tk
 from corpus_mt.sources import readers
+from corpus_mt.plans import file_queries
 from corpus_mt.streaming import numbering as nb
 from corpus_mt.streaming import replacing as rs
 
@@ -120,3 +121,19 @@ def test_finishing_a_document():
     assert rs.finish_document({"text": "a", "sub_strs": ["a"]}, {0: None}) == ("a", ["None"])
     assert rs.finish_document({"text": "", "sub_strs": []}, {}) == ("None", ["None"])
     assert json.loads(json.dumps(doc)) == doc
+
+
+def test_parts_of_a_numbered_stream_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(file_queries, "_folder", lambda spark, name: str(tmp_path / name))
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")  # the table is too small to have several files else
+    try:
+        out = file_queries.stream_numbers(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set(name, before)
+    arrived = list((tmp_path / "numbers" / "in").glob("*.parquet"))
+    assert len(arrived) > file_queries.PARTS
+    assert len(list((tmp_path / "numbers" / "out").glob("epoch=*"))) == file_queries.PARTS
+    numbers = sorted(r.tlt_idx for r in out.select("tlt_idx").collect())
+    assert numbers == list(range(len(numbers)))
