@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +16,8 @@ from corpus_mt.operators.tokens import Vocabulary, binarize, decode
 BLEU_ORDER = 4
 CHRF_ORDER = 6
 CHRF_BETA = 2
+# Rows whose n-grams are counted at one time.
+SLICE_ROWS = 256
 
 
 def long_form(wide: DataFrame, id_col: str = "id", prefix: str = "sentence_") -> DataFrame:
@@ -134,30 +136,52 @@ def _part_word(word: Column) -> Column:
     )
 
 
+def _overlaps(pred: pa.Array, ref: pa.Array, order: int) -> np.ndarray:
+    """``3 * order`` numbers per row of two arrays of texts, counted over all rows at once.
+
+    An n-gram is the number of its first n - 1 items next to its last item, and these pairs are numbered anew for every
+    n; the numbers of the empty n-gram are the rows, so n-grams of different rows never meet.
+    """
+    rows, both = len(pred), pa.concat_arrays([pred, ref])
+    if pa.types.is_string(both.type):
+        texts = both.to_pylist()
+        sizes = np.array([len(t) for t in texts], dtype="int64")
+        items = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype("int64")
+    else:
+        sizes = both.value_lengths().to_numpy(zero_copy_only=False).astype("int64")
+        items = both.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype("int64")
+    out = np.zeros((rows, 3 * order), dtype="int64")
+    text = np.repeat(np.arange(2 * rows), sizes)
+    ahead = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(items))  # items up to the end of the text
+    at, gram, span = np.arange(len(items)), text % max(rows, 1), int(items.max(initial=0)) + 1
+    for n in range(1, order + 1):
+        long_enough = ahead[at] >= n
+        at, gram = at[long_enough], gram[long_enough]
+        if not len(at):
+            break
+        known, gram = np.unique(gram * span + items[at + n - 1], return_inverse=True)
+        row, is_ref = text[at] % rows, text[at] >= rows
+        of = np.empty(len(known), dtype="int64")
+        of[gram] = row
+        left, right = (np.bincount(gram[side], minlength=len(known)) for side in (~is_ref, is_ref))
+        out[:, 3 * n - 3] = np.bincount(of, np.minimum(left, right), rows)
+        out[:, 3 * n - 2], out[:, 3 * n - 1] = (np.bincount(row[side], minlength=rows) for side in (~is_ref, is_ref))
+    return out
+
+
 def _overlap(order: int):
     """An Arrow function from two texts to ``3 * order`` numbers: per n the n-grams they share
     (each as often as both have it), and those of either side.
 
-    Texts are lists of words, or strings of characters.  Everything is counted inside the row:
+    Texts are lists of words, or strings of characters.  Everything is counted inside the batch:
     no n-gram leaves it.
     """
 
-    def count(items, n: int) -> Counter:
-        if isinstance(items, str):
-            return Counter([items[i : i + n] for i in range(len(items) - n + 1)])
-        return Counter(zip(*[items[k:] for k in range(n)], strict=False))
-
-    def numbers(pred, ref) -> list[int]:
-        out = []
-        for n in range(1, order + 1):
-            a, b = count(pred, n), count(ref, n)
-            out += [sum((a & b).values()), a.total(), b.total()]
-        return out
-
-    @F.pandas_udf("array<bigint>")
-    def overlap(pred: pd.Series, ref: pd.Series) -> pd.Series:
-        plain = lambda x: x if isinstance(x, str) else list(x)
-        return pd.Series([numbers(plain(p), plain(r)) for p, r in zip(pred, ref, strict=True)])
+    @F.arrow_udf("array<bigint>")
+    def overlap(pred: pa.Array, ref: pa.Array) -> pa.Array:
+        counted = [_overlaps(pred.slice(at, SLICE_ROWS), ref.slice(at, SLICE_ROWS), order) for at in range(0, len(pred), SLICE_ROWS)]
+        flat = np.concatenate([np.empty((0, 3 * order), dtype="int64"), *counted]).ravel()
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(pred) + 1, dtype="int32") * (3 * order)), pa.array(flat))
 
     return overlap
 
