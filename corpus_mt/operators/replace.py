@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -12,6 +12,9 @@ from corpus_mt.functions.text import MISSING
 from corpus_mt.operators.layout import reroot_path
 from corpus_mt.operators.sentences import explode_sentences, open_list
 
+# Documents of a batch that are Python objects at one time.
+SLICE_ROWS = 64
+
 
 def _replace_by_automaton(text: str, keys: list, values: list) -> str:
     """Time linear in the text: at each place the earliest listed key that starts there wins."""
@@ -33,11 +36,13 @@ def _replace_by_automaton(text: str, keys: list, values: list) -> str:
     return "".join([*out, text[done:]])
 
 
-@F.pandas_udf(StringType())
-def _replace_arrow(text: pd.Series, keys: pd.Series, values: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if t is None else _replace_by_automaton(t, list(k), list(v)) for t, k, v in zip(text, keys, values)], dtype=object
-    )
+@F.arrow_udf(StringType())
+def _replace_arrow(text: pa.Array, keys: pa.Array, values: pa.Array) -> pa.Array:
+    done = []
+    for at in range(0, len(text), SLICE_ROWS):
+        rows = zip(*(column.slice(at, SLICE_ROWS).to_pylist() for column in (text, keys, values)), strict=True)
+        done.append(pa.array([None if t is None else _replace_by_automaton(t, k, v) for t, k, v in rows], pa.string()))
+    return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
 
 def replace_substrings(text: Column, keys: Column, values: Column) -> Column:

@@ -1,11 +1,21 @@
 """What a batch, a shuffle or a plan may hold at most."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import pyarrow as pa
 
 from corpus_mt.operators import evaluate as ev
+from corpus_mt.operators import replace as rp
+
+
+def _peak_mb(run) -> float:
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak
 
 
 def test_ngrams_of_a_slice_are_those_of_its_rows():
@@ -20,3 +30,12 @@ def test_ngrams_of_a_slice_are_those_of_its_rows():
                 x, y = (Counter(t[i : i + n] for i in range(len(t) - n + 1)) for t in (a, b))
                 assert got[3 * n - 3 : 3 * n] == [(x & y).total(), x.total(), y.total()]
     assert ev._overlaps(pa.array([], pa.string()), pa.array([], pa.string()), 2).shape == (0, 6)
+
+
+def test_replacing_holds_few_documents_as_objects():
+    keys = [[f"{i} {k} {'x' * 60}" for k in range(20)] for i in range(3000)]
+    text, kept, values = pa.array([". ".join(k) for k in keys]), pa.array(keys), pa.array([[v[::-1] for v in k] for k in keys])
+    done = []
+    assert _peak_mb(lambda: done.append(rp._replace_arrow.func(text, kept, values))) < 3
+    assert done[0].to_pylist() == [". ".join(v[::-1] for v in k) for k in keys]
+    assert rp._replace_arrow.func(pa.array([None], pa.string()), pa.array([None], kept.type), pa.array([None], kept.type)).to_pylist() == [None]
