@@ -32,6 +32,8 @@ SPECIAL_TOKENS = (BOS, PAD, EOS)
 # A vocabulary up to this many entries and bytes is sent to every executor.
 BROADCAST_ENTRIES = 1_000_000
 BROADCAST_BYTES = 64 << 20
+# Elements of a batch that are Python objects at one time.
+SLICE_ELEMENTS = 1 << 14
 
 
 def word_pieces(text: Column) -> Column:
@@ -177,7 +179,10 @@ def _offsets(lists: pa.Array) -> pa.Array:
 def _places(name: str, keys: pa.Array, wanted: pa.Array) -> pa.Array:
     """Where each wanted value stands among the keys, null if nowhere; the hash is built once per worker."""
     index = worker_state(f"lookup-{keys.type}", lambda: pd.Index(keys.to_numpy(zero_copy_only=False)), name)
-    at = index.get_indexer(wanted.to_numpy(zero_copy_only=False))
+    at = np.empty(len(wanted), dtype="int64")
+    for start in range(0, len(wanted), SLICE_ELEMENTS):
+        part = wanted.slice(start, SLICE_ELEMENTS)
+        at[start : start + len(part)] = index.get_indexer(part.to_numpy(zero_copy_only=False))
     return pa.array(at, mask=at < 0)
 
 

@@ -8,6 +8,7 @@ import pyarrow as pa
 
 from corpus_mt.operators import evaluate as ev
 from corpus_mt.operators import replace as rp
+from corpus_mt.operators import tokens as tk
 
 
 def _peak_mb(run) -> float:
@@ -39,3 +40,11 @@ def test_replacing_holds_few_documents_as_objects():
     assert _peak_mb(lambda: done.append(rp._replace_arrow.func(text, kept, values))) < 3
     assert done[0].to_pylist() == [". ".join(v[::-1] for v in k) for k in keys]
     assert rp._replace_arrow.func(pa.array([None], pa.string()), pa.array([None], kept.type), pa.array([None], kept.type)).to_pylist() == [None]
+
+
+def test_lookups_hold_few_tokens_as_objects():
+    keys, wanted = pa.array(["a", "b"]), pa.array([f"word {i} {'x' * 60}" for i in range(200_000)] + ["b"])
+    found = []
+    assert _peak_mb(lambda: found.append(tk._places("bounds", keys, wanted))) < 12
+    assert found[0].null_count == 200_000 and found[0][-1].as_py() == 1
+    assert len(tk._places("bounds", keys, wanted.slice(0, 0))) == 0
