@@ -34,6 +34,8 @@ BROADCAST_ENTRIES = 1_000_000
 BROADCAST_BYTES = 64 << 20
 # Elements of a batch that are Python objects at one time.
 SLICE_ELEMENTS = 1 << 14
+# Ids are 32-bit integers, of either sign.
+ID_SPAN = 1 << 32
 
 
 def word_pieces(text: Column) -> Column:
@@ -212,9 +214,12 @@ def _map_list(df: DataFrame, col: str, out: str, vocab: Vocabulary, src: bool, t
     rows = stage_table(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     left = open_list(rows, ["_row"], col, "_pos", "_key")
     found = spread_join(left, vocab.lookup_table(src, to_ids), "_key").select("_row", "_pos", F.coalesce("_value", F.lit(default)).alias("_value"))
-    lists = found.groupBy("_row").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("_pos", "_value"))), lambda s: s["_value"]).alias("_list")
-    )
+    if to_ids:
+        # Place and id share a number, a quarter of what a struct of them takes in the shuffle.
+        placed, value = F.col("_pos").cast("bigint") * ID_SPAN + (F.col("_value") + F.lit(ID_SPAN // 2)), lambda x: (F.pmod(x, F.lit(ID_SPAN)) - ID_SPAN // 2).cast("int")
+    else:
+        placed, value = F.struct("_pos", "_value"), lambda s: s["_value"]
+    lists = found.groupBy("_row").agg(F.transform(F.sort_array(F.collect_list(placed)), value).alias("_list"))
     empty = F.array().cast(ArrayType(value_type))
     joined = rows.join(lists, "_row", "left").withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce("_list", empty)))
     return joined.drop("_list", "_row")

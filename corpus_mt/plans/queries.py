@@ -384,7 +384,7 @@ def encode_ids(spark, d):
 
 def encode_ids_joined(spark, d):
     """The same ids with the vocabulary joined, as one too large to send around is."""
-    rows = _sentences(spark, d).withColumn("tokens", tk.word_pieces(F.col("sub_str")))
+    rows = _sentences(spark, d).select("doc_id", "pos", tk.word_pieces(F.col("sub_str")).alias("tokens"))  # all columns are staged
     out = tk.encode_ids(rows, _vocabulary(spark, d), max_broadcast=0)
     return out.select("doc_id", "pos", _joined("input_ids").alias("ids"))
 

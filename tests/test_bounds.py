@@ -1,6 +1,7 @@
 """What a batch, a shuffle or a plan may hold at most."""
 
 import random
+import re
 import tracemalloc
 from collections import Counter
 
@@ -9,6 +10,7 @@ import pyarrow as pa
 from corpus_mt.operators import evaluate as ev
 from corpus_mt.operators import replace as rp
 from corpus_mt.operators import tokens as tk
+from corpus_mt.plans import queries as qs
 
 
 def _peak_mb(run) -> float:
@@ -48,3 +50,30 @@ def test_lookups_hold_few_tokens_as_objects():
     assert _peak_mb(lambda: found.append(tk._places("bounds", keys, wanted))) < 12
     assert found[0].null_count == 200_000 and found[0][-1].as_py() == 1
     assert len(tk._places("bounds", keys, wanted.slice(0, 0))) == 0
+
+
+def test_joined_ids_share_a_number_with_their_place(spark):
+    """Ids of either sign come back in place, and the lists that move hold numbers and no structs."""
+    table = spark.createDataFrame([("<s>", 0), ("<pad>", 1), ("</s>", 2), ("<unk>", -(2**31)), ("a", 2**31 - 1), ("b", -1)], "token string, id int")
+    vocab = tk.Vocabulary(table, table)
+    rows = spark.createDataFrame([(1, ["b", "a", "?"]), (2, []), (3, None), (1, ["a"])], "k int, tokens array<string>")
+    found = tk.encode_ids(rows, vocab, max_broadcast=0)
+    assert sorted((r.k, r.input_ids or []) for r in found.collect()) == [(1, [-1, 2**31 - 1, -(2**31)]), (1, [2**31 - 1]), (2, []), (3, [])]
+    assert [r.input_ids for r in found.filter("k = 3").collect()] == [None]
+    assert not re.search(r"collect_list\((named_)?struct", found._jdf.queryExecution().optimizedPlan().toString())
+
+
+def _documents(spark, folder) -> str:
+    rows = [(i, f"First of {i}. Second one, a b? Third!\nfirst of {i}.") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, "first second third")], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def test_joined_encoding_stages_what_is_asked_for(spark, tmp_path, monkeypatch):
+    staged, stage = [], tk.stage_table
+    monkeypatch.setattr(tk, "stage_table", lambda df, name="stage": (staged.append(df.columns), stage(df, name))[1])
+    d = _documents(spark, tmp_path)
+    joined, sent = (sorted(map(tuple, q(spark, d).collect())) for q in (qs.encode_ids_joined, qs.encode_ids))
+    assert joined == sent and len(joined) == 60
+    assert staged == [["doc_id", "pos", "tokens", "_row"]]
