@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpus_mt.functions import languages as lang
+from corpus_mt.functions import text as tx
 from corpus_mt.operators import evaluate as ev
 from corpus_mt.operators import layout as ly
 from corpus_mt.operators import replace as rp
@@ -20,7 +21,7 @@ from corpus_mt.operators import template as tp
 from corpus_mt.plans import oracles as sql
 from corpus_mt.plans.language_queries import _marks
 from corpus_mt.plans.queries import DEVICES, _docs, _ordered_docs, _read, _scored, _shards, _translated
-from corpus_mt.session import shared_dir
+from corpus_mt.session import shared_dir, stage_table
 from corpus_mt.sources import named_files as nf
 from corpus_mt.sources import ranges as rg
 from corpus_mt.sources.readers import read_stream, read_table
@@ -131,7 +132,8 @@ def stream_replace(spark, d):
 
 def lookup_by_sid(spark, d):
     """Translations that know their substring by its id alone, in place of its position."""
-    docs = _docs(spark, d)
+    # Staged, as three sides read them; the ids are hashes of the substrings and need not be stored.
+    docs = stage_table(_docs(spark, d).select("doc_id", "text", "sub_strs"), "docs").withColumn("sids", tx.substring_ids(F.col("sub_strs")))
     rows = _translated(sn.explode_sentences(docs)).select("doc_id", "sid", "translated")
     return rp.replace_documents(docs, rows).select("doc_id", "translated")
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 from corpus_mt.operators import evaluate as ev
 from corpus_mt.operators import replace as rp
 from corpus_mt.operators import tokens as tk
+from corpus_mt.plans import file_queries as fq
 from corpus_mt.plans import queries as qs
 
 
@@ -77,3 +78,10 @@ def test_joined_encoding_stages_what_is_asked_for(spark, tmp_path, monkeypatch):
     joined, sent = (sorted(map(tuple, q(spark, d).collect())) for q in (qs.encode_ids_joined, qs.encode_ids))
     assert joined == sent and len(joined) == 60
     assert staged == [["doc_id", "pos", "tokens", "_row"]]
+
+
+def test_documents_are_templated_once(spark, tmp_path):
+    d = _documents(spark, tmp_path)
+    found = fq.lookup_by_sid(spark, d)
+    assert not any("documents.parquet" in f for f in found.inputFiles())
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, qs.replace_documents(spark, d).collect()))
