@@ -142,14 +142,16 @@ def _overlaps(pred: pa.Array, ref: pa.Array, order: int) -> np.ndarray:
     An n-gram is the number of its first n - 1 items next to its last item, and these pairs are numbered anew for every
     n; the numbers of the empty n-gram are the rows, so n-grams of different rows never meet.
     """
-    rows, both = len(pred), pa.concat_arrays([pred, ref])
-    if pa.types.is_string(both.type):
-        texts = both.to_pylist()
+    rows = len(pred)
+    if pa.types.is_string(pred.type):
+        texts = pred.to_pylist() + ref.to_pylist()
         sizes = np.array([len(t) for t in texts], dtype="int64")
         items = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype("int64")
     else:
-        sizes = both.value_lengths().to_numpy(zero_copy_only=False).astype("int64")
-        items = both.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype("int64")
+        # The lists themselves may differ in type, as those of a constant hold no nulls.
+        sizes = np.concatenate([side.value_lengths().to_numpy(zero_copy_only=False) for side in (pred, ref)]).astype("int64")
+        words = pa.concat_arrays([pred.flatten(), ref.flatten()])
+        items = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype("int64")
     out = np.zeros((rows, 3 * order), dtype="int64")
     text = np.repeat(np.arange(2 * rows), sizes)
     ahead = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(items))  # items up to the end of the text

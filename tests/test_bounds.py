@@ -34,6 +34,8 @@ def test_ngrams_of_a_slice_are_those_of_its_rows():
                 x, y = (Counter(t[i : i + n] for i in range(len(t) - n + 1)) for t in (a, b))
                 assert got[3 * n - 3 : 3 * n] == [(x & y).total(), x.total(), y.total()]
     assert ev._overlaps(pa.array([], pa.string()), pa.array([], pa.string()), 2).shape == (0, 6)
+    without_nulls = pa.list_(pa.field("element", pa.string(), nullable=False))
+    assert ev._overlaps(pa.array([["a"]], without_nulls), pa.array([["a", "b"]], pa.list_(pa.string())), 1).tolist() == [[1, 1, 2]]
 
 
 def test_replacing_holds_few_documents_as_objects():
