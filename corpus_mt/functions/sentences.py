@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -147,6 +149,22 @@ def replace_all(col: Column, pairs: tuple[tuple[str, str], ...]) -> Column:
     return col
 
 
+# Characters below U+0100 are listed one by one: such a class is one table, while every range in it is tested in turn.
+_LATIN_LETTERS = "".join(c for c in map(chr, range(0x100)) if c.isalpha() and c not in "ªµº")
+# Latin letters, single spaces, commas, hyphens, single apostrophes and a dot at the end: most sentences are no more.
+_PLAIN = rf"\A[{_LATIN_LETTERS}\x{{100}}-\x{{24F}} ,'\-]*\.?\z"
+
+
+def _is_plain(text: Column) -> Column:
+    """True for text that no rule for punctuation, digits or entities changes."""
+    return text.rlike(_PLAIN) & ~text.contains("  ") & ~text.contains("''")
+
+
+def _if_any(text: Column, marks: tuple[str, ...], change: Callable[[Column], Column]) -> Column:
+    """``change``, for text that holds one of the marks; without them it is known to change nothing."""
+    return F.when(reduce(or_, [text.contains(m) for m in marks]), change(text)).otherwise(text)
+
+
 # Text without any of these is not changed by the punctuation rules.
 _PUNCTUATION_TRIGGER = r"[\r():;`%\"\x{A0}\x{AB}\x{B4}\x{BB}\x{2010}-\x{203F}]|''|  "
 
@@ -166,7 +184,10 @@ def normalize_punctuation(col: Column) -> Column:
 def normalize_numerals(col: Column) -> Column:
     """Native digits to ASCII digits."""
     pairs = [(chr(zero + i), str(i)) for zero, lo, hi in DIGIT_BLOCKS for i in range(lo, hi)]
-    return F.translate(col, "".join(a for a, _ in pairs), "".join(b for _, b in pairs))
+    native = "".join(a for a, _ in pairs)
+    ascii_digits = lambda t: F.translate(t, native, "".join(b for _, b in pairs))
+    # Only text with characters beyond ASCII can hold any.
+    return _bind(col, lambda t: F.when((F.octet_length(t) != F.char_length(t)) & t.rlike(f"[{min(native)}-{max(native)}]"), ascii_digits(t)).otherwise(t))
 
 
 def email_spans(col: Column) -> Column:
@@ -211,6 +232,9 @@ def _drop_chars(col: Column, chars: str) -> Column:
     return F.translate(col, chars, "")
 
 
+# Text of characters among which the space is the only white space.
+_NO_ODD_SPACE = "\\A[" + "".join(rf"\x{{{i:X}}}" for i in range(0x20, 0x100) if i not in (0x85, 0xA0)) + r"\x{100}-\x{167F}]*\z"
+
 # A URL has a dot that is followed by one of these.
 _URL_TRIGGER = r"\.[\w/\-?#&=%\x{80}-\x{10FFFF}]"
 
@@ -257,8 +281,10 @@ def wrap_entities(col: Column) -> Column:
         return F.when(text.rlike(rf"[\p{{Nd}}#|@]|{_URL_TRIGGER}"), state).otherwise(bare)
 
     def tidy(s: Column) -> Column:
-        text = F.regexp_replace(s["text"], r"(?U)[\s\x1c-\x1f]+", " ")
-        text = replace_all(text, ((">/", ">"), ("]/", "]")))
+        spaced = F.when(
+            s["text"].contains("  ") | ~s["text"].rlike(_NO_ODD_SPACE), F.regexp_replace(s["text"], r"(?U)[\s\x1c-\x1f]+", " ")
+        ).otherwise(s["text"])
+        text = replace_all(spaced, ((">/", ">"), ("]/", "]")))
         return F.struct(text.alias("text"), s["entities"].alias("entities"))
 
     return _bind(_bind(col, hide), tidy)
@@ -322,7 +348,15 @@ def add_language_tags(col: Column, src_lang: Column | str, tgt_lang: Column | st
 
 
 def _collapse(col: Column) -> Column:
-    return strip(F.regexp_replace(col, " {2,}", " "))
+    return strip(_bind(col, lambda t: _if_any(t, ("  ",), lambda x: F.regexp_replace(x, " {2,}", " "))))
+
+
+def _close(col: Column, before: str = "", after: str = "") -> Column:
+    """Without the space in front of every mark of ``before`` and behind every mark of ``after``.
+
+    A mark and its space overlap with no other mark's, so one after the other is the same as all at once.
+    """
+    return replace_all(col, (*((f" {m}", m) for m in before), *((f"{m} ", m) for m in after)))
 
 
 def tokenize_english(col: Column) -> Column:
@@ -334,19 +368,24 @@ def tokenize_english(col: Column) -> Column:
     def apostrophes(t: Column) -> Column:
         return F.regexp_replace(t, r"([\p{L}])'([\p{L}])", "$1 '$2")
 
-    only_if = lambda mark, change: lambda t: F.when(t.contains(mark), change(t)).otherwise(t)
-    col = F.regexp_replace(col, r"([^\p{L}\p{N}\s.'`,\-])", " $1 ")
-    col = _bind(_bind(col, only_if(",", commas)), only_if("'", apostrophes))
-    final_dot = lambda t: F.when(t.rlike(r"[^.]\.\z"), F.concat(F.regexp_replace(t, r"\.\z", ""), F.lit(" ."))).otherwise(t)
+    def apart(t: Column) -> Column:
+        symbols = F.regexp_replace(t, r"([^\p{L}\p{N}\s.'`,\-])", " $1 ")
+        # Plain text has no symbols, and no digits that keep a comma; a comma alone is left in any case.
+        alone = replace_all(t, ((",", " , "), ("  ", " ")))
+        return F.when(_is_plain(t), alone).otherwise(_bind(symbols, lambda x: _if_any(x, (",",), commas)))
+
+    col = _bind(_bind(col, apart), lambda t: _if_any(t, ("'",), apostrophes))
+    size = F.char_length
+    ends = lambda t: t.endswith(".") & ~t.endswith("..") & (size(t) > 1)
+    final_dot = lambda t: F.when(ends(t), F.concat(F.substring(t, F.lit(1), size(t) - 1), F.lit(" ."))).otherwise(t)
     return _collapse(_bind(col, final_dot))
 
 
 def detokenize_english(col: Column) -> Column:
     """Close the spaces that tokenising opened."""
-    col = F.regexp_replace(col, r" ([,.!?;:%)\]}])", "$1")
-    col = F.regexp_replace(col, r"([(\[{]) ", "$1")
-    col = F.regexp_replace(col, r"([\p{L}]) '([\p{L}])", "$1'$2")
-    col = F.regexp_replace(col, r'" ([^"]*) "', '"$1"')
+    col = _close(col, before=",.!?;:%)]}", after="([{")
+    col = _bind(col, lambda t: _if_any(t, (" '",), lambda x: F.regexp_replace(x, r"([\p{L}]) '([\p{L}])", "$1'$2")))
+    col = _bind(col, lambda t: _if_any(t, ('" ',), lambda x: F.regexp_replace(x, r'" ([^"]*) "', '"$1"')))
     return _collapse(col)
 
 
@@ -359,10 +398,9 @@ def tokenize_indic(col: Column) -> Column:
 
 def detokenize_indic(col: Column) -> Column:
     """Close spaces before closing marks, after opening marks and around joiners."""
-    col = F.regexp_replace(col, r" ([!%)\],.:;>?}।॥])", "$1")
-    col = F.regexp_replace(col, r"([#$(\[{<@]) ", "$1")
-    col = F.regexp_replace(col, r" ?([\-/\\]) ?", "$1")
-    col = F.regexp_replace(col, r'" ([^"]*) "', '"$1"')
+    col = _close(_close(col, before="!%),.:;>?]}।॥"), after="#$([{<@")
+    col = _bind(col, lambda t: _if_any(t, ("-", "/", "\\"), lambda x: F.regexp_replace(x, r" ?([\-/\\]) ?", "$1")))
+    col = _bind(col, lambda t: _if_any(t, ('" ',), lambda x: F.regexp_replace(x, r'" ([^"]*) "', '"$1"')))
     return _collapse(col)
 
 
@@ -400,7 +438,11 @@ def preprocess_sentence(col: Column, src_lang: str | Column, placeholders: bool
 
         return F.struct(lang.by_language(src_lang, make, alike).alias("text"), s["entities"].alias("entities"))
 
-    return _bind(normalize_sentence(normalize_punctuation(col), placeholders), finish)
+    def normal(t: Column) -> Column:
+        bare = F.struct(F.trim(t).alias("text"), F.array().cast(ENTITY_TYPE).alias("entities"))
+        return F.when(_is_plain(t), bare).otherwise(normalize_sentence(normalize_punctuation(t), placeholders))
+
+    return _bind(_bind(col, normal), finish)
 
 
 def repair_output(col: Column, tgt_lang: str) -> Column:

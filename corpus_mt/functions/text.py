@@ -34,12 +34,18 @@ MISSING = "None"
 # A zero-width cut right after each delimiter: a dot with no digit on either side, or a
 # hard stop or newline together with the newlines that follow it.  The leading
 # look-behind keeps ordinary characters on the one-test path.
-_CUT_AFTER_DELIMITER = (
-    rf"(?<=[.{HARD_STOPS}\n])(?:"
-    rf"(?<=(?<!\p{{Nd}})\.)(?!\p{{Nd}})"
-    rf"|(?<=[{HARD_STOPS}])(?!\n)"
-    rf"|(?<=\n)(?!\n))"
-)
+def _cut_after(stops: str) -> str:
+    return (
+        rf"(?<=[.{stops}\n])(?:"
+        rf"(?<=(?<!\p{{Nd}})\.)(?!\p{{Nd}})"
+        rf"|(?<=[{stops}])(?!\n)"
+        rf"|(?<=\n)(?!\n))"
+    )
+
+
+# Most texts hold no stop beyond ASCII; a class without them is looked up at once, each of them would be tested at every character.
+_ASCII_STOPS = "".join(c for c in HARD_STOPS if c.isascii())
+_MAY_STOP_BEYOND_ASCII = f"[{min(set(HARD_STOPS) - set(_ASCII_STOPS))}-\U0010ffff]"
 
 
 def strip(col: Column, chars: str = WHITE_SPACE) -> Column:
@@ -74,7 +80,8 @@ def clean_substring(col: Column) -> Column:
 
 def split_keeping_delimiters(text: Column) -> Column:
     """Pieces of the text, each with the delimiter that ended it; joined they give the text."""
-    return F.split(text, _CUT_AFTER_DELIMITER)
+    every, ascii_only = F.split(text, _cut_after(HARD_STOPS)), F.split(text, _cut_after(_ASCII_STOPS))
+    return F.when(text.rlike(_MAY_STOP_BEYOND_ASCII), every).otherwise(ascii_only)
 
 
 def sentence_substrings(text: Column) -> Column:
