@@ -44,6 +44,15 @@ def word_pieces(text: Column) -> Column:
     return F.transform(words, lambda w: F.concat(F.lit(WORD_START), w))
 
 
+def _tagged_pieces(line: Column) -> Column:
+    """The two tags and the ``word_pieces`` of a line: every further word gets its mark along with the space in front of it."""
+    tags, text = split_tags(line)
+    head = F.substring_index(line, " ", 2)
+    rest = F.substring(line, F.char_length(head) + 1, F.char_length(line))
+    marked = F.split(F.concat(head, F.replace(rest, F.lit(" "), F.lit(f" {WORD_START}"))), " ")
+    return F.when(rest.contains("  ") | rest.endswith(" "), F.concat(tags, word_pieces(text))).otherwise(marked)
+
+
 def subword_pieces(model_file: str) -> Callable[[Column], Column]:
     """Pieces from a SentencePiece model file, loaded once per task."""
     loaded: dict = {}
@@ -70,6 +79,8 @@ def tokenize(line: Column, src: bool = True, pieces: Callable[[Column], Column]
     """Tokens of a line; a source line keeps its two language tags whole."""
     if not src:
         return pieces(line)
+    if pieces is word_pieces:
+        return _tagged_pieces(line)
     tags, text = split_tags(line)
     return F.concat(tags, pieces(text))
 

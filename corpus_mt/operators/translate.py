@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType
 
 from corpus_mt.operators.skew import spread_join
 from corpus_mt.session import stage_table
@@ -32,6 +32,8 @@ def _pad_left(lists: pa.ListArray, fill: int) -> np.ndarray:
     """Rows of a list array as one matrix, filled up on the left."""
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
     width = int(sizes.max(initial=0))
+    if (sizes == width).all():
+        return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), width).copy()
     out = np.full((len(lists), width), fill, dtype="int32")
     out[np.arange(width) >= width - sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
     return out
@@ -48,25 +50,24 @@ def translate_ids(
 
     ``make_translator`` runs once per task (a model is loaded there) and its result is
     called with batches of at most ``batch_rows`` rows, each padded to its own longest row.
-    Rows stay where they are: no shuffle, and no column but the ids leaves Arrow form.
+    Rows stay where they are: no shuffle, and only ids and masks go to Python.
     """
-    kept = [f for f in df.schema.fields if keep_mask or f.name != "attention_mask"]
-    names = [f.name for f in kept]
-    schema = StructType([*kept, StructField("translated_input_ids", ArrayType(IntegerType()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(ArrayType(IntegerType()))
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         translator = None
-        for batch in batches:
+        for ids, masks in batches:
             translator = translator or make_translator()
-            outputs: list[Sequence[int]] = []
-            for at in range(0, batch.num_rows, batch_rows):
-                part = batch.slice(at, batch_rows)
-                ids = _pad_left(part["input_ids"], pad_id)
-                outputs += translator(ids, _pad_left(part["attention_mask"], 0))
-            made = pa.array([np.asarray(o, dtype="int32") for o in outputs], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), made], names=[*names, "translated_input_ids"])
-
-    return df.mapInArrow(run, schema)
+            outputs: list[np.ndarray] = []
+            for at in range(0, len(ids), batch_rows):
+                part = _pad_left(ids.slice(at, batch_rows), pad_id), _pad_left(masks.slice(at, batch_rows), 0)
+                outputs += (np.asarray(o, dtype="int32") for o in translator(*part))
+            ends = np.cumsum([0, *map(len, outputs)]).astype("int32")
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, "int32"), *outputs])))
+
+    # Not deterministic as far as Spark is concerned: a model is run once for every row, wherever its output is used.
+    done = df.withColumn("translated_input_ids", run.asNondeterministic()("input_ids", "attention_mask"))
+    return done if keep_mask else done.drop("attention_mask")
 
 
 def model_output(df: DataFrame, entities: str = "entities") -> DataFrame:

@@ -448,7 +448,10 @@ def reverse_words():
 
     def run(ids, masks):
         # A row holds padding, two tags, words and an end of sentence.
-        return [np.append(row[mask == 1][-2:1:-1], eos) for row, mask in zip(ids, masks)]
+        words = np.maximum((masks == 1).sum(1) - 3, 0)
+        out = np.roll(ids[:, ::-1], -1, axis=1)
+        out[np.arange(len(ids)), words] = eos
+        return [row[: n + 1] for row, n in zip(out, words.tolist())]
 
     return run
 

@@ -312,3 +312,31 @@ def test_model_output_columns(spark):
     row = tr.model_output(df).first()
     assert tuple(row.asDict()) == tr.MODEL_OUTPUT_COLUMNS
     assert json.loads(row.placeholder_entity_map)["<ID1>"] == "e"
+
+
+def test_only_ids_and_masks_go_to_the_translator(spark):
+    """Texts beside the ids stay where they are, and rows without ids in between do no harm."""
+    rows = [(i, "x" * 50, [1] * (4 - i % 4) + list(range(5, 5 + i % 4)), [0] * (4 - i % 4) + [1] * (i % 4)) for i in range(10)]
+    df = spark.createDataFrame(rows, "k int, text string, input_ids array<int>, attention_mask array<int>").coalesce(1)
+
+    def make():
+        def run(ids, masks):
+            ids[:] += 1  # a translator may write into what it is given
+            return [row[m == 1].tolist() for row, m in zip(ids, masks)]
+
+        return run
+
+    out = tr.translate_ids(df, make, batch_rows=3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    assert out.columns == ["k", "text", "input_ids", "translated_input_ids"]
+    got = {r.k: (list(r.input_ids), list(r.translated_input_ids)) for r in out.collect()}
+    assert got == {k: (ids, [x + 1 for x, m in zip(ids, mask) if m]) for k, _, ids, mask in rows}
+
+
+def test_tagged_words_with_odd_spaces(spark):
+    lines = ["a b c d", "a b", "a", "", "a b  c", "a b c ", "a b ", "  c d", "a  c d"]
+    tags = [(x.split(" ")[:2], x.split(" ")[2:]) for x in lines]
+    want = [t + [tk.WORD_START + w for w in rest if w] for t, rest in tags]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, t string").orderBy("i")
+    assert [list(r[0]) for r in df.select(tk.tokenize(F.col("t"))).collect()] == want
