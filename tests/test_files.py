@@ -160,3 +160,26 @@ def test_a_range_opens_only_its_row_groups(spark, tmp_path, monkeypatch):
     damaged[start : start + meta.total_byte_size // 2] = b"\xff" * (meta.total_byte_size // 2)
     (tmp_path / "c" / "d.parquet").write_bytes(bytes(damaged))
     assert rg.read_range(spark, str(tmp_path), "x[150:200]").count() == 50
+
+
+def test_named_files_are_read_many_to_a_task(spark, tmp_path):
+    bodies = {f"c{k % 7}/{'deep/' * (k % 2)}t {k}+%.txt": f"é{k}\r\n".encode() * (k % 5) for k in range(400)}
+    bodies |= {"top": b"x", "c1/bad": b"\xff\xfe", "_hidden/f": b"x", "c1/.h": b"x", "c1/_k=1": b"y", "c1/a.txt.b": b"z"}
+    for name, body in bodies.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(body)
+    for base in (str(tmp_path), f"file://{tmp_path}/"):
+        for pattern in ("*", "*.txt", "t ?+%.txt"):
+            got = nf.read_named(spark, base, pattern)
+            want = spark.read.text(str(tmp_path), wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
+            plain = lambda df, name: sorted((n, bytes(b)) for n, b in df.select(name, F.col(df.columns[-1]).cast("binary")).collect())
+            place = want.select(F.substring_index(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), f"{tmp_path}/", -1).alias("file"), "value")
+            assert plain(got, "file") == plain(place, "file") and got.columns == ["file", "body"]
+    # Spark's reader takes at most 32 files of any size to a task.
+    many = tmp_path / "many"
+    many.mkdir()
+    for k in range(2_000):
+        (many / f"f{k}").write_text(str(k))
+    assert nf.read_named(spark, str(many)).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    (tmp_path / "none").mkdir()
+    assert nf.read_named(spark, f"{tmp_path}/none").count() == 0
