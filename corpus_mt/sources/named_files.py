@@ -50,7 +50,7 @@ def check_name(name: str) -> str:
 
 @dataclass
 class Written(WriterCommitMessage):
-    """What one accepted attempt wrote: its folder, and the files in it."""
+    """What one accepted attempt wrote: its folder, and the names of the files in it, which lie there by their numbers."""
 
     folder: str
     names: list[str]
@@ -92,6 +92,7 @@ class NamedFilesWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, base = open_store(self._pending())
         base = f"{base}/{uuid.uuid4().hex}"
+        store.create_dir(base, recursive=True)
         names: list[str] = []
         last, file = None, None
         try:
@@ -107,8 +108,8 @@ class NamedFilesWriter(DataSourceArrowWriter):
                         if file:
                             file.close()
                         last = runs[at]
-                        path = f"{base}/{check_name(last)}"
-                        store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                        check_name(last)
+                        path = f"{base}/{len(names)}"
                         file = _TextFile(store, path, self.separator.encode()) if self.kind == "text" else _ParquetFile(store, path, body.schema)
                         names.append(last)
                     file.write(body.slice(at, stop - at))
@@ -127,10 +128,9 @@ class NamedFilesWriter(DataSourceArrowWriter):
             for old in store.get_file_info(pafs.FileSelector(target, allow_not_found=True)):
                 if not old.base_name.startswith("_pending-"):
                     (store.delete_dir if old.type == pafs.FileType.Directory else store.delete_file)(old.path)
-        moves = [(f"{m.folder}/{name}", f"{target.rstrip('/')}/{name}") for m in done for name in m.names]
-        for folder in {to.rsplit("/", 1)[0] for _, to in moves}:
-            store.create_dir(folder, recursive=True)
+        moves = [(f"{m.folder}/{k}", f"{target.rstrip('/')}/{name}") for m in done for k, name in enumerate(m.names)]
         with ThreadPoolExecutor(COMMIT_THREADS) as pool:
+            list(pool.map(store.create_dir, {to.rsplit("/", 1)[0] for _, to in moves}))
             list(pool.map(lambda move: store.move(*move), moves))
         self.abort(messages)
 

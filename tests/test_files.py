@@ -183,3 +183,15 @@ def test_named_files_are_read_many_to_a_task(spark, tmp_path):
     assert nf.read_named(spark, str(many)).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
     (tmp_path / "none").mkdir()
     assert nf.read_named(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_an_attempt_makes_no_folder_for_each_of_its_files(tmp_path):
+    writer = nf.NamedFilesWriter(str(tmp_path), "text", "", False, "job")
+    wanted = {f"c{k // 3}/t{k}": f"x{k}".encode() for k in range(30)}
+    halves = [dict(list(wanted.items())[i::2]) for i in (0, 1)]
+    done = [writer.write(iter([pa.RecordBatch.from_arrays([pa.array(list(h)), pa.array([b.decode() for b in h.values()])], ["file", "body"])])) for h in halves]
+    lost = writer.write(iter([pa.RecordBatch.from_arrays([pa.array(["c0/t0"]), pa.array(["lost"])], ["file", "body"])]))
+    assert [p for p in (tmp_path / "_pending-job").glob("*/*") if p.is_dir()] == []
+    assert lost.names == ["c0/t0"]
+    writer.commit([*done, None])
+    assert tree(tmp_path) == wanted and not (tmp_path / "_pending-job").exists()
