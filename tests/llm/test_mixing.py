@@ -1,6 +1,7 @@
 """Source mixing: every prefix of the mix is less than a block from its target."""
 
 from collections import Counter
+from fractions import Fraction
 
 from hypothesis import given, settings
 from hypothesis import strategies as hs
@@ -115,3 +116,61 @@ def test_pooled_sources_follow_their_own_weights(spark, monkeypatch):
         for x in ("a", "b", "c", None):
             target = k * weights[x] / 10
             assert target - 1 - 1e-9 <= seen[x] <= target + weights[x] / 2.5 + 1
+
+
+def _fluid(classes, t):
+    """Blocks that a source of each class has done by the time t, if all go on at once by their weights."""
+    did, now = [Fraction(0)] * len(classes), Fraction(0)
+    while now < t and (left := [i for i, (_, _, n, _) in enumerate(classes) if did[i] < n]):
+        total = sum(classes[i][1] * classes[i][3] for i in left)
+        step = min([t - now, *((classes[i][2] - did[i]) * total / classes[i][3] for i in left)])
+        for i in left:
+            did[i] += step * classes[i][3] / total
+        now += step
+    return did
+
+
+@settings(max_examples=150, deadline=None)
+@given(hs.lists(hs.tuples(hs.integers(1, 4), hs.integers(1, 9), hs.integers(1, 30)), min_size=1, max_size=6, unique_by=lambda x: x[1:]))
+def test_any_number_of_sources_stay_near_their_fluid_shares(found):
+    classes, first = [], 0
+    for m, n, w in found:
+        classes.append((first, m, n, w))
+        first += m
+    at, total = {}, sum(m * n for _, m, n, _ in classes)
+    for rank, j, _, release, due, slot, length in mixing.fair_slots(classes):
+        assert release <= slot and slot + length <= due
+        for k in range(length):
+            assert slot + k not in at
+            at[slot + k] = (rank + k, j)
+    assert sorted(at) == list(range(total))
+    seen = Counter()
+    for t in range(total):
+        rank, j = at[t]
+        assert j == seen[rank]  # in order
+        seen[rank] += 1
+        for (first, m, _, _), want in zip(classes, _fluid(classes, t + 1), strict=True):
+            assert all(abs(seen[first + i] - want) < 1 for i in range(m))
+
+
+def test_small_sources_of_many_have_their_own_releases_and_deadlines(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SOURCES", 3)
+    monkeypatch.setattr(mixing, "RUNS", 7)
+    size = {"big": 64, "a": 36, "b": 16, "c": 16, "d": 4, None: 4}
+    names = [s for s, n in size.items() for _ in range(n)]
+    rows = spark.createDataFrame([(i, s, "x") for i, s in enumerate(names)], "doc_id long, source string, n string").repartition(5)
+    got = mixing.schedule(rows, 0.5, block_docs=2).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(names))) and len({(r.slot, r.place) for r in got}) == len(got)
+    classes = [(0, 1, n // 2, round(n**0.5)) for n in size.values()]
+    total = sum(n for _, _, n, _ in classes)
+    times = [_fluid(classes, t) for t in range(total + 1)]
+    blocks = {(r.source, r.block): r for r in got}
+    assert len(blocks) == total and sorted(r.slot for r in blocks.values()) == list(range(total))
+    for (source, j), r in blocks.items():
+        i = list(size).index(source)
+        assert r.release <= r.slot < r.deadline
+        assert times[r.release][i] <= j < times[r.release + 1][i]
+        assert times[r.deadline - 1][i] < j + 1 <= times[r.deadline][i]
+    weightless = mixing.schedule(rows, {"big": 1.0, "a": 2.0, "none": 1.0}, block_docs=2).collect()
+    assert max(r.slot for r in weightless if r.source in ("big", "a")) < min(r.slot for r in weightless if r.source not in ("big", "a"))
+    assert all(r.release <= r.slot < r.deadline for r in weightless) and len({r.slot for r in weightless}) == total
