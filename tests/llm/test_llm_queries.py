@@ -1,11 +1,13 @@
 """The registered queries over whole tables, and the pipeline's stages in turn."""
 
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from corpus_mt.llm import mixing
 from corpus_mt.llm.queries import ORACLES, QUERIES
 from tests.oracle import connect, spark_rows, sql_rows
 
@@ -76,3 +78,15 @@ def test_packed_sequences_follow_the_mix(spark, monkeypatch):
         seen += r.source == "hot"
         assert abs(seen - n * sizes["hot"] ** 0.5 / total) <= (4 + 1) * 32
     assert corpus_pipeline.packed(spark, docs.limit(0), FOLDER).count() == 0
+
+
+def test_the_pipeline_mixes_every_one_of_many_sources_by_its_weight(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SOURCES", 2)
+    monkeypatch.setattr(corpus_pipeline, "MIX_POWER", 1.0)
+    docs = spark.createDataFrame([(k, "aaaaaabbcd"[k % 10], f"t{k}") for k in range(3200)], "doc_id long, source string, text string")
+    mixed = corpus_pipeline.source_mix(spark, docs, FOLDER).collect()
+    assert sorted(map(tuple, mixed)) == sorted(map(tuple, docs.collect()))
+    blocks, seen = [r.source for r in mixed][::mixing.BLOCK_DOCS], Counter()
+    for k, source in enumerate(blocks, 1):
+        seen[source] += 1
+        assert all(abs(seen[s] - k * w / 10) < 1 for s, w in (("a", 6), ("b", 2), ("c", 1), ("d", 1)))

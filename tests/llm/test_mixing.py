@@ -174,3 +174,13 @@ def test_small_sources_of_many_have_their_own_releases_and_deadlines(spark, monk
     weightless = mixing.schedule(rows, {"big": 1.0, "a": 2.0, "none": 1.0}, block_docs=2).collect()
     assert max(r.slot for r in weightless if r.source in ("big", "a")) < min(r.slot for r in weightless if r.source not in ("big", "a"))
     assert all(r.release <= r.slot < r.deadline for r in weightless) and len({r.slot for r in weightless}) == total
+
+
+def test_mix_follows_the_weights_of_all_of_many_sources(spark, monkeypatch):
+    """Sources beyond the planned ones are in the mix at every point as their weights ask, in ``mix`` as well."""
+    monkeypatch.setattr(mixing, "SOURCES", 2)
+    df = spark.createDataFrame([(i, "aaaaaabbcd"[i % 10]) for i in range(2000)], "doc_id long, source string")
+    order = [r.source for r in mixing.mix(df, 1.0, block_docs=1).collect()]
+    for k in range(1, len(order) + 1):
+        seen = Counter(order[:k])
+        assert all(abs(seen[s] - k * w / 10) < 1 for s, w in (("a", 6), ("b", 2), ("c", 1), ("d", 1)))
