@@ -80,8 +80,8 @@ def clean_substring(col: Column) -> Column:
 
 def split_keeping_delimiters(text: Column) -> Column:
     """Pieces of the text, each with the delimiter that ended it; joined they give the text."""
-    every, ascii_only = F.split(text, _cut_after(HARD_STOPS)), F.split(text, _cut_after(_ASCII_STOPS))
-    return F.when(text.rlike(_MAY_STOP_BEYOND_ASCII), every).otherwise(ascii_only)
+    every, ascii_only = F.lit(_cut_after(HARD_STOPS)), F.lit(_cut_after(_ASCII_STOPS))
+    return F.split(text, F.when(text.rlike(_MAY_STOP_BEYOND_ASCII), every).otherwise(ascii_only))
 
 
 def sentence_substrings(text: Column) -> Column:
