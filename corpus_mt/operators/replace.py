@@ -97,11 +97,12 @@ def document_translations(translations: DataFrame) -> DataFrame:
     """All translations of a document in one row: ``doc_id`` and a list sorted by position.
 
     Copies of a document bring the same translations; they are merged before the shuffle,
-    so a document copied a million times is no larger than one.
+    so a document copied a million times is no larger than one.  Of several translations of one place the least counts.
     """
     known = translations.filter(F.col("translated").isNotNull())
-    once = known.groupBy("doc_id", "pos").agg(F.min("translated").alias("translated"))
-    return once.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "translated"))).alias("_found"))
+    found = known.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("pos", "translated"))).alias("_found"))
+    first = lambda f, i: (i == 0) | ~f["pos"].eqNullSafe(F.get("_found", i - 1)["pos"])
+    return found.withColumn("_found", F.filter("_found", first))
 
 
 def replace_documents(docs: DataFrame, translations: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from corpus_mt.functions.text import strip
+from corpus_mt.functions.text import content_id, strip
 from corpus_mt.operators.layout import number_rows
 
 
@@ -41,6 +42,28 @@ def explode_sentences(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> D
     return rows
 
 
+def shorten_ids(rows: DataFrame) -> DataFrame:
+    """Sentence rows as they are best moved; ``restore_ids`` undoes it, whatever the ids are.
+
+    A substring's id that is the hash of its text is left out, to be worked out again, and a document's id that
+    is a hash in hex becomes its bytes, half as many.
+    """
+    own = F.col("sid").eqNullSafe(content_id(F.col("sub_str")))
+    short = {"sid": F.struct(own.alias("own"), F.when(~own, F.col("sid")).alias("other"))}
+    if "doc_id" in rows.columns and rows.schema["doc_id"].dataType == StringType():
+        hashed = F.col("doc_id").rlike(r"\A[0-9a-f]{64}\z")
+        short["doc_id"] = F.struct(F.when(hashed, F.unhex("doc_id")).alias("hash"), F.when(~hashed, F.col("doc_id")).alias("other"))
+    return rows.withColumns(short)
+
+
+def restore_ids(rows: DataFrame) -> DataFrame:
+    """Rows of ``shorten_ids`` with their ids as they were."""
+    plain = {"sid": F.when(F.col("sid.own"), content_id(F.col("sub_str"))).otherwise(F.col("sid.other"))}
+    if "doc_id" in rows.columns and rows.schema["doc_id"].dataType.typeName() == "struct":
+        plain["doc_id"] = F.coalesce(F.lower(F.hex("doc_id.hash")), F.col("doc_id.other"))
+    return rows.withColumns(plain)
+
+
 def add_global_index(sentences: DataFrame, order_by: tuple[str, ...] = (), name: str = "tlt_idx") -> DataFrame:
     """Contiguous ``tlt_idx``; without ``order_by`` rows keep the order of their files."""
     return number_rows(sentences, order_by, name)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from corpus_mt.functions.text import meeting_key
+from corpus_mt.operators.sentences import restore_ids, shorten_ids
 from corpus_mt.operators.skew import spread_join
 from corpus_mt.session import stage_table
 
@@ -84,17 +86,19 @@ def distinct_sentences(sentences: DataFrame) -> DataFrame:
     Counts are combined before the shuffle, so a sentence repeated everywhere costs one
     row per task.  Grouping by the text as well changes nothing (the id is its hash) and
     leaves a plain count, which hash aggregation can do; a text buffer would force a sort.
+    An id that is the text's hash is not moved but worked out again.
     """
-    return sentences.groupBy("sid", "sub_str").agg(F.count(F.lit(1)).alias("n_uses"))
+    short = shorten_ids(sentences.select("sid", "sub_str"))
+    return restore_ids(short.groupBy("sid", "sub_str").agg(F.count(F.lit(1)).alias("n_uses")))
 
 
-def fan_out(sentences: DataFrame, translations: DataFrame, how: str = "left") -> DataFrame:
-    """Join translations of distinct sentences (``sid``, ``n_uses``, ...) back to every use.
+def fan_out(sentences: DataFrame, translations: DataFrame, how: str = "left", key: str = "sid") -> DataFrame:
+    """Join translations of distinct sentences (``key``, ``n_uses``, ...) back to every use.
 
     Uses of a frequent sentence are dealt over several tasks and its translation copied to each.
     """
-    counts = translations.select("sid", F.col("n_uses").alias("n"))
-    return spread_join(sentences, translations.drop("n_uses"), "sid", counts, how)
+    counts = translations.select(key, F.col("n_uses").alias("n"))
+    return spread_join(sentences, translations.drop("n_uses"), key, counts, how)
 
 
 def translate_distinct(sentences: DataFrame, translate: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -102,6 +106,8 @@ def translate_distinct(sentences: DataFrame, translate: Callable[[DataFrame], Da
 
     ``translate`` gets ``sid, sub_str, n_uses`` and must keep ``sid`` and ``n_uses`` and add
     ``translated``.  Its result is staged: the model never runs twice for a lost executor.
+    Uses meet translations by a key that is shorter than the id.
     """
-    done = stage_table(translate(distinct_sentences(sentences)).select("sid", "n_uses", "translated"), "translated")
-    return fan_out(sentences, done)
+    key = meeting_key(F.col("sid")).alias("_meet")
+    done = stage_table(translate(distinct_sentences(sentences)).select(key, "n_uses", "translated"), "translated", "zstd")
+    return fan_out(sentences.select("*", key), done, key="_meet").drop("_meet")

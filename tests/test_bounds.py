@@ -6,10 +6,13 @@ import tracemalloc
 from collections import Counter
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from corpus_mt.operators import evaluate as ev
 from corpus_mt.operators import replace as rp
+from corpus_mt.operators import sentences as sn
 from corpus_mt.operators import tokens as tk
+from corpus_mt.operators import translate as tr
 from corpus_mt.plans import file_queries as fq
 from corpus_mt.plans import queries as qs
 
@@ -87,3 +90,42 @@ def test_documents_are_templated_once(spark, tmp_path):
     found = fq.lookup_by_sid(spark, d)
     assert not any("documents.parquet" in f for f in found.inputFiles())
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, qs.replace_documents(spark, d).collect()))
+
+
+def _exchanges(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_ids_are_moved_short_and_come_back(spark):
+    own, odd = "a" * 32 + "0" * 32, ["x", "", None, "A" * 64, "0" * 64 + "\n", "\x00" * 32, "é" * 16]
+    rows = [(d, p, s, t) for p, d in enumerate([own, *odd]) for s, t in [("s1", "a"), (None, "a"), ("s2", None), (None, None), (own, "b")]]
+    df = spark.createDataFrame(rows, "doc_id string, pos int, sid string, sub_str string").unionByName(
+        spark.createDataFrame([(own, 9, "own text")], "doc_id string, pos int, sub_str string").withColumn("sid", F.sha2("sub_str", 256))
+    )
+    short = sn.shorten_ids(df)
+    assert sorted(map(repr, sn.restore_ids(short).select(df.columns).collect())) == sorted(map(repr, df.collect()))
+    assert {len(r[0]) for r in short.filter("doc_id.hash is not null").select("doc_id.hash").collect()} == {32}
+    assert short.filter("sid.own").select("sid.other").distinct().collect() == [(None,)]
+    numbered = spark.createDataFrame([(7, "s", "a")], "doc_id long, sid string, sub_str string")
+    assert sn.restore_ids(sn.shorten_ids(numbered)).collect() == numbered.collect()
+    counted = {(r.sid, r.sub_str): r.n_uses for r in tr.distinct_sentences(df).collect()}
+    assert counted == Counter((r.sid, r.sub_str) for r in df.collect())
+
+
+def test_translations_meet_their_uses_by_short_keys(spark, monkeypatch):
+    staged, stage = [], tr.stage_table
+    monkeypatch.setattr(tr, "stage_table", lambda df, *args: staged.append(stage(df, *args)) or staged[-1])
+    rows = [("d", 0, "s1", "a"), ("d", 1, "s1", "a"), ("e", 0, None, "b"), ("e", 1, "s2", "c")]
+    df = spark.createDataFrame(rows, "doc_id string, pos int, sid string, sub_str string").withColumn("sub_str", F.concat("sub_str", F.lit(".")))
+    got = tr.translate_distinct(df, lambda d: d.withColumn("translated", F.upper("sub_str")))
+    assert sorted((r.doc_id, r.pos, r.sid, r.translated) for r in got.collect()) == [("d", 0, "s1", "A."), ("d", 1, "s1", "A."), ("e", 0, None, None), ("e", 1, "s2", "C.")]
+    assert "sid" not in staged[0].columns and {len(r[0]) for r in staged[0].filter("_meet is not null").select("_meet").collect()} == {16}
+
+
+def test_translations_of_a_document_move_once(spark):
+    rows = [("d", 1, "b"), ("d", 1, "a"), ("d", 0, "z"), ("d", 0, "z"), ("d", 1, None), ("e", 0, None), (None, 0, "x"), ("f", None, "n"), ("f", 0, "y"), ("f", 0, "x")]
+    df = spark.createDataFrame(rows * 3, "doc_id string, pos int, translated string").repartition(4)
+    found = rp.document_translations(df)
+    assert _exchanges(found) == 1
+    got = {r.doc_id: [(f.pos, f.translated) for f in r._found if f.pos is not None] for r in found.collect()}
+    assert got == {"d": [(0, "z"), (1, "a")], None: [(0, "x")], "f": [(0, "x")]}
