@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from corpus_mt.functions.text import MISSING
+from corpus_mt.functions.text import MISSING, meeting_key
 from corpus_mt.operators.layout import reroot_path
-from corpus_mt.operators.sentences import explode_sentences, open_list
+from corpus_mt.operators.sentences import explode_sentences, open_list, restore_ids, shorten_ids
 
 # Documents of a batch that are Python objects at one time.
 SLICE_ROWS = 64
@@ -71,15 +71,21 @@ def lookup_translations(
     translated``, where the path is that of the substring, re-rooted when a base is given.
     Paths meet without their scheme and host, so a table may hold URIs or plain paths.  Copies of a
     document share their paths: a path counts once, however often it was written, and a path
-    that very many documents ask for is split by adaptive execution.
+    that very many documents ask for is split by adaptive execution.  What moves is a key of a path, and ids as short as they get.
     """
     rows = explode_sentences(docs, ("doc_id", "tlt_folder"))
     if decode_base:
         rows = rows.withColumn("tlt_file_loc", reroot_path(F.col("tlt_file_loc"), decode_base))
-    rows = rows.withColumn("path", plain_path(F.col("tlt_file_loc"))).drop("tlt_file_loc")
-    stored = translations.select(plain_path(F.col("path")).alias("path"), "translated").filter("translated IS NOT NULL")
-    once = stored.groupBy("path").agg(F.min("translated").alias("translated"))
-    return rows.join(once, "path").drop("path")
+    rows = shorten_ids(rows.withColumn("_path", meeting_key(plain_path(F.col("tlt_file_loc")))).drop("tlt_file_loc"))
+    stored = translations.select(meeting_key(plain_path(F.col("path"))).alias("_path"), "translated").filter("translated IS NOT NULL")
+    once = stored.groupBy("_path").agg(F.min("translated").alias("translated"))
+    return restore_ids(rows.join(once, "_path").drop("_path"))
+
+
+def count_copies(found: DataFrame, name: str = "n_copies") -> DataFrame:
+    """Each different row of substrings once, with the number of rows that are equal to it."""
+    short = shorten_ids(found)
+    return restore_ids(short.groupBy(*short.columns).agg(F.count(F.lit(1)).alias(name)))
 
 
 def with_positions(docs: DataFrame, translations: DataFrame) -> DataFrame:

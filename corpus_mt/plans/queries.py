@@ -502,8 +502,8 @@ def translation_lookup_copies(spark, d):
     raw = _read(spark, d, "documents").select("text")
     docs = tp.template_documents(raw, "text", source_type="web").withColumn("tlt_folder", F.concat_ws("/", F.lit(BASE), "doc_id"))
     stored = _translated(sn.explode_sentences(docs)).select(F.col("tlt_file_loc").alias("path"), "translated")
-    found = rp.lookup_translations(docs, stored).groupBy("doc_id", "pos", "sid", "sub_str", "translated")
-    return found.agg(F.count(F.lit(1)).alias("n_copies"))
+    found = rp.lookup_translations(docs, stored).select("doc_id", "pos", "sid", "sub_str", "translated")
+    return rp.count_copies(found)
 
 
 def _replaced(spark, d):

@@ -129,3 +129,16 @@ def test_translations_of_a_document_move_once(spark):
     assert _exchanges(found) == 1
     got = {r.doc_id: [(f.pos, f.translated) for f in r._found if f.pos is not None] for r in found.collect()}
     assert got == {"d": [(0, "z"), (1, "a")], None: [(0, "x")], "f": [(0, "x")]}
+
+
+def test_lookups_meet_by_keys_of_paths_and_count_copies(spark):
+    """The paths themselves, with two ids in hex, are not moved."""
+    folder = "/base/" + "0" * 64
+    docs = spark.createDataFrame([(folder[6:], folder, ["s1", "s2"], ["a", "b"])] * 3 + [("e", "/base/e", ["s1"], ["a"])], "doc_id string, tlt_folder string, sids array<string>, sub_strs array<string>")
+    stored = spark.createDataFrame([(f"file://host{folder}/s1", "B"), (f"{folder}/s1", "A"), (f"{folder}/s2", None), ("/base/e/s1", "E"), (None, "X")], "path string, translated string")
+    found = rp.lookup_translations(docs, stored)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "tlt_file_loc" not in "".join(re.findall(r"Exchange.*", text)) and len(re.findall(r"Exchange hashpartitioning\(_path#", text)) == 2
+    assert sorted((r.doc_id, r.tlt_folder, r.pos, r.sid, r.sub_str, r.translated) for r in found.collect()) == [(folder[6:], folder, 0, "s1", "a", "A")] * 3 + [("e", "/base/e", 0, "s1", "a", "E")]
+    counted = rp.count_copies(found.select("doc_id", "pos", "sid", "sub_str", "translated"))
+    assert sorted(map(tuple, counted.collect())) == [(folder[6:], 0, "s1", "a", "A", 3), ("e", 0, "s1", "a", "E", 1)]
