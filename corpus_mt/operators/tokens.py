@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -16,8 +17,6 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 from corpus_mt.functions import languages as lang
 from corpus_mt.functions import sentences as st
 from corpus_mt.operators.layout import batch_of
-from corpus_mt.operators.sentences import open_list
-from corpus_mt.operators.skew import spread_join
 from corpus_mt.session import stage_table
 from corpus_mt.worker import worker_state
 
@@ -34,8 +33,9 @@ BROADCAST_ENTRIES = 1_000_000
 BROADCAST_BYTES = 64 << 20
 # Elements of a batch that are Python objects at one time.
 SLICE_ELEMENTS = 1 << 14
-# Ids are 32-bit integers, of either sign.
-ID_SPAN = 1 << 32
+# Elements of the rows that share a list of different ones when a large table is joined, about.
+CHUNK_ELEMENTS = 1 << 17
+SEPARATOR = "\x1f"
 
 
 def word_pieces(text: Column) -> Column:
@@ -214,26 +214,64 @@ def _list_lookup(name: str, keys: pa.Array, values: pa.Array, default, value_typ
     return look_up
 
 
+def _joined_lists(rows: DataFrame, col: str, table: DataFrame, default, value_type) -> DataFrame:
+    """``_row, _list``: the lists of staged rows with every element looked up in a table that is joined; empty ones are left out.
+
+    Rows that lie next to each other are a chunk, whose different elements move to the table once each, and meet its rows
+    again with what was found.  An element is thus in the join no more often than there are chunks, so none fills a task.
+    """
+    kept = rows.filter(F.size(col) > 0).select("_row", F.col(col).alias("_keys"))
+    mean = kept.agg(F.avg(F.size("_keys"))).first()[0] or 1.0
+    bits = max(0, math.floor(math.log2(max(1.0, CHUNK_ELEMENTS / mean))))
+    chunk = F.shiftright("_row", bits).alias("_chunk")
+    key_type = kept.schema["_keys"].dataType.elementType.simpleString()
+    # Strings run together take a third of what an array of them does in the shuffle.
+    run = F.array_join("_keys", SEPARATOR) if key_type == "string" else F.lit(None).cast("string")
+    parted = F.length(run) - F.length(F.replace(run, F.lit(SEPARATOR), F.lit(""))) == F.size("_keys") - 1
+    whole = F.coalesce(parted & ~F.exists("_keys", lambda k: k.isNull()), F.lit(False))
+    moved = kept.select(chunk, "_row", F.when(whole, run).alias("_run"), F.when(~whole, F.col("_keys")).alias("_keys"))
+
+    def different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            keys = lists.flatten().dictionary_encode()
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            chunks, chunk = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            codes = pc.fill_null(keys.indices, -1).to_numpy(zero_copy_only=False).astype("int64")
+            pairs = np.unique((np.repeat(chunk, sizes) * (len(keys.dictionary) + 1) + codes)[codes >= 0])
+            of, code = np.divmod(pairs, len(keys.dictionary) + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(chunks[of]), keys.dictionary.take(pa.array(code))], ["_chunk", "_key"])
+
+    def fill(part: pa.Table, found: pa.Table) -> pa.Table:
+        keys, values = found["_key"].combine_chunks(), found["_value"].combine_chunks()
+        run, other = part.filter(pc.is_valid(part["_run"])), part.filter(pc.is_null(part["_run"]))
+        done = []
+        for row, lists in ((run["_row"], pc.split_pattern(run["_run"].combine_chunks(), SEPARATOR)), (other["_row"], other["_keys"].combine_chunks())):
+            elements = lists.flatten().cast(keys.type) if len(row) else keys.slice(0, 0)  # without rows a side may be of another type
+            out = pc.fill_null(pc.take(values, pc.index_in(elements, value_set=keys)), pa.scalar(default, values.type))
+            done.append(pa.table([row, pa.ListArray.from_arrays(_offsets(lists), out)], ["_row", "_list"]))
+        return pa.concat_tables(done)
+
+    keys = kept.select(chunk, "_keys").mapInArrow(different, f"_chunk bigint, _key {key_type}")
+    found = keys.join(table, "_key").select("_chunk", "_key", "_value")
+    schema = f"_row bigint, _list array<{value_type.simpleString()}>"
+    return moved.groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInArrow(fill, schema)
+
+
 def _map_list(df: DataFrame, col: str, out: str, vocab: Vocabulary, src: bool, to_ids: bool, max_broadcast: int) -> DataFrame:
     default = vocab.special_ids()[0] if to_ids else UNK
     value_type = IntegerType() if to_ids else StringType()
     if vocab.fits_broadcast(src, max_broadcast):
         udf = _list_lookup(*vocab.small_table(src, to_ids), default, value_type, df)
         return df.withColumn(out, F.when(F.col(col).isNotNull(), udf(F.coalesce(F.col(col), F.array().cast(df.schema[col].dataType)))))
-    # A large table: one row per element, joined and gathered again.  Rows are told apart by
-    # a number given while they are staged, never by a key of theirs, which may repeat.
+    # A large table is joined.  Rows are told apart by a number given while they are staged, never by a key of
+    # theirs, which may repeat.
     rows = stage_table(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    left = open_list(rows, ["_row"], col, "_pos", "_key")
-    found = spread_join(left, vocab.lookup_table(src, to_ids), "_key").select("_row", "_pos", F.coalesce("_value", F.lit(default)).alias("_value"))
-    if to_ids:
-        # Place and id share a number, a quarter of what a struct of them takes in the shuffle.
-        placed, value = F.col("_pos").cast("bigint") * ID_SPAN + (F.col("_value") + F.lit(ID_SPAN // 2)), lambda x: (F.pmod(x, F.lit(ID_SPAN)) - ID_SPAN // 2).cast("int")
-    else:
-        placed, value = F.struct("_pos", "_value"), lambda s: s["_value"]
-    lists = found.groupBy("_row").agg(F.transform(F.sort_array(F.collect_list(placed)), value).alias("_list"))
+    lists = _joined_lists(rows, col, vocab.lookup_table(src, to_ids), default, value_type)
     empty = F.array().cast(ArrayType(value_type))
-    joined = rows.join(lists, "_row", "left").withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce("_list", empty)))
-    return joined.drop("_list", "_row")
+    rows = rows.withColumn("_given", F.col(col).isNotNull())  # the lists themselves move only if they are asked for
+    joined = rows.join(lists, "_row", "left").withColumn(out, F.when(F.col("_given"), F.coalesce("_list", empty)))
+    return joined.drop("_list", "_row", "_given")
 
 
 def encode_ids(

@@ -142,3 +142,27 @@ def test_lookups_meet_by_keys_of_paths_and_count_copies(spark):
     assert sorted((r.doc_id, r.tlt_folder, r.pos, r.sid, r.sub_str, r.translated) for r in found.collect()) == [(folder[6:], folder, 0, "s1", "a", "A")] * 3 + [("e", "/base/e", 0, "s1", "a", "E")]
     counted = rp.count_copies(found.select("doc_id", "pos", "sid", "sub_str", "translated"))
     assert sorted(map(tuple, counted.collect())) == [(folder[6:], 0, "s1", "a", "A", 3), ("e", 0, "s1", "a", "E", 1)]
+
+
+def test_joined_lookups_by_chunks(spark, monkeypatch):
+    """Tokens with separators in them, empty and null ones, rows of any length, chunks of few rows, both directions."""
+    monkeypatch.setattr(tk, "CHUNK_ELEMENTS", 16)
+    rng, sep = random.Random(5), tk.SEPARATOR
+    words = ["a", "b", "", sep, f"a{sep}b", "é", None, "nowhere"]
+    table = spark.createDataFrame([("<s>", 0), ("<pad>", 1), ("</s>", 2), ("<unk>", 3), *((w, 10 + i) for i, w in enumerate(words[:6]))], "token string, id int")
+    vocab, ids = tk.Vocabulary(table, table), {w: 10 + i for i, w in enumerate(words[:6])}
+    rows = [(i % 7, rng.choices(words, k=rng.choice([0, 1, 2, 5, 40]))) for i in range(300)] + [(7, None)]
+    df = spark.createDataFrame(rows, "k int, tokens array<string>").repartition(3)
+    joined = tk.encode_ids(df, vocab, max_broadcast=0)
+    want = sorted((k, repr(t), None if t is None else [ids.get(w, 3) for w in t]) for k, t in rows)
+    assert sorted((r.k, repr(r.tokens), r.input_ids) for r in joined.collect()) == want
+    back = tk.decode_tokens(joined.select("k", "input_ids"), vocab, "input_ids", max_broadcast=0)
+    names = {v: k for k, v in ids.items()} | {3: "<unk>"}
+    assert all(r.tokens == (None if r.input_ids is None else [names[i] for i in r.input_ids]) for r in back.collect())
+    assert tk.encode_ids(df.limit(0), vocab, max_broadcast=0).count() == 0
+
+
+def test_joined_encoding_moves_no_token_for_each_use(spark, tmp_path):
+    """Only different tokens of a chunk are opened into rows."""
+    text = qs.encode_ids_joined(spark, _documents(spark, tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in text and not re.search(r"posexplode\w*\(tokens", text)
