@@ -121,12 +121,19 @@ def stream_replace(spark, d):
     """Documents and their translations as two streams of several files; all documents go out whole."""
     base = _folder(spark, "replace")
     docs = _docs(spark, d).select("doc_id", "text", "sub_strs", "sids")
-    docs.select("doc_id", "text", "sub_strs").repartition(PARTS).write.parquet(f"{base}/docs")
+    tasks = docs.rdd.getNumPartitions()
+    parts = PARTS * -(-tasks // PARTS)
+    arriving = docs.select("doc_id", "text", "sub_strs")
+    (arriving if tasks >= PARTS else arriving.repartition(PARTS)).write.parquet(f"{base}/docs", compression="zstd")
     translated = _translated(sn.explode_sentences(docs, ("doc_id",)))
-    translated.select("doc_id", "pos", "translated").repartition(PARTS, "pos").write.parquet(f"{base}/tr")
-    read = lambda name, schema: read_stream(spark, f"{base}/{name}", schema, maxFilesPerTrigger="1")
+    translated.select("doc_id", "pos", "translated").repartition(parts, "pos", "doc_id").write.parquet(f"{base}/tr", compression="zstd")
+
+    def read(name: str, schema: str) -> DataFrame:
+        files = len(spark.read.schema(schema).parquet(f"{base}/{name}").inputFiles())
+        return read_stream(spark, f"{base}/{name}", schema, maxFilesPerTrigger=str(max(1, -(-files // PARTS))))
+
     out = rs.replace_stream(read("docs", "doc_id string, text string, sub_strs array<string>"), read("tr", "doc_id string, pos int, translated string"))
-    stm.write_stream(out, f"{base}/out", f"{base}/progress").awaitTermination()
+    stm.write_stream(out, f"{base}/out", f"{base}/progress", conf=rs.STATE_CONF, compression="zstd").awaitTermination()
     return read_table(spark, f"{base}/out").select("doc_id", "translated")
 
 

@@ -6,7 +6,7 @@ unchanged in a stream.  Steps that number or gather rows run per micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -20,10 +20,23 @@ def stream_sentences(raw: DataFrame, mode: str = "sentence", **columns) -> DataF
     return explode_sentences(template_documents(raw, mode=mode, **columns))
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Append to parquet, exactly once; by default stop when all present files are done."""
-    writer = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
-    return (writer.trigger(availableNow=True) if available_now else writer).start(path)
+def write_stream(
+    df: DataFrame, path: str, checkpoint: str, available_now: bool = True, conf: Mapping[str, str] | None = None, **options: str
+) -> StreamingQuery:
+    """Append to parquet, exactly once; by default stop when all present files are done.
+
+    ``conf`` holds settings for this query: it takes those of its session as it starts, and these are put back then.
+    """
+    writer = df.writeStream.format("parquet").options(**options).option("checkpointLocation", checkpoint).outputMode("append")
+    settings = df.sparkSession.conf
+    before = {name: settings.get(name, None) for name in conf or ()}
+    try:
+        for name, value in (conf or {}).items():
+            settings.set(name, value)
+        return (writer.trigger(availableNow=True) if available_now else writer).start(path)
+    finally:
+        for name, value in before.items():
+            settings.unset(name) if value is None else settings.set(name, value)
 
 
 def run_batches(

@@ -137,3 +137,29 @@ def test_parts_of_a_numbered_stream_are_written_by_several_tasks(spark, tmp_path
     assert len(list((tmp_path / "numbers" / "out").glob("epoch=*"))) == file_queries.PARTS
     numbers = sorted(r.tlt_idx for r in out.select("tlt_idx").collect())
     assert numbers == list(range(len(numbers)))
+
+
+def test_packed_documents_come_back():
+    docs = [
+        {"text": "a b. a b c", "sub_strs": ["a b", "a b c", "b."]},  # one behind the other, and one before
+        {"text": "é\ud800 x\x00", "sub_strs": ["é", "x\x00", "not there", ""]},
+        {"text": "", "sub_strs": ["a"]},
+        {"text": None, "sub_strs": ["a"]},
+    ]
+    assert [rs.unpack_document(rs.pack_document(d)) for d in docs] == docs
+    assert rs.unpack_document(rs.pack_document({"text": None})) == {"text": None, "sub_strs": []}
+    long = {"text": " ".join(f"word {i}." for i in range(2000)), "sub_strs": [f"word {i}." for i in range(2000)]}
+    assert len(rs.pack_document(long)) < len(json.dumps(long)) / 4 and rs.unpack_document(rs.pack_document(long)) == long
+
+
+def test_what_waits_is_on_disk(spark, tmp_path, monkeypatch):
+    """The query's state is in RocksDB, not in the heap, and the session keeps its own settings."""
+    monkeypatch.setattr(file_queries, "_folder", lambda spark, name: str(tmp_path / name))
+    before = {name: spark.conf.get(name, None) for name in rs.STATE_CONF}
+    out = file_queries.stream_replace(spark, "/root/testdata/sf0.001")
+    assert out.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+    assert {name: spark.conf.get(name, None) for name in rs.STATE_CONF} == before
+    state = [p.name for p in (tmp_path / "replace" / "progress" / "state").rglob("*")]
+    assert any(n.endswith(".sst") for n in state) and not any(n.endswith(".delta") for n in state)
+    offsets = sorted(p for p in (tmp_path / "replace" / "progress" / "offsets").iterdir() if p.name.isdigit())
+    assert len(offsets) == file_queries.PARTS
